@@ -127,9 +127,6 @@ def first_n(spark, folder):
     return first_n_per_group(distinct, ["doc_id"], ["source"], 5)
 
 
-def row_to_json(spark, folder):
-    return grouping.row_to_json(samples(spark, folder))
-
 
 _DOCS = """
 docs AS (
@@ -181,7 +178,6 @@ QUERIES = {
     "balance_impossible": balance_impossible,
     "balance_possible": balance_possible,
     "qa_samples": samples,
-    "row_to_json": row_to_json,
 }
 
 SQL = {

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabloom.operators.ranking import join_groups
+
 
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -100,11 +102,9 @@ def softmax(df: DataFrame, groups: Sequence[str], column: str, name: str) -> Dat
     The group total comes from an aggregate joined back, so the rows of one
     group need not meet in one task.
     """
-    from tabloom.operators.ranking import same_keys
-
     total = log_sum_exp(df, groups, column, "__lse")
-    share = F.exp(df[column] - total["__lse"]).alias(name)
-    return df.join(total, same_keys(df, total, groups)).select(*[df[c] for c in df.columns], share)
+    joined = join_groups(df, total, groups)
+    return joined.select(*df.columns, F.exp(F.col(column) - F.col("__lse")).alias(name))
 
 
 def row_to_json(df: DataFrame, name: str = "json") -> DataFrame:

@@ -25,12 +25,15 @@ def hash_key(items: Sequence[str], seed: int | None = None) -> Column:
     return F.md5(F.concat_ws(SEPARATOR, *parts))
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on `keys`."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on `keys` with null equal to null, keeping the keys of `left`.
+
+    A struct holds the keys: its fields compare null-safely, while the join key
+    itself stays one plain column that windows and aggregates can share.
+    """
+    others = [c for c in right.columns if c not in keys]
+    keyed = right.select(F.struct(*keys).alias("__key"), *others)
+    return left.withColumn("__key", F.struct(*keys)).join(keyed, "__key", how).drop("__key")
 
 
 def running_totals(
@@ -43,25 +46,27 @@ def running_totals(
     """Add inclusive running totals in (`bucket`, `order`) order within `groups`.
 
     `bucket` must be a deterministic column that rises with the order; `totals`
-    maps new column names to the expression to add up.
+    maps new column names to the expression to add up. Window, bucket totals
+    and join share one key, so the rows are shuffled once.
     """
-    groups = list(groups)
+    columns = df.columns
+    keyed = df.withColumn("__key", F.struct(*groups, bucket))
     local_window = (
-        Window.partitionBy(*groups, bucket)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("__key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = keyed.select("*", *[F.sum(v).over(local_window).alias(f"__l_{n}") for n, v in totals.items()])
+    sizes = keyed.groupBy("__key").agg(*[F.sum(v).alias(f"__n_{n}") for n, v in totals.items()])
+    step = (
+        Window.partitionBy(*[F.col("__key")[g] for g in groups])
+        .orderBy(F.col("__key")[bucket])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    local = df.select("*", *[F.sum(v).over(local_window).alias(n) for n, v in totals.items()])
-    step = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = df.groupBy(*groups, bucket).agg(*[F.sum(v).alias(f"__n_{n}") for n, v in totals.items()])
     before = sizes.select(
-        *groups,
-        bucket,
-        *[F.coalesce(F.sum(f"__n_{n}").over(step), F.lit(0)).alias(f"__b_{n}") for n in totals],
+        "__key", *[F.coalesce(F.sum(f"__n_{n}").over(step), F.lit(0)).alias(f"__b_{n}") for n in totals]
+    )
+    return local.join(before, "__key").select(
+        *columns, *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in totals]
     )
-    kept = [local[c] for c in df.columns]
-    shifted = [(local[n] + before[f"__b_{n}"]).alias(n) for n in totals]
-    return local.join(before, same_keys(local, before, [*groups, bucket])).select(*kept, *shifted)
 
 
 def hashed_rank(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import spans
-from tabloom.operators.ranking import first_n_per_group, same_keys
+from tabloom.operators.ranking import first_n_per_group
 
 SAMPLE_COLUMNS = ["source", "question", "answer_start", "answer_end"]
 PAIR = ["title", "question"]
@@ -140,9 +140,7 @@ def possible_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool =
 
 def _choose(candidates: DataFrame, quota: DataFrame, keys: list[str]) -> DataFrame:
     """First `quota` candidates of each (title, question); pairs without a quota drop out."""
-    limited = candidates.join(quota, same_keys(candidates, quota, keys)).select(
-        *[candidates[c] for c in candidates.columns], quota["quota"]
-    )
+    limited = candidates.join(quota, keys)
     return first_n_per_group(limited, PAIR, ["digest"], F.col("quota"))
 
 
