@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["qa", "profile"]
+MODULES = ["qa", "profile", "text", "evaluation"]
 
 
 def _merged(name: str) -> dict:
