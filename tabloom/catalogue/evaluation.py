@@ -120,7 +120,7 @@ def model_comparison(spark, folder):
 def linear_attribution(spark, folder):
     lines = table(spark, folder, "lineitem")
     found = evaluate.linear_attribution(lines, COEFFICIENTS, ["l_orderkey", "l_linenumber"])
-    return found.select("l_orderkey", "l_linenumber", *[rounded(F.col(c), c, 5) for c in COEFFICIENTS])
+    return found.select("l_orderkey", "l_linenumber", *[rounded(F.col(c), c, 8) for c in COEFFICIENTS])
 
 
 def attribution_bars(spark, folder):
@@ -234,7 +234,7 @@ SQL = {
                round(2 * tp / (2 * tp + fp + fn), 3) AS f1, round((ranks - p * (p + 1) / 2) / (p * n), 3) AS auc
         FROM cells JOIN ({_AUC}) USING (model)""",
     "linear_attribution": "SELECT l_orderkey, l_linenumber, "
-    + ", ".join(f"round({w} * ({c} - avg({c}) OVER ()), 5) AS {c}" for c, w in COEFFICIENTS.items())
+    + ", ".join(f"round({w} * ({c} - avg({c}) OVER ()), 8) AS {c}" for c, w in COEFFICIENTS.items())
     + " FROM lineitem",
     "attribution_bars": " UNION ALL ".join(
         f"SELECT '{c}' AS feature, round(avg(abs({w} * ({c} - m))), 6) AS importance "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["qa", "profile", "text", "evaluation"]
+MODULES = ["qa", "profile", "text", "evaluation", "sequence"]
 
 
 def _merged(name: str) -> dict:

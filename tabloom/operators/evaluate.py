@@ -45,14 +45,14 @@ def _cumulated(df: DataFrame, groups: Sequence[str], descending: bool) -> DataFr
     distinct scores stay spread over tasks.
     """
     sign = -1 if descending else 1
-    keyed = df.select(*groups, "truth", "score", (F.col("score") * sign).cast("double").alias("__key"))
-    bounds = value_buckets(keyed, ["__key"])["__key"]
-    counted = keyed.groupBy(*groups, "score", "__key").agg(
+    keyed = df.select(*groups, "truth", "score", (F.col("score") * sign).cast("double").alias("__order"))
+    bounds = value_buckets(keyed, ["__order"])["__order"]
+    counted = keyed.groupBy(*groups, "score", "__order").agg(
         F.count_if(F.col("truth") == 1).alias("pos"), F.count_if(F.col("truth") == 0).alias("neg")
     )
-    bucketed = with_value_bucket(counted, "__key", bounds, "__bucket")
+    bucketed = with_value_bucket(counted, "__order", bounds, "__bucket")
     totals = {"run_pos": F.col("pos"), "run_neg": F.col("neg")}
-    return running_totals(bucketed, "__bucket", [F.col("__key")], totals, groups)
+    return running_totals(bucketed, "__bucket", [F.col("__order")], totals, groups)
 
 
 def _class_totals(df: DataFrame, groups: Sequence[str]) -> DataFrame:

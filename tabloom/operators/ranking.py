@@ -50,6 +50,8 @@ def running_totals(
     and join share one key, so the rows are shuffled once.
     """
     columns = df.columns
+    if "__key" in columns:
+        raise ValueError("__key is a reserved column name")
     keyed = df.withColumn("__key", F.struct(*groups, bucket))
     local_window = (
         Window.partitionBy("__key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
