@@ -190,8 +190,8 @@ SQL = {
     "kde_grid": """
         WITH s AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, count(c_acctbal) AS n,
                           stddev_samp(c_acctbal) * pow(count(c_acctbal), -0.2) AS h FROM customer),
-        b AS (SELECT lo + (least(floor((c_acctbal - lo) / ((hi - lo) / 256)), 255) + 0.5) * ((hi - lo) / 256) AS centre,
-                     count(*) AS weight FROM customer, s GROUP BY 1),
+        b AS (SELECT avg(c_acctbal) AS centre, count(*) AS weight FROM customer, s
+              GROUP BY least(floor((c_acctbal - lo) / ((hi - lo) / 256)), 255)),
         g AS (SELECT CAST(i AS INTEGER) AS grid_no, lo + i * (hi - lo) / 49 AS x, n, h FROM s, range(50) t(i))
         SELECT grid_no, round(x, 4) AS x,
                round(sum(weight * exp(-0.5 * pow((x - centre) / h, 2))) / (n * h * sqrt(2 * pi())), 10) AS density

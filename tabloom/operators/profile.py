@@ -237,7 +237,8 @@ def kernel_density(df: DataFrame, column: str, points: int = 50, bins: int = 102
     """grid_no, x, density: Gaussian kernel, Scott's bandwidth std * n^(-1/5).
 
     Values are counted in `bins` fine bins first; each occupied bin then adds
-    its weight to every grid point, at most bins x points terms.
+    its weight, placed at its mean, to every grid point: at most bins x points
+    terms.
     """
     low, high, n, std = _limits(df, column)
     binned = (
@@ -246,8 +247,7 @@ def kernel_density(df: DataFrame, column: str, points: int = 50, bins: int = 102
         .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
         .withColumn("bin", F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1)))
         .groupBy("bin", "lo", "hi", "n", "std", "width")
-        .agg(F.count(F.lit(1)).alias("weight"))
-        .withColumn("centre", F.col("lo") + (F.col("bin") + 0.5) * F.col("width"))
+        .agg(F.count(F.lit(1)).alias("weight"), F.avg("x").alias("centre"))
         .withColumn("h", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     )
     at = binned.withColumn("grid_no", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn(

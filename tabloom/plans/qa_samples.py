@@ -22,10 +22,8 @@ def _count(size: int, stride: int, keep_tail: bool) -> Column:
 
 
 def _hit_range(start: Column, end: Column, count: Column, size: int, stride: int) -> tuple[Column, Column]:
-    """First and last window that share a character with [start, end); empty spans hit none."""
-    first = spans.first_window(start, size, stride)
-    last = spans.last_window(end, count, stride)
-    return first, F.when(start < end, last).otherwise(F.lit(-1))
+    """First and last window that overlap [start, end); last < first when none does."""
+    return spans.first_window(start, size, stride), spans.last_window(end, count, stride)
 
 
 def positive_counts(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
