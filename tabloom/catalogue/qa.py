@@ -11,18 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.common import table
+from tabloom.catalogue.common import texts
 from tabloom.operators import grouping, windows
 from tabloom.operators.flatten import explode_answers, flatten_qa, split_answerable
 from tabloom.operators.ranking import first_n_per_group
 from tabloom.plans import qa_samples
+from tabloom.session import cut_lineage
 
 SIZE, STRIDE = 512, 256
 
 
 def nested_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents in the nested question-answer shape, one `data` entry each."""
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents", "doc_id")
     length = F.length("text")
 
     def answer(factor: int):
@@ -47,7 +48,7 @@ def document_qa(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _doc_windows(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = texts(spark, folder, "documents", "doc_id", "doc_id", "text")
     return windows.char_windows(docs, "text", SIZE, STRIDE)
 
 
@@ -103,18 +104,19 @@ def question_quota(spark, folder):
     return qa_samples.question_quota(qa_samples.positive_counts(document_qa(spark, folder), SIZE, STRIDE))
 
 
-def _negatives(spark, folder, choose):
+def _negatives(spark, folder, impossible):
     qa = document_qa(spark, folder)
-    counts = qa_samples.positive_counts(qa, SIZE, STRIDE)
-    return qa_samples.cut_negatives(qa, choose(qa, counts, SIZE, STRIDE), SIZE, STRIDE)
+    counts = cut_lineage(qa_samples.positive_counts(qa, SIZE, STRIDE))
+    wanted = qa.filter(F.col("is_impossible") == impossible)
+    return qa_samples.cut_negatives(qa, qa_samples.choose_negatives(wanted, counts, SIZE, STRIDE), SIZE, STRIDE)
 
 
 def balance_impossible(spark, folder):
-    return _negatives(spark, folder, qa_samples.choose_impossible)
+    return _negatives(spark, folder, True)
 
 
 def balance_possible(spark, folder):
-    return _negatives(spark, folder, qa_samples.choose_possible)
+    return _negatives(spark, folder, False)
 
 
 def samples(spark, folder):

@@ -12,6 +12,15 @@ SIZE = 4096
 STRIDE = 2048
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with `value` computed once.
+
+    An expression named inside a lambda is evaluated again for every element;
+    binding it as the element of a one-element array avoids that.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def window_count(length: Column, size: int = SIZE, stride: int = STRIDE, keep_tail: bool = False) -> Column:
     """Number of windows of a text of `length` characters.
 
@@ -47,8 +56,7 @@ def window_texts(text: Column, count: Column, size: int = SIZE, stride: int = ST
             lambda k: F.substring(F.array_join(F.slice(parts, k + 1, F.lit(span)), ""), 1, size),
         )
 
-    # the one-element array binds `blocks` to a name so that it is computed once
-    return F.element_at(F.transform(F.array(blocks), glue), 1)
+    return let(blocks, glue)
 
 
 def overlaps(a: Column, b: Column, s: Column, e: Column) -> Column:

@@ -36,6 +36,14 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.withColumn("__key", F.struct(*keys)).join(keyed, "__key", how).drop("__key")
 
 
+def row_weight(present: Sequence[str] = ()) -> Column:
+    """One per row, read through the never-null columns `present`."""
+    one = F.lit(1).cast("long")
+    for name in present:
+        one = F.when(F.col(name).isNotNull(), one)
+    return one
+
+
 def running_totals(
     df: DataFrame,
     bucket: str,
@@ -78,11 +86,14 @@ def hashed_rank(
     rank: str = "rank",
     seed: int | None = None,
     digits: int = 2,
+    present: Sequence[str] = (),
 ) -> DataFrame:
     """1-based rank of each row inside `groups`, in hash order of `items`.
 
     `items` must tell the rows of a group apart. A group of any size is spread
-    over 16**digits buckets.
+    over 16**digits buckets. `present` names further columns that are never
+    null: counting the rows through them keeps them in both branches of the
+    plan, which then share the shuffle that produced them.
     """
     keyed = df.withColumn("__hash", hash_key(items, seed))
     keyed = keyed.withColumn("__bucket", F.substring("__hash", 1, digits))
@@ -90,7 +101,7 @@ def hashed_rank(
         keyed,
         "__bucket",
         [F.col("__hash"), *[F.col(c) for c in items]],
-        {rank: F.lit(1).cast("long")},
+        {rank: row_weight(present)},
         groups,
     )
     return ranked.drop("__hash", "__bucket")
@@ -102,6 +113,7 @@ def first_n_per_group(
     items: Sequence[str],
     n: Column | int,
     seed: int | None = None,
+    present: Sequence[str] = (),
 ) -> DataFrame:
     """Keep the first `n` distinct `items` of each group, `n` may differ per group.
 
@@ -109,7 +121,8 @@ def first_n_per_group(
     already be distinct on groups and items.
     """
     limit = F.lit(n) if isinstance(n, int) else n
-    return hashed_rank(df, groups, items, "__rank", seed).filter(F.col("__rank") <= limit).drop("__rank")
+    ranked = hashed_rank(df, groups, items, "__rank", seed, present=present)
+    return ranked.filter(F.col("__rank") <= limit).drop("__rank")
 
 
 def value_buckets(df: DataFrame, columns: Sequence[str], parts: int = 64) -> dict[str, list[float]]:

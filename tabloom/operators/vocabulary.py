@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.vectors import doubles, zeros
-from tabloom.operators.ranking import SEPARATOR, running_totals, value_buckets, with_value_bucket
+from tabloom.operators.ranking import SEPARATOR, row_weight, running_totals, value_buckets, with_value_bucket
 
 PAD, UNKNOWN = "[PAD]", "[UNKNOWN]"
 START, STOP = "<START>", "<STOP>"
@@ -38,7 +38,7 @@ def vocabulary(words: DataFrame, word: str = "word", specials: Sequence[str] = (
     extra = words.sparkSession.createDataFrame([(s, 0) for s in specials], "word string, n long")
     counted = ones.unionByName(extra).groupBy("word").agg(F.sum("n").alias("freq"))
     spread = counted.withColumn("__bucket", F.substring(F.md5("word"), 1, 3))
-    ranked = running_totals(spread, "__bucket", [F.col("word")], {"ix": F.lit(1).cast("long")})
+    ranked = running_totals(spread, "__bucket", [F.col("word")], {"ix": row_weight(["freq"])})
     return ranked.select("word", "freq", (F.col("ix") - 1).alias("ix"))
 
 
@@ -56,7 +56,7 @@ def first_seen_index(
     placed = first.withColumn("__place", F.col("first")[order[0]].cast("double"))
     bounds = value_buckets(placed, ["__place"], parts)["__place"]
     bucketed = with_value_bucket(placed, "__place", bounds, "__bucket")
-    ranked = running_totals(bucketed, "__bucket", [F.col("first")], {"ix": F.lit(1).cast("long")})
+    ranked = running_totals(bucketed, "__bucket", [F.col("first")], {"ix": row_weight()})
     found = ranked.select(mark, (F.col("ix") - 1 + len(fixed)).alias("ix"))
     if not fixed:
         return found

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import spans
 from tabloom.operators.ranking import first_n_per_group
+from tabloom.session import BROADCAST_ROWS, cut_lineage, has_at_most
 
 SAMPLE_COLUMNS = ["source", "question", "answer_start", "answer_end"]
 PAIR = ["title", "question"]
@@ -28,15 +29,15 @@ def _hit_range(start: Column, end: Column, count: Column, size: int, stride: int
 
 def positive_counts(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
     """Number of positive (answer, window) pairs per (title, question), from lengths alone."""
-    count = _count(size, stride, keep_tail)
-
-    def hits(answer: Column) -> Column:
+    def hits(answer: Column, count: Column) -> Column:
         start = answer["answer_start"]
-        end = start + F.length(answer["text"])
-        first, last = _hit_range(start, end, count, size, stride)
+        first, last = _hit_range(start, start + F.length(answer["text"]), count, size, stride)
         return F.coalesce(F.greatest(last - first + 1, F.lit(0)), F.lit(0)).cast("long")
 
-    per_row = F.aggregate("answers", F.lit(0).cast("long"), lambda total, answer: total + hits(answer))
+    per_row = spans.let(
+        _count(size, stride, keep_tail),
+        lambda count: F.aggregate("answers", F.lit(0).cast("long"), lambda total, answer: total + hits(answer, count)),
+    )
     return (
         qa.filter(~F.col("is_impossible"))
         .select(*PAIR, per_row.alias("n"))
@@ -91,71 +92,56 @@ def positive_samples(qa: DataFrame, size: int, stride: int, keep_tail: bool = Fa
     )
 
 
-def _candidates(qa: DataFrame, wanted: Column, size: int, stride: int, keep_tail: bool) -> DataFrame:
-    """Distinct window texts per (title, question) as digests, with one place to find each."""
-    count = _count(size, stride, keep_tail)
-    digests = F.transform(
-        spans.window_texts(F.col("context"), count, size, stride),
-        lambda text, k: F.struct(k.alias("window_no"), F.md5(text).alias("digest")),
-    )
-    places = qa.select(*PAIR, "para_key", wanted.alias("wanted"), F.posexplode(digests).alias("k", "w"))
-    return (
-        places.filter(F.element_at("wanted", F.col("k") + 1))
-        .groupBy(*PAIR, F.col("w.digest").alias("digest"))
-        .agg(F.min(F.struct("para_key", "w.window_no")).alias("place"))
-    )
-
-
-def impossible_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
-    """Every window of an unanswerable question."""
-    wanted = F.array_repeat(F.lit(True), _count(size, stride, keep_tail))
-    return _candidates(qa.filter("is_impossible"), wanted, size, stride, keep_tail)
-
-
-def possible_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
-    """Windows of an answerable question that at least one of its answers does not touch."""
-    count = _count(size, stride, keep_tail)
-
-    def missed(k: Column) -> Column:
-        start = k.cast("long") * stride
-        end = F.least(start + size, F.length("context").cast("long"))
-        return F.coalesce(
-            F.exists(
-                "answers",
-                lambda answer: ~spans.overlaps(
-                    answer["answer_start"],
-                    answer["answer_start"] + F.length(answer["text"]),
-                    start,
-                    end,
-                ),
-            ),
-            F.lit(False),
-        )
+def negative_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
+    """(title, question, is_impossible, digest, place): distinct window texts that may become negatives.
 
-    wanted = F.transform(spans.numbers_below(count), missed)
-    return _candidates(qa.filter(~F.col("is_impossible")), wanted, size, stride, keep_tail)
+    For an unanswerable question all windows, for an answerable one those that
+    at least one of its answers does not touch. A text is represented by its
+    digest and by one place (para_key, window_no) where it can be cut again.
+    """
+    texts = spans.window_texts(F.col("context"), _count(size, stride, keep_tail), size, stride)
+    windows = F.transform(texts, lambda text, k: F.struct(k.alias("window_no"), text.alias("text")))
+    answer_spans = F.transform(
+        "answers",
+        lambda answer: F.struct(
+            answer["answer_start"].alias("a"), (answer["answer_start"] + F.length(answer["text"])).alias("b")
+        ),
+    )
 
+    def missed(window: Column, answers: Column) -> Column:
+        start = window["window_no"].cast("long") * stride
+        end = start + F.length(window["text"])
+        return F.exists(answers, lambda answer: ~spans.overlaps(answer["a"], answer["b"], start, end))
 
-def _choose(candidates: DataFrame, quota: DataFrame, keys: list[str]) -> DataFrame:
-    """First `quota` candidates of each (title, question); pairs without a quota drop out."""
-    limited = candidates.join(quota, keys)
-    return first_n_per_group(limited, PAIR, ["digest"], F.col("quota"))
+    possible = spans.let(answer_spans, lambda answers: F.filter(windows, lambda w: missed(w, answers)))
+    found = F.when(F.col("is_impossible"), windows).otherwise(possible)
+    digests = F.transform(found, lambda w: F.struct(w["window_no"], F.md5(w["text"]).alias("digest")))
+    return (
+        qa.filter(F.col("is_impossible").isNotNull())
+        .select(*PAIR, "is_impossible", "para_key", F.inline(digests))
+        .groupBy(*PAIR, "is_impossible", "digest")
+        .agg(F.min(F.struct("para_key", "window_no")).alias("place"))
+    )
 
 
-def choose_impossible(
+def choose_negatives(
     qa: DataFrame, pair_counts: DataFrame, size: int, stride: int, keep_tail: bool = False
 ) -> DataFrame:
-    """Places of the unanswerable windows kept: per title as many as the quota of the question."""
-    quota = question_quota(pair_counts).select("question", "quota")
-    return _choose(impossible_candidates(qa, size, stride, keep_tail), quota, ["question"])
-
+    """Candidates kept, per title and question: as many unanswerable windows as the quota of the
+    question, and as many unanswered windows as the pair has positives.
 
-def choose_possible(
-    qa: DataFrame, pair_counts: DataFrame, size: int, stride: int, keep_tail: bool = False
-) -> DataFrame:
-    """Places of the unanswered windows kept: per (title, question) as many as it has positives."""
-    quota = pair_counts.withColumnRenamed("positives", "quota")
-    return _choose(possible_candidates(qa, size, stride, keep_tail), quota, PAIR)
+    `pair_counts` should be a stored frame. Pairs without a limit drop out.
+    """
+    quota = question_quota(pair_counts).select("question", "quota")
+    small = has_at_most(pair_counts, BROADCAST_ROWS)  # the quota has no more rows than the counts
+    limited = (
+        negative_candidates(qa, size, stride, keep_tail)
+        .join(F.broadcast(quota) if small else quota, "question")
+        .join(F.broadcast(pair_counts) if small else pair_counts, PAIR, "left")
+        .withColumn("n", F.when(F.col("is_impossible"), F.col("quota")).otherwise(F.col("positives")))
+        .filter(F.col("n").isNotNull())
+    )
+    return first_n_per_group(limited, [*PAIR, "is_impossible"], ["digest"], F.col("n"), present=["place"])
 
 
 def cut_negatives(qa: DataFrame, places: DataFrame, size: int, stride: int) -> DataFrame:
@@ -180,11 +166,12 @@ def cut_negatives(qa: DataFrame, places: DataFrame, size: int, stride: int) -> D
 def build_samples(
     qa: DataFrame, size: int = spans.SIZE, stride: int = spans.STRIDE, keep_tail: bool = False
 ) -> DataFrame:
-    """Positives, balanced unanswerable windows and balanced unanswered windows."""
-    counts = positive_counts(qa, size, stride, keep_tail)
-    places = choose_impossible(qa, counts, size, stride, keep_tail).unionByName(
-        choose_possible(qa, counts, size, stride, keep_tail)
-    )
-    negatives = cut_negatives(qa, places, size, stride)
+    """Positives, balanced unanswerable windows and balanced unanswered windows.
+
+    The counts, one row per (title, question), are stored before the balancing
+    that reads them several times.
+    """
+    counts = cut_lineage(positive_counts(qa, size, stride, keep_tail))
+    negatives = cut_negatives(qa, choose_negatives(qa, counts, size, stride, keep_tail), size, stride)
     positives = positive_samples(qa, size, stride, keep_tail)
     return positives.select(*SAMPLE_COLUMNS).unionByName(negatives.select(*SAMPLE_COLUMNS))

@@ -10,6 +10,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+BROADCAST_ROWS = 200_000
+
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A session for one machine."""
@@ -42,3 +44,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a frame that has fewer splits than the session has cores.
+
+    Meant for small inputs with heavy work per row, such as one file of texts.
+    An input that already fills the cores is returned as it is, so nothing is
+    shuffled on large data.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
+def has_at_most(stored: DataFrame, rows: int) -> bool:
+    """Whether a stored narrow frame is small enough for a broadcast.
+
+    Callers leave a larger frame without a hint: it then joins by shuffle,
+    where adaptive execution splits keys that hold too many rows.
+    """
+    return stored.limit(rows + 1).count() <= rows

@@ -158,9 +158,8 @@ def test_samples_equal_plain_loops(spark):
     got = qa_samples.positive_samples(qa, size, stride)
     assert sorted(map(tuple, got.select(*qa_samples.SAMPLE_COLUMNS).collect())) == sorted(positives)
     counts = qa_samples.positive_counts(qa, size, stride)
-    negatives = []
-    for choose in (qa_samples.choose_impossible, qa_samples.choose_possible):
-        negatives += qa_samples.cut_negatives(qa, choose(qa, counts, size, stride), size, stride).collect()
+    chosen = qa_samples.choose_negatives(qa, counts, size, stride)
+    negatives = qa_samples.cut_negatives(qa, chosen, size, stride).collect()
     assert len(negatives) == sum(n for _, n, _ in wanted)
     for row in negatives:
         assert (row.answer_start, row.answer_end) == (0, 0)
