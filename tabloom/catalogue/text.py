@@ -100,7 +100,7 @@ def mark_index(spark, folder):
 def token_index(spark, folder):
     dictionary = cut_lineage(document_vocabulary(spark, folder))
     indexed = voc.token_index(_chat_words(spark, folder), dictionary, CHAT_KEYS)
-    arrays = voc.gather(indexed, CHAT_KEYS, "ix", "indices")
+    arrays = voc.gather(indexed, CHAT_KEYS, {"indices": "ix"})
     return arrays.select(*CHAT_KEYS, F.array_join(F.col("indices").cast("array<string>"), " ").alias("indices"))
 
 
@@ -119,8 +119,8 @@ def spell_fix(spark, folder):
 def spell_apply(spark, folder):
     known = cut_lineage(document_vocabulary(spark, folder))
     tokens = _chat_words(spark, folder)
-    fixed = voc.apply_fixes(tokens, voc.spelling_fixes(tokens, known))
-    texts = voc.gather(fixed, CHAT_KEYS, "word", "words")
+    fixed = voc.apply_fixes(tokens, voc.spelling_fixes(tokens, known), known, CHAT_KEYS)
+    texts = voc.gather(fixed, CHAT_KEYS, {"words": "word"})
     return texts.select(*CHAT_KEYS, F.array_join("words", " ").alias("text"))
 
 

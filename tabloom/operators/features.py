@@ -9,7 +9,7 @@ from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, Vecto
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.ranking import hash_key, hashed_rank, join_groups
+from tabloom.operators.ranking import hash_key, hashed_rank
 
 
 def ordinal_encoder(columns: Sequence[str], suffix: str = "_code") -> StringIndexer:
@@ -107,8 +107,7 @@ def _label_sizes(df: DataFrame, label: str) -> DataFrame:
 
 def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.8, seed: int = 42) -> DataFrame:
     """Add `part`: in each label class the first `share` of the rows, in hash order, are train."""
-    ranked = hashed_rank(df, [label], [key], "__rank", seed)
-    sized = join_groups(ranked, _label_sizes(df, label), [label])
+    sized = hashed_rank(df, [label], [key], "__rank", seed, size="__size")
     limit = F.round(F.col("__size") * share)
     return sized.withColumn("part", F.when(F.col("__rank") <= limit, "train").otherwise("test")).drop(
         "__rank", "__size"
@@ -141,9 +140,20 @@ def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataF
 
 
 def word_vectors(
-    sentences: DataFrame, tokens: str, size: int = 100, window: int = 3, min_count: int = 1, seed: int = 42, parts: int = 1
+    sentences: DataFrame,
+    tokens: str,
+    size: int = 100,
+    window: int = 3,
+    min_count: int = 1,
+    seed: int = 42,
+    parts: int | None = None,
 ) -> DataFrame:
-    """(word, vec): skip-gram word vectors of the token arrays."""
+    """(word, vec): skip-gram word vectors of the token arrays.
+
+    Training runs on `parts` partitions, by default one per core; with one
+    partition a single task would read all sentences.
+    """
+    parts = parts or sentences.sparkSession.sparkContext.defaultParallelism
     model = Word2Vec(
         inputCol=tokens, outputCol="__v", vectorSize=size, windowSize=window, minCount=min_count, seed=seed,
         numPartitions=parts,

@@ -48,7 +48,7 @@ def column_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _spread(row, columns, {"low": [f"lo_{c}" for c in columns], "high": [f"hi_{c}" for c in columns]})
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int = 64) -> DataFrame:
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int | None = None) -> DataFrame:
     """column, share, value: exact quantiles with linear interpolation.
 
     Equal values are counted first; ranks of the distinct values come from
@@ -68,27 +68,32 @@ def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], pa
         .groupBy("column", "bucket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(counted, "bucket", [F.col("value")], {"last": F.col("n")}, ["column"])
-    totals = counted.groupBy("column").agg(F.sum("n").alias("total"))
+    ranked = running_totals(
+        counted, "bucket", [F.col("value")], {"last": F.col("n")}, ["column"], {"total": "last"}
+    )
     # 0-based ranks first..last-1 hold this value; a quantile needs the two ranks around its place
-    spots = totals.select("column", F.explode(F.array(*[F.lit(s) for s in shares])).alias("share"), "total").select(
+    places = [
+        F.struct(F.lit(s).alias("share"), (F.lit(s) * (F.col("total") - 1)).alias("place")) for s in shares
+    ]
+    first = F.col("last") - F.col("n")
+    pick = ranked.select(
         "column",
-        "share",
-        (F.col("share") * (F.col("total") - 1)).alias("place"),
-    )
-    pick = (
-        ranked.join(F.broadcast(spots), "column")  # columns x shares rows
-        .withColumn("low_rank", F.floor("place"))
-        .withColumn("high_rank", F.ceil("place"))
-        .withColumn("first", F.col("last") - F.col("n"))
-    )
+        "value",
+        first.alias("first"),
+        "last",
+        F.inline(
+            F.filter(
+                F.array(*places),
+                lambda p: (first <= F.ceil(p["place"])) & (F.floor(p["place"]) < F.col("last")),
+            )
+        ),
+    ).withColumns({"low_rank": F.floor("place"), "high_rank": F.ceil("place")})
 
     def at(rank: str):
         return F.max(F.when((F.col("first") <= F.col(rank)) & (F.col(rank) < F.col("last")), F.col("value")))
 
     return (
-        pick.filter((F.col("first") <= F.col("high_rank")) & (F.col("low_rank") < F.col("last")))
-        .groupBy("column", "share", "place")
+        pick.groupBy("column", "share", "place")
         .agg(at("low_rank").alias("low"), at("high_rank").alias("high"))
         .select(
             "column",
@@ -134,14 +139,20 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
+def duplicate_rows(df: DataFrame, chunk: int = 100_000) -> DataFrame:
     """All occurrences of a row after its first.
 
     Equal rows are counted (reduced before the shuffle) and written out again
-    n - 1 times, so a row with many copies never meets in one window.
+    n - 1 times. The copies are cut into chunks that are spread over tasks, so
+    a row that makes up much of the table does not fill one of them.
     """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    return counted.withColumn("__i", F.explode(F.sequence(F.lit(2), F.col("__n")))).select(*df.columns)
+    counted = df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("__n")).filter("__n > 0")
+    chunks = (
+        counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / chunk))))
+        .withColumn("__left", F.least(F.col("__n") - F.col("__chunk") * chunk, F.lit(chunk)).cast("int"))
+        .repartition("__chunk", *df.columns)
+    )
+    return chunks.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("__left"))).alias("__i")).drop("__i")
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:

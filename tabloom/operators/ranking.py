@@ -50,13 +50,16 @@ def running_totals(
     order: Sequence[Column],
     totals: dict[str, Column],
     groups: Sequence[str] = (),
+    whole: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running totals in (`bucket`, `order`) order within `groups`.
 
     `bucket` must be a deterministic column that rises with the order; `totals`
-    maps new column names to the expression to add up. Window, bucket totals
-    and join share one key, so the rows are shuffled once.
+    maps new column names to the expression to add up. `whole` maps further
+    names to an entry of `totals` whose sum over the entire group they take.
+    Window, bucket totals and join share one key, so the rows are shuffled once.
     """
+    whole = whole or {}
     columns = df.columns
     if "__key" in columns:
         raise ValueError("__key is a reserved column name")
@@ -66,16 +69,15 @@ def running_totals(
     )
     local = keyed.select("*", *[F.sum(v).over(local_window).alias(f"__l_{n}") for n, v in totals.items()])
     sizes = keyed.groupBy("__key").agg(*[F.sum(v).alias(f"__n_{n}") for n, v in totals.items()])
-    step = (
-        Window.partitionBy(*[F.col("__key")[g] for g in groups])
-        .orderBy(F.col("__key")[bucket])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    group = Window.partitionBy(*[F.col("__key")[g] for g in groups])
+    step = group.orderBy(F.col("__key")[bucket]).rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(
-        "__key", *[F.coalesce(F.sum(f"__n_{n}").over(step), F.lit(0)).alias(f"__b_{n}") for n in totals]
+        "__key",
+        *[F.coalesce(F.sum(f"__n_{n}").over(step), F.lit(0)).alias(f"__b_{n}") for n in totals],
+        *[F.sum(f"__n_{n}").over(group).alias(name) for name, n in whole.items()],
     )
     return local.join(before, "__key").select(
-        *columns, *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in totals]
+        *columns, *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in totals], *whole
     )
 
 
@@ -85,13 +87,15 @@ def hashed_rank(
     items: Sequence[str],
     rank: str = "rank",
     seed: int | None = None,
-    digits: int = 2,
+    digits: int = 4,
     present: Sequence[str] = (),
+    size: str | None = None,
 ) -> DataFrame:
     """1-based rank of each row inside `groups`, in hash order of `items`.
 
-    `items` must tell the rows of a group apart. A group of any size is spread
-    over 16**digits buckets. `present` names further columns that are never
+    `items` must tell the rows of a group apart. A large group is spread over
+    16**digits buckets. `size` names a column for the size of the group, if
+    wanted. `present` names further columns that are never
     null: counting the rows through them keeps them in both branches of the
     plan, which then share the shuffle that produced them.
     """
@@ -103,6 +107,7 @@ def hashed_rank(
         [F.col("__hash"), *[F.col(c) for c in items]],
         {rank: row_weight(present)},
         groups,
+        {size: rank} if size else None,
     )
     return ranked.drop("__hash", "__bucket")
 
@@ -125,12 +130,15 @@ def first_n_per_group(
     return ranked.filter(F.col("__rank") <= limit).drop("__rank")
 
 
-def value_buckets(df: DataFrame, columns: Sequence[str], parts: int = 64) -> dict[str, list[float]]:
+def value_buckets(df: DataFrame, columns: Sequence[str], parts: int | None = None) -> dict[str, list[float]]:
     """Split points that cut each numeric column into about `parts` equal shares.
 
     One pass with quantile sketches; at most `parts` numbers per column reach
-    the driver. Exactness never depends on them, only balance does.
+    the driver, by default four per shuffle partition within 64..2048.
+    Exactness never depends on them, only balance does.
     """
+    if parts is None:
+        parts = min(max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 64), 2048)
     shares = [i / parts for i in range(1, parts)]
     found = df.approxQuantile(list(columns), shares, 0.5 / parts)
     bounds = {}

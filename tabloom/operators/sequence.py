@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.vocabulary import START, STOP, gather, lookup_words, token_rows
+from tabloom.operators.vocabulary import START, STOP, gather, lookup_words
 
 SMOOTHING = 1.0
 
@@ -99,9 +99,18 @@ def tagger(steps: DataFrame, seen: DataFrame, smoothing: float = SMOOTHING) -> D
 
 
 def with_emissions(
-    sentences: DataFrame, keys: Sequence[str], seen: DataFrame, model: DataFrame, tokens: str = "tokens"
+    sentences: DataFrame,
+    keys: Sequence[str],
+    seen: DataFrame,
+    model: DataFrame,
+    tokens: str = "tokens",
+    tags: str | None = "tags",
 ) -> DataFrame:
-    """Add `tagger` and `emit`: per token the score under every tag, in the order of the tagger's tags."""
+    """(keys..., tags, emit, tagger); emit holds per token the scores under the tagger's tags.
+
+    Given tags travel with their tokens, so the sentences need no join of their
+    own. Pass `tags=None` for sentences without tags.
+    """
     by_word = seen.groupBy("word").agg(
         F.sum("n").alias("freq"), F.map_from_entries(F.collect_list(F.struct("tag", "score"))).alias("by_tag")
     )
@@ -112,10 +121,11 @@ def with_emissions(
             "tagger.tags", "tagger.unseen", lambda t, u: F.coalesce(F.try_element_at(F.col("by_tag"), t), u)
         ).alias("scores"),
     )
-    found = lookup_words(token_rows(sentences, F.col(tokens), keys), dense, keys)
-    gathered = gather(found, keys, "scores", "emit")
-    joined = sentences.join(gathered, list(keys)).withColumn("tagger", model.scalar())
-    return joined.withColumn("emit", F.transform("emit", lambda e: F.coalesce(e, F.col("tagger.unseen"))))
+    parallel = F.arrays_zip(F.col(tokens).alias("word"), *([F.col(tags).alias("tag")] if tags else []))
+    rows = sentences.select(*keys, F.posexplode(parallel).alias("pos", "t")).select(*keys, "pos", "t.*")
+    arrays = {"emit": "scores"} | ({tags: "tag"} if tags else {})
+    gathered = gather(lookup_words(rows, dense, keys), keys, arrays).withColumn("tagger", model.scalar())
+    return gathered.withColumn("emit", F.transform("emit", lambda e: F.coalesce(e, F.col("tagger.unseen"))))
 
 
 def _add(a: Column, b: Column) -> Column:

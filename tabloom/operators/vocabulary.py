@@ -22,10 +22,14 @@ def token_rows(df: DataFrame, tokens: Column, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, F.posexplode(tokens).alias("pos", "word"))
 
 
-def gather(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Back to one array per text in token order; a group is the tokens of one text."""
-    pairs = F.array_sort(F.collect_list(F.struct("pos", value)))
-    return df.groupBy(*keys).agg(F.transform(pairs, lambda p: p[value]).alias(name))
+def gather(df: DataFrame, keys: Sequence[str], arrays: dict[str, str]) -> DataFrame:
+    """Back to arrays per text in token order; a group is the tokens of one text.
+
+    `arrays` maps the names of the arrays to the columns they hold.
+    """
+    columns = list(arrays.values())
+    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", *columns))).alias("__rows"))
+    return rows.select(*keys, *[F.col("__rows")[column].alias(name) for name, column in arrays.items()])
 
 
 def vocabulary(words: DataFrame, word: str = "word", specials: Sequence[str] = (PAD, UNKNOWN)) -> DataFrame:
@@ -43,7 +47,7 @@ def vocabulary(words: DataFrame, word: str = "word", specials: Sequence[str] = (
 
 
 def first_seen_index(
-    df: DataFrame, mark: str, order: Sequence[str], fixed: Sequence[str] = (), parts: int = 64
+    df: DataFrame, mark: str, order: Sequence[str], fixed: Sequence[str] = (), parts: int | None = None
 ) -> DataFrame:
     """(mark, ix): index by first appearance; `fixed` entries take the first numbers.
 
@@ -65,21 +69,29 @@ def first_seen_index(
     return head.unionByName(found)
 
 
-def lookup_words(tokens: DataFrame, entries: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of token rows (keys..., pos, word) with `entries` (word, freq, value columns).
+def _with_join_key(tokens: DataFrame, entries: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Tokens with the entry of heavy words (`__heavy`) and a key for the main join (`__look`).
 
-    `entries` has one row per word and should be a stored frame. Words that
-    make up more than 1/256 of the counted tokens, hence fewer than 256 words,
-    are looked up in a broadcast table. Their rows then carry a key of their
-    own in the main join, so that no frequent word fills one task there.
+    Words that make up more than 1/256 of the tokens counted in `entries`, hence
+    fewer than 256 words, are looked up in a broadcast table. Their rows get a
+    key of their own that matches nothing, so that no frequent word fills one
+    task of the main join.
     """
-    values = [c for c in entries.columns if c not in ("word", "freq")]
     total = entries.agg(F.sum("freq")).scalar()
     heavy = entries.filter(F.col("freq") * HEAVY_SHARE > total).select("word", F.struct(*values).alias("__heavy"))
     own = F.concat_ws(SEPARATOR, F.lit(""), *[F.col(k).cast("string") for k in keys], F.col("pos").cast("string"))
-    seen = tokens.join(F.broadcast(heavy), "word", "left").withColumn(
+    return tokens.join(F.broadcast(heavy), "word", "left").withColumn(
         "__look", F.when(F.col("__heavy").isNull(), F.col("word")).otherwise(own)
     )
+
+
+def lookup_words(tokens: DataFrame, entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of token rows (keys..., pos, word) with `entries` (word, freq, value columns).
+
+    `entries` has one row per word and should be a stored frame.
+    """
+    values = [c for c in entries.columns if c not in ("word", "freq")]
+    seen = _with_join_key(tokens, entries, keys, values)
     rest = entries.select(F.col("word").alias("__look"), F.struct(*values).alias("__rest"))
     looked = seen.join(rest, "__look", "left").withColumn("__found", F.coalesce("__heavy", "__rest"))
     return looked.select(*tokens.columns, *[F.col("__found")[v].alias(v) for v in values])
@@ -146,9 +158,15 @@ def spelling_fixes(words: DataFrame, known: DataFrame, min_length: int = 4) -> D
     return best.select("word", F.col("b.fixed").alias("fixed"))
 
 
-def apply_fixes(tokens: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Replace every token that has a fix. Fixes cover unknown words only."""
-    return tokens.join(fixes, "word", "left").withColumn("word", F.coalesce("fixed", "word")).drop("fixed")
+def apply_fixes(tokens: DataFrame, fixes: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Replace every token (keys..., pos, word) that has a fix.
+
+    Known words never have one; the frequent ones among them are kept out of
+    the join.
+    """
+    seen = _with_join_key(tokens, known, keys, ["freq"])
+    joined = seen.join(fixes.select(F.col("word").alias("__look"), "fixed"), "__look", "left")
+    return joined.withColumn("word", F.coalesce("fixed", "word")).select(*tokens.columns)
 
 
 def embed(words: DataFrame, word: str, sources: Sequence[tuple[DataFrame, int]], name: str = "vector") -> DataFrame:

@@ -81,6 +81,8 @@ def test_duplicates(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, None), (2, "x")], "a int, b string")
     assert [tuple(r) for r in profile.duplicate_rows(df).collect()] == [(1, None), (1, None)]
     assert profile.drop_duplicates(df).count() == 2
+    many = spark.createDataFrame([(1,)] * 1000 + [(2,)] * 2 + [(3,)], "a int")
+    assert dict(profile.duplicate_rows(many, chunk=7).groupBy("a").count().collect()) == {1: 999, 2: 1}
 
 
 def test_histogram_of_a_constant_and_of_values(spark):

@@ -168,7 +168,7 @@ def test_token_index_with_a_word_that_is_most_of_the_text(spark, broadcast):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        found = voc.gather(voc.token_index(tokens, dictionary, ["id"]), ["id"], "ix", "ixs").collect()
+        found = voc.gather(voc.token_index(tokens, dictionary, ["id"]), ["id"], {"ixs": "ix"}).collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert {r.id: r.ixs for r in found} == {i: [ids.get(w, ids["[UNKNOWN]"]) for w in ws] for i, ws in sentences}
