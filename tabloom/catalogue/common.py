@@ -12,7 +12,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def texts(spark: SparkSession, folder: str, name: str, key: str, *columns: str) -> DataFrame:
+def spread_table(spark: SparkSession, folder: str, name: str, key: str, *columns: str) -> DataFrame:
     """A table whose rows are costly to work on, spread over the cores when it is one small file."""
     wanted = table(spark, folder, name)
     return spread(wanted.select(*columns) if columns else wanted, key)

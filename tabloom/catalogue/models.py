@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.common import table, texts
+from tabloom.catalogue.common import spread_table, table
 from tabloom.functions import text
 from tabloom.operators import evaluate, features, models, tuning
 from tabloom.session import cut_lineage
@@ -18,7 +18,7 @@ FOLDS = 3
 
 def document_facts(spark, folder):
     """doc_id, label and predictors of the labelled documents."""
-    docs = texts(spark, folder, "documents", KEY)
+    docs = spread_table(spark, folder, "documents", KEY)
     labels = table(spark, folder, "labels").select(KEY, F.col("quality").cast("double").alias("label"))
     body = F.col("text")
     size = F.greatest(F.length(body), F.lit(1))
@@ -192,7 +192,7 @@ def permutation_importance(spark, folder):
 
 def word_vectors(spark, folder):
     """Vectors of the words of the conversations, one row per number."""
-    chat = texts(spark, folder, "conversations", "conv_id")
+    chat = spread_table(spark, folder, "conversations", "conv_id")
     sentences = chat.select(text.split_spaces(text.normalise(F.col("text"))).alias("tokens"))
     found = features.word_vectors(sentences, "tokens", size=16, window=3)
     return found.select("word", F.posexplode("vec").alias("dim", "value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.common import rounded, table
+from tabloom.catalogue.common import rounded, spread_table, table
 from tabloom.operators import grouping, profile
 
 LINE_NUMBERS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -22,7 +22,7 @@ def null_fraction(spark, folder):
 
 
 def describe_numeric(spark, folder):
-    found = profile.describe(table(spark, folder, "lineitem"), LINE_NUMBERS)
+    found = profile.describe(spread_table(spark, folder, "lineitem", "l_orderkey"), LINE_NUMBERS)
     return found.select(
         "column", "count", *[rounded(F.col(c), c, 4) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.common import texts
+from tabloom.catalogue.common import spread_table
 from tabloom.operators import grouping, windows
 from tabloom.operators.flatten import explode_answers, flatten_qa, split_answerable
 from tabloom.operators.ranking import first_n_per_group
@@ -23,7 +23,7 @@ SIZE, STRIDE = 512, 256
 
 def nested_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents in the nested question-answer shape, one `data` entry each."""
-    docs = texts(spark, folder, "documents", "doc_id")
+    docs = spread_table(spark, folder, "documents", "doc_id")
     length = F.length("text")
 
     def answer(factor: int):
@@ -48,7 +48,7 @@ def document_qa(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _doc_windows(spark, folder):
-    docs = texts(spark, folder, "documents", "doc_id", "doc_id", "text")
+    docs = spread_table(spark, folder, "documents", "doc_id", "doc_id", "text")
     return windows.char_windows(docs, "text", SIZE, STRIDE)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.common import SQL_SPACE, rounded, sql_strip, texts
+from tabloom.catalogue.common import SQL_SPACE, rounded, sql_strip, spread_table
 from tabloom.functions import text
 from tabloom.operators import sequence
 from tabloom.session import cut_lineage
@@ -17,7 +17,7 @@ KEYS = ["conv_id", "turn"]
 
 
 def tagged_messages(spark, folder):
-    words = texts(spark, folder, "conversations", "conv_id").select(*KEYS, text.split_words(F.col("text")).alias("words"))
+    words = spread_table(spark, folder, "conversations", "conv_id").select(*KEYS, text.split_words(F.col("text")).alias("words"))
 
     def tag(w):
         return (

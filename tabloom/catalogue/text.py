@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.common import SQL_SPACE, rounded, sql_cap, sql_normalise, sql_strip, table, texts
+from tabloom.catalogue.common import SQL_SPACE, rounded, sql_cap, sql_normalise, sql_strip, spread_table, table
 from tabloom.functions import text, vectors
 from tabloom.operators import vocabulary as voc
 from tabloom.session import cut_lineage
@@ -15,16 +15,16 @@ CHAT_KEYS = ["conv_id", "turn"]
 
 
 def text_normalise(spark, folder):
-    chat = texts(spark, folder, "conversations", "conv_id")
+    chat = spread_table(spark, folder, "conversations", "conv_id")
     return chat.select(*CHAT_KEYS, text.strip(text.collapse_spaces(F.lower("text"))).alias("text"))
 
 
 def cap_runs(spark, folder):
-    return texts(spark, folder, "documents", "doc_id").select("doc_id", text.cap_runs(F.col("text")).alias("text"))
+    return spread_table(spark, folder, "documents", "doc_id").select("doc_id", text.cap_runs(F.col("text")).alias("text"))
 
 
 def tokenise(spark, folder):
-    chat = texts(spark, folder, "conversations", "conv_id")
+    chat = spread_table(spark, folder, "conversations", "conv_id")
     return chat.select(
         *CHAT_KEYS,
         F.array_join(text.split_spaces(text.normalise(F.col("text"))), "|").alias("tokens"),
@@ -33,7 +33,7 @@ def tokenise(spark, folder):
 
 
 def substring_position(spark, folder):
-    return texts(spark, folder, "documents", "doc_id").select("doc_id", text.position_of(F.col("text"), "the ").alias("place"))
+    return spread_table(spark, folder, "documents", "doc_id").select("doc_id", text.position_of(F.col("text"), "the ").alias("place"))
 
 
 def slugify(spark, folder):
@@ -43,28 +43,28 @@ def slugify(spark, folder):
 
 
 def page_links(spark, folder):
-    pages = texts(spark, folder, "pages", "page_id")
+    pages = spread_table(spark, folder, "pages", "page_id")
     return pages.select("page_id", F.posexplode(text.all_matches(F.col("html"), LINK)).alias("pos", "link"))
 
 
 def html_words(spark, folder):
-    return voc.token_rows(texts(spark, folder, "pages", "page_id"), text.html_words(F.col("html")), ["page_id"])
+    return voc.token_rows(spread_table(spark, folder, "pages", "page_id"), text.html_words(F.col("html")), ["page_id"])
 
 
 def stopword_filter(spark, folder):
-    chat = texts(spark, folder, "conversations", "conv_id")
+    chat = spread_table(spark, folder, "conversations", "conv_id")
     kept = text.remove_words(text.split_spaces(text.normalise(F.col("text"))), STOPWORDS)
     return chat.select(*CHAT_KEYS, F.array_join(kept, " ").alias("text"))
 
 
 def _document_words(spark, folder):
     tokens = text.split_spaces(text.normalise(F.col("text")))
-    return voc.token_rows(texts(spark, folder, "documents", "doc_id"), tokens, ["doc_id"])
+    return voc.token_rows(spread_table(spark, folder, "documents", "doc_id"), tokens, ["doc_id"])
 
 
 def _chat_words(spark, folder):
     tokens = text.split_spaces(text.normalise(F.col("text")))
-    return voc.token_rows(texts(spark, folder, "conversations", "conv_id"), tokens, CHAT_KEYS)
+    return voc.token_rows(spread_table(spark, folder, "conversations", "conv_id"), tokens, CHAT_KEYS)
 
 
 def document_vocabulary(spark, folder):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -51,23 +52,18 @@ def column_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int | None = None) -> DataFrame:
     """column, share, value: exact quantiles with linear interpolation.
 
-    Equal values are counted first; ranks of the distinct values come from
-    bucketed running counts, so no column has to fit one task.
+    Equal values are counted first, column by column; ranks of the distinct
+    values come from bucketed running counts, so no column has to fit one task.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     bounds = value_buckets(numbers, columns, parts)
-    for c in columns:
-        numbers = with_value_bucket(numbers, c, bounds[c], f"__b_{c}")
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"__b_{c}").alias("bucket"))
-        for c in columns
-    ]
-    counted = (
-        numbers.select(F.inline(F.array(*cells)))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+
+    def distinct_values(c: str) -> DataFrame:
+        values = numbers.select(F.col(c).alias("value")).filter(F.col("value").isNotNull())
+        counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        return with_value_bucket(counts, "value", bounds[c], "bucket").withColumn("column", F.lit(c))
+
+    counted = reduce(DataFrame.unionByName, [distinct_values(c) for c in columns])
     ranked = running_totals(
         counted, "bucket", [F.col("value")], {"last": F.col("n")}, ["column"], {"total": "last"}
     )
@@ -117,13 +113,15 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approximate: b
         "min": lambda c: F.min(c).cast("double"),
         "max": lambda c: F.max(c).cast("double"),
     }
+    shares = [0.25, 0.5, 0.75]
     if approximate:
-        for name, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
-            wanted[name] = lambda c, share=share: F.percentile_approx(c, share).cast("double")
+        wanted["quarters"] = lambda c: F.percentile_approx(c, shares).cast("array<double>")
     row = df.agg(*[make(c).alias(f"{k}_{c}") for k, make in wanted.items() for c in columns])
     summary = _spread(row, columns, {k: [f"{k}_{c}" for c in columns] for k in wanted})
-    if not approximate:
-        quarters = quantiles(df, columns, [0.25, 0.5, 0.75])
+    if approximate:
+        summary = summary.withColumns({n: F.col("quarters")[i] for i, n in enumerate(("q25", "q50", "q75"))})
+    else:
+        quarters = quantiles(df, columns, shares)
         wide = quarters.groupBy("column").agg(
             *[
                 F.max(F.when(F.col("share") == share, F.col("value"))).alias(name)
