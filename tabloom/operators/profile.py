@@ -49,13 +49,43 @@ def column_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _spread(row, columns, {"low": [f"lo_{c}" for c in columns], "high": [f"hi_{c}" for c in columns]})
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int | None = None) -> DataFrame:
+FEW_VALUES = 50_000
+
+
+def quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], few: int = FEW_VALUES, parts: int | None = None
+) -> DataFrame:
     """column, share, value: exact quantiles with linear interpolation.
 
-    Equal values are counted first, column by column; ranks of the distinct
-    values come from bucketed running counts, so no column has to fit one task.
+    Equal values are counted before the shuffle. A column with at most about
+    `few` distinct values (measured by a sketch first) is finished from its
+    counts in one small aggregate; the others are ranked in parallel.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    distinct = numbers.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    small = [c for c in columns if distinct[c] <= few]
+    large = [c for c in columns if distinct[c] > few]
+    found = []
+    if small:
+        found.append(_quantiles_of_few(numbers, small, shares))
+    if large:
+        found.append(_quantiles_of_many(numbers, large, shares, parts))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _quantiles_of_few(numbers: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    cells = unpivot(numbers, columns, "double").filter(F.col("value").isNotNull())
+    counts = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    points = counts.groupBy("column").agg(F.percentile("value", list(shares), F.col("n")).alias("points"))
+    labels = F.array(*[F.lit(s) for s in shares])
+    pairs = F.arrays_zip(labels.alias("share"), F.col("points").alias("value"))
+    return points.select("column", F.inline(pairs)).toDF("column", "share", "value")
+
+
+def _quantiles_of_many(
+    numbers: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int | None
+) -> DataFrame:
+    """Ranks of the distinct values come from bucketed running counts; no column has to fit one task."""
     bounds = value_buckets(numbers, columns, parts)
 
     def distinct_values(c: str) -> DataFrame:

@@ -55,11 +55,12 @@ def test_running_totals_by_value(spark):
         assert r.t == sum(n for g, v, n in rows if g == r.g and v <= r.v)
 
 
-def test_quantiles_are_exact(spark):
+@pytest.mark.parametrize("few", [0, 1, 10**6])
+def test_quantiles_are_exact(spark, few):
     source = random.Random(2)
     values = [source.choice([source.gauss(0, 10), 5.0]) for _ in range(1001)] + [None] * 10
     df = spark.createDataFrame([(v, 1.5) for v in values], "v double, w double").repartition(7)
-    got = {(r.column, r.share): r.value for r in profile.quantiles(df, ["v", "w"], [0.0, 0.1, 0.5, 0.99, 1.0]).collect()}
+    got = {(r.column, r.share): r.value for r in profile.quantiles(df, ["v", "w"], [0.0, 0.1, 0.5, 0.99, 1.0], few).collect()}
     clean = sorted(v for v in values if v is not None)
     for share in (0.0, 0.1, 0.5, 0.99, 1.0):
         place = share * (len(clean) - 1)
