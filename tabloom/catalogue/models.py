@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.common import spread_table, table
+from tabloom.catalogue.common import rounded, spread_table, table
 from tabloom.functions import text
 from tabloom.operators import evaluate, features, models, tuning
 from tabloom.session import cut_lineage
@@ -47,7 +47,7 @@ def _training(spark, folder, categories=("lang",)):
     folded = features.fold_assignment(weighted, KEY, "label", FOLDS)
     pipeline = features.feature_pipeline(NUMBERS, list(categories))
     ready = pipeline.fit(folded).transform(folded)
-    names = models.feature_names(ready)
+    names = models.feature_names(ready, NUMBERS)
     return cut_lineage(ready.select(KEY, "label", "weight", "fold", *NUMBERS, "features")), names
 
 
@@ -56,7 +56,8 @@ def assembled(spark, folder):
     from pyspark.ml.functions import vector_to_array
 
     rows, _ = _training(spark, folder)
-    return rows.select(KEY, F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    slots = rows.select(KEY, F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return slots.select(KEY, "slot", rounded(F.col("value"), "value"))
 
 
 def _fit_scores(spark, folder, build):
@@ -220,4 +221,24 @@ QUERIES = {
     "word_vectors": word_vectors,
 }
 
-SQL: dict[str, str] = {}
+_FACTS = """
+    facts AS (
+      SELECT doc_id, lang, CAST(n_chars AS DOUBLE) AS n_chars, CAST(len(str_split(text, ' ')) AS DOUBLE) AS words,
+             1 - length(regexp_replace(text, '[0-9]', '', 'g')) / length(text) AS digit_share,
+             1 - length(regexp_replace(text, '\\p{Lu}', '', 'g')) / length(text) AS capital_share,
+             CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS line_breaks,
+             length(text) / len(str_split(text, ' ')) AS word_length
+      FROM documents JOIN labels USING (doc_id)),
+    levels AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS ix FROM (SELECT DISTINCT lang FROM facts))"""
+
+SQL = {
+    # six scaled numbers, then one slot per language and two for unseen and invalid ones
+    "assembled_features": f"WITH {_FACTS} "
+    + " UNION ALL ".join(
+        f"SELECT doc_id, {i} AS slot, round(({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()), 6) AS value "
+        f"FROM facts"
+        for i, c in enumerate(NUMBERS)
+    )
+    + """ UNION ALL SELECT doc_id, CAST(6 + slot AS INTEGER) AS slot, CASE WHEN slot = ix THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+        FROM facts JOIN levels USING (lang), range((SELECT count(*) + 2 FROM levels)) s(slot)""",
+}

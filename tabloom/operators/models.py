@@ -120,11 +120,15 @@ def auc(model: Model, df: DataFrame) -> float:
     return BinaryClassificationEvaluator(numBins=0).evaluate(model.transform(df))
 
 
-def feature_names(df: DataFrame, features: str = "features") -> list[str]:
-    """Names of the vector slots, from the metadata that the assembler left."""
+def feature_names(df: DataFrame, numeric: Sequence[str] = (), features: str = "features") -> list[str]:
+    """Names of the vector slots, from the metadata that the assembler left.
+
+    A scaler keeps no names for its slots; `numeric` gives those of the scaled block.
+    """
     attributes = df.schema[features].metadata["ml_attr"]["attrs"]
-    flat = [a for kind in attributes.values() for a in kind]
-    return [a["name"] for a in sorted(flat, key=lambda a: a["idx"])]
+    flat = sorted((a for kind in attributes.values() for a in kind), key=lambda a: a["idx"])
+    scaled = {f"numbers_scaled_{i}": name for i, name in enumerate(numeric)}
+    return [scaled.get(a["name"], a["name"]) for a in flat]
 
 
 def importance_rank(model: Model, names: Sequence[str], df: DataFrame) -> DataFrame:
