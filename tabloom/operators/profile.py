@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.operators.grouping import numeric_columns, unpivot
-from tabloom.operators.ranking import running_totals, value_buckets, with_value_bucket
+from tabloom.operators.ranking import value_buckets, with_value_bucket
 
 
 def _spread(row: DataFrame, names: Sequence[str], values: dict[str, list[str]]) -> DataFrame:
@@ -59,7 +59,8 @@ def quantiles(
 
     Equal values are counted before the shuffle. A column with at most about
     `few` distinct values (measured by a sketch first) is finished from its
-    counts in one small aggregate; the others are ranked in parallel.
+    counts in one small aggregate. Of the others only the buckets that hold a
+    wanted rank are ranked.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     distinct = numbers.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
@@ -85,34 +86,48 @@ def _quantiles_of_few(numbers: DataFrame, columns: Sequence[str], shares: Sequen
 def _quantiles_of_many(
     numbers: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int | None
 ) -> DataFrame:
-    """Ranks of the distinct values come from bucketed running counts; no column has to fit one task."""
+    """Bucket sizes tell which buckets hold the wanted ranks; only their values are counted and ranked."""
     bounds = value_buckets(numbers, columns, parts)
 
-    def distinct_values(c: str) -> DataFrame:
+    def cells_of(c: str) -> DataFrame:
         values = numbers.select(F.col(c).alias("value")).filter(F.col("value").isNotNull())
-        counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-        return with_value_bucket(counts, "value", bounds[c], "bucket").withColumn("column", F.lit(c))
+        return with_value_bucket(values, "value", bounds[c], "bucket").withColumn("column", F.lit(c))
 
-    counted = reduce(DataFrame.unionByName, [distinct_values(c) for c in columns])
-    ranked = running_totals(
-        counted, "bucket", [F.col("value")], {"last": F.col("n")}, ["column"], {"total": "last"}
+    cells = reduce(DataFrame.unionByName, [cells_of(c) for c in columns])
+    column = Window.partitionBy("column")
+    earlier = column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cells.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        "column",
+        "bucket",
+        "n",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+        F.sum("n").over(column).alias("total"),
     )
-    # 0-based ranks first..last-1 hold this value; a quantile needs the two ranks around its place
-    places = [
-        F.struct(F.lit(s).alias("share"), (F.lit(s) * (F.col("total") - 1)).alias("place")) for s in shares
-    ]
+    spots = F.array(
+        *[F.struct(F.lit(s).alias("share"), (F.lit(s) * (F.col("total") - 1)).alias("place")) for s in shares]
+    )
+
+    def inside(low: Column, n: Column):
+        """Places whose lower or upper rank lies in ranks low..low + n - 1, counted from 0."""
+        return lambda p: (low <= F.ceil(p["place"])) & (F.floor(p["place"]) < low + n)
+
+    wanted = sizes.select(
+        "column", "bucket", "before", F.filter(spots, inside(F.col("before"), F.col("n"))).alias("places")
+    ).filter(F.size("places") > 0)
+    counted = (
+        cells.join(F.broadcast(wanted), ["column", "bucket"])  # at most two buckets per column and share
+        .groupBy("column", "bucket", "before", "places", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    running = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("last", F.col("before") + F.sum("n").over(running))
     first = F.col("last") - F.col("n")
     pick = ranked.select(
         "column",
         "value",
         first.alias("first"),
         "last",
-        F.inline(
-            F.filter(
-                F.array(*places),
-                lambda p: (first <= F.ceil(p["place"])) & (F.floor(p["place"]) < F.col("last")),
-            )
-        ),
+        F.inline(F.filter("places", inside(first, F.col("n")))),
     ).withColumns({"low_rank": F.floor("place"), "high_rank": F.ceil("place")})
 
     def at(rank: str):
