@@ -29,11 +29,20 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the cluster; make a folder only if none is set."""
+    """Use the shared folder that the session names in spark.checkpoint.dir.
+
+    Only a session on one machine gets a folder of its own when none is set; on
+    a cluster executors could not share it, so there the setting is required.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabloom-checkpoint-"))
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="tabloom-checkpoint-")
+    context.setCheckpointDir(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
