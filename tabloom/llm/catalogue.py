@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["quality", "bpe", "exact_dedup", "decontaminate", "url_filter", "ngram_join"]
+MODULES = ["quality", "bpe", "exact_dedup", "decontaminate", "url_filter", "ngram_join", "warc", "secrets"]
 
 
 def _merged(name: str) -> dict:
