@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["html_crf", "quality", "bpe", "exact_dedup", "decontaminate", "url_filter", "ngram_join", "warc", "secrets"]
+MODULES = ["html_crf", "quality", "bpe", "exact_dedup", "decontaminate", "url_filter", "ngram_join", "warc", "secrets", "suffix_dedup"]
 
 
 def _merged(name: str) -> dict:
