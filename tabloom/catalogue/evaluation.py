@@ -59,7 +59,7 @@ def class_weights_applied(spark, folder):
 
 
 def _scores(spark, folder):
-    score = F.floor(F.col("o_totalprice") / 600000 * 1000) / 1000
+    score = F.col("o_totalprice") / 600000
     return table(spark, folder, "orders").select(
         (F.col("o_orderstatus") == "F").cast("int").alias("truth"),
         (score >= 0.5).cast("int").alias("pred"),
@@ -80,7 +80,8 @@ def binary_metrics(spark, folder):
 
 
 def roc_curve(spark, folder):
-    return _metrics(evaluate.roc_curve(_scores(spark, folder)), ["threshold", "fpr", "tpr"])
+    found = evaluate.roc_curve(_scores(spark, folder))
+    return found.select(rounded(F.col("threshold"), "threshold", 9), rounded(F.col("fpr"), "fpr"), rounded(F.col("tpr"), "tpr"))
 
 
 def roc_auc(spark, folder):
@@ -108,7 +109,7 @@ def model_comparison(spark, folder):
     """Two rules over the orders: by price, and by order date."""
     orders = table(spark, folder, "orders")
     truth = (F.col("o_orderstatus") == "F").cast("int").alias("truth")
-    price = F.floor(F.col("o_totalprice") / 600000 * 1000) / 1000
+    price = F.col("o_totalprice") / 600000
     age = (F.lit(2100) - F.year("o_orderdate")) / 200
     rows = [
         F.struct(F.lit("price").alias("model"), (price >= 0.5).cast("int").alias("pred"), price.alias("score")),
@@ -151,7 +152,7 @@ QUERIES = {
 _SCORES = """
     scores AS (
       SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS truth, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS pred, score
-      FROM (SELECT o_orderstatus, floor(o_totalprice / 600000 * 1000) / 1000 AS score FROM orders)),
+      FROM (SELECT o_orderstatus, o_totalprice / 600000 AS score FROM orders)),
     cells AS (
       SELECT count(*) FILTER (truth = 0 AND pred = 0) AS tn, count(*) FILTER (truth = 0 AND pred = 1) AS fp,
              count(*) FILTER (truth = 1 AND pred = 0) AS fn, count(*) FILTER (truth = 1 AND pred = 1) AS tp FROM scores)"""
@@ -195,7 +196,7 @@ SQL = {
         WITH {_SCORES} SELECT round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round(tp / (tp + fp), 6) AS precision,
         round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM cells""",
     "roc_curve": f"""
-        WITH {_SCORES} SELECT round(score, 6) AS threshold,
+        WITH {_SCORES} SELECT round(score, 9) AS threshold,
           round(sum(sum(1 - truth)) OVER (ORDER BY score DESC) / (SELECT sum(1 - truth) FROM scores), 6) AS fpr,
           round(sum(sum(truth)) OVER (ORDER BY score DESC) / (SELECT sum(truth) FROM scores), 6) AS tpr
         FROM scores GROUP BY score""",
@@ -222,7 +223,7 @@ SQL = {
     "model_comparison": f"""
         WITH rated AS (
           SELECT 'price' AS model, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS truth,
-                 floor(o_totalprice / 600000 * 1000) / 1000 AS score, 0.5 AS cut FROM orders
+                 o_totalprice / 600000 AS score, 0.5 AS cut FROM orders
           UNION ALL SELECT 'age', CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END, (2100 - year(o_orderdate)) / 200, 0.52 FROM orders),
         cells AS (
           SELECT model, count(*) FILTER (truth = 0 AND score < cut) AS tn, count(*) FILTER (truth = 0 AND score >= cut) AS fp,

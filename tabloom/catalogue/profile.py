@@ -65,7 +65,7 @@ def histogram_density(spark, folder):
 
 
 def kde_grid(spark, folder):
-    found = profile.kernel_density(table(spark, folder, "customer"), "c_acctbal", 50, 256)
+    found = profile.kernel_density(table(spark, folder, "customer"), "c_acctbal", 50)
     return found.select("grid_no", rounded(F.col("x"), "x", 4), rounded(F.col("density"), "density", 10))
 
 
@@ -182,20 +182,18 @@ SQL = {
     "histogram_density": """
         WITH s AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, count(o_totalprice) AS n,
                           greatest(ceil(log2(count(o_totalprice))) + 1, 1) AS bins FROM orders),
-        b AS (SELECT lo, n, (hi - lo) / bins AS width,
-                     CAST(least(floor((o_totalprice - lo) / ((hi - lo) / bins)), bins - 1) AS INTEGER) AS bin
-              FROM orders, s)
-        SELECT bin, round(lo + bin * width, 4) AS low, count(*) AS count, round(count(*) / (n * width), 12) AS density
-        FROM b GROUP BY bin, lo, n, width""",
+        b AS (SELECT CAST(least(floor((o_totalprice - lo) / ((hi - lo) / bins)), bins - 1) AS INTEGER) AS bin, count(*) AS c
+              FROM orders, s GROUP BY 1),
+        g AS (SELECT lo, n, (hi - lo) / bins AS width, CAST(unnest(range(CAST(bins AS BIGINT))) AS INTEGER) AS bin FROM s)
+        SELECT bin, round(lo + bin * width, 4) AS low, coalesce(c, 0) AS count, round(coalesce(c, 0) / (n * width), 12) AS density
+        FROM g LEFT JOIN b USING (bin)""",
     "kde_grid": """
         WITH s AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, count(c_acctbal) AS n,
                           stddev_samp(c_acctbal) * pow(count(c_acctbal), -0.2) AS h FROM customer),
-        b AS (SELECT avg(c_acctbal) AS centre, count(*) AS weight FROM customer, s
-              GROUP BY least(floor((c_acctbal - lo) / ((hi - lo) / 256)), 255)),
         g AS (SELECT CAST(i AS INTEGER) AS grid_no, lo + i * (hi - lo) / 49 AS x, n, h FROM s, range(50) t(i))
         SELECT grid_no, round(x, 4) AS x,
-               round(sum(weight * exp(-0.5 * pow((x - centre) / h, 2))) / (n * h * sqrt(2 * pi())), 10) AS density
-        FROM g, b GROUP BY grid_no, x, n, h""",
+               round(sum(exp(-0.5 * pow((x - c_acctbal) / h, 2))) / (n * h * sqrt(2 * pi())), 10) AS density
+        FROM g, customer GROUP BY grid_no, x, n, h""",
     "top_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20",
     "best_row": "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 1",
     "group_collect_set": """

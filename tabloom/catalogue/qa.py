@@ -52,6 +52,12 @@ def _doc_windows(spark, folder):
     return windows.char_windows(docs, "text", SIZE, STRIDE)
 
 
+def _whole_windows(spark, folder):
+    """Only windows that a character follows: the end of a text is left out, as an option."""
+    docs = spread_table(spark, folder, "documents", "doc_id", "doc_id", "text")
+    return windows.char_windows(docs, "text", SIZE, STRIDE, keep_tail=False)
+
+
 def _span_pairs(spark, folder):
     """(answer, window) pairs of the answerable questions, offsets only."""
     answerable, _ = split_answerable(document_qa(spark, folder))
@@ -136,9 +142,9 @@ docs AS (
          substr(text, 1, 1) IN ('A', 'E', 'I', 'O', 'U') AS is_impossible
   FROM documents),
 wins AS (
-  SELECT doc_id, title, question, is_impossible, n, k, k * 256 AS win_start, k * 256 + 512 AS win_end,
+  SELECT doc_id, title, question, is_impossible, n, k, k * 256 AS win_start, least(k * 256 + 512, n) AS win_end,
          substr(context, k * 256 + 1, 512) AS source
-  FROM (SELECT *, unnest(range(CASE WHEN n > 512 THEN (n - 513) // 256 + 1 ELSE 0 END)) AS k FROM docs)),
+  FROM (SELECT *, unnest(range(CASE WHEN n > 512 THEN (n - 512 + 255) // 256 + 1 WHEN n > 0 THEN 1 ELSE 0 END)) AS k FROM docs)),
 answers AS (
   SELECT doc_id, (doc_id * 997) % n AS a, least((doc_id * 997) % n + 120, n) AS b FROM docs WHERE NOT is_impossible
   UNION ALL
@@ -171,6 +177,7 @@ QUERIES = {
     "qa_flatten": qa_flatten,
     "qa_answerable_split": qa_answerable_split,
     "char_windows": _doc_windows,
+    "char_windows_whole_only": _whole_windows,
     "span_label": span_label,
     "span_clip": span_clip,
     "group_count": group_count,
@@ -193,6 +200,10 @@ SQL = {
         WITH {_DOCS} SELECT CASE WHEN is_impossible THEN 'unanswerable' ELSE 'answerable' END AS part, question,
         count(*) AS questions FROM docs GROUP BY ALL""",
     "char_windows": f"WITH {_DOCS} SELECT doc_id, CAST(k AS INTEGER) AS window_no, win_start, win_end, source FROM wins",
+    "char_windows_whole_only": """
+        SELECT doc_id, CAST(k AS INTEGER) AS window_no, k * 256 AS win_start, k * 256 + 512 AS win_end,
+               substr(text, k * 256 + 1, 512) AS source
+        FROM (SELECT *, unnest(range(CASE WHEN length(text) > 512 THEN (length(text) - 513) // 256 + 1 ELSE 0 END)) AS k FROM documents)""",
     "span_label": f"""
         WITH {_DOCS} SELECT title, question, a AS span_start, win_start, win_end,
         CASE WHEN hit THEN 'positive' ELSE 'possible negative' END AS type FROM pairs""",

@@ -21,12 +21,12 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def window_count(length: Column, size: int = SIZE, stride: int = STRIDE, keep_tail: bool = False) -> Column:
+def window_count(length: Column, size: int = SIZE, stride: int = STRIDE, keep_tail: bool = True) -> Column:
     """Number of windows of a text of `length` characters.
 
-    A window counts only when a character follows its end, so a text that just
-    fills a window gives none and the rest of a text is left out. `keep_tail`
-    adds windows until the whole text is covered.
+    The windows cover the whole text; the last one may be shorter. Without
+    `keep_tail` a window counts only when a character follows its end, so a
+    text that just fills a window gives none and the rest of a text is left out.
     """
     if keep_tail:
         beyond = F.ceil((length - size) / F.lit(stride))

@@ -89,8 +89,7 @@ def log_sum_exp(df: DataFrame, groups: Sequence[str], column: str, name: str) ->
     """
     scale = F.floor(column).alias("__scale")
     parts = df.groupBy(*groups, scale).agg(F.sum(F.exp(F.col(column) - F.floor(column))).alias("__part"))
-    top = Window.partitionBy(*groups)
-    shifted = parts.withColumn("__top", F.max("__scale").over(top))
+    shifted = join_groups(parts, parts.groupBy(*groups).agg(F.max("__scale").alias("__top")), groups)
     return shifted.groupBy(*groups).agg(
         (F.max("__top") + F.log(F.sum(F.col("__part") * F.exp(F.col("__scale") - F.col("__top"))))).alias(name)
     )

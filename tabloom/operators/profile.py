@@ -49,44 +49,13 @@ def column_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _spread(row, columns, {"low": [f"lo_{c}" for c in columns], "high": [f"hi_{c}" for c in columns]})
 
 
-FEW_VALUES = 50_000
-
-
-def quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], few: int = FEW_VALUES, parts: int | None = None
-) -> DataFrame:
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int | None = None) -> DataFrame:
     """column, share, value: exact quantiles with linear interpolation.
 
-    Equal values are counted before the shuffle. A column with at most about
-    `few` distinct values (measured by a sketch first) is finished from its
-    counts in one small aggregate. Of the others only the buckets that hold a
-    wanted rank are ranked.
+    Bucket sizes tell which buckets hold the wanted ranks; only their values
+    are counted and ranked.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    distinct = numbers.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if distinct[c] <= few]
-    large = [c for c in columns if distinct[c] > few]
-    found = []
-    if small:
-        found.append(_quantiles_of_few(numbers, small, shares))
-    if large:
-        found.append(_quantiles_of_many(numbers, large, shares, parts))
-    return reduce(DataFrame.unionByName, found)
-
-
-def _quantiles_of_few(numbers: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    cells = unpivot(numbers, columns, "double").filter(F.col("value").isNotNull())
-    counts = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    points = counts.groupBy("column").agg(F.percentile("value", list(shares), F.col("n")).alias("points"))
-    labels = F.array(*[F.lit(s) for s in shares])
-    pairs = F.arrays_zip(labels.alias("share"), F.col("points").alias("value"))
-    return points.select("column", F.inline(pairs)).toDF("column", "share", "value")
-
-
-def _quantiles_of_many(
-    numbers: DataFrame, columns: Sequence[str], shares: Sequence[float], parts: int | None
-) -> DataFrame:
-    """Bucket sizes tell which buckets hold the wanted ranks; only their values are counted and ranked."""
     bounds = value_buckets(numbers, columns, parts)
 
     def cells_of(c: str) -> DataFrame:
@@ -264,7 +233,7 @@ def _limits(df: DataFrame, column: str):
 
 
 def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
-    """bin, low, count, density: equal-width bins, density = count / (n * width).
+    """bin, low, count, density: equal-width bins, density = count / (n * width); bins without rows have count 0.
 
     Bins default to Sturges' rule. The limits come from a scalar subquery, so
     the whole thing is one lazy plan.
@@ -278,8 +247,14 @@ def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
     place = F.when(F.col("width") == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.col("bins") - 1)
     )
-    counted = numbers.groupBy(place.cast("int").alias("bin"), "lo", "width", "n").agg(F.count(F.lit(1)).alias("count"))
-    return counted.select(
+    counted = numbers.groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    one = df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"), F.count(column).alias("n"))
+    every = one.withColumn("bins", F.lit(bins) if bins else F.greatest(F.ceil(F.log2("n")) + 1, F.lit(1))).filter("n > 0")
+    grid = every.withColumn("width", (F.col("hi") - F.col("lo")) / F.col("bins")).withColumn(
+        "bin", F.explode(F.sequence(F.lit(0), F.when(F.col("width") == 0, 0).otherwise(F.col("bins") - 1).cast("int")))
+    )
+    filled = grid.join(counted, "bin", "left").withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
+    return filled.select(
         "bin",
         (F.col("lo") + F.col("bin") * F.col("width")).alias("low"),
         "count",
@@ -287,30 +262,27 @@ def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
     )
 
 
-def kernel_density(df: DataFrame, column: str, points: int = 50, bins: int = 1024) -> DataFrame:
+def kernel_density(df: DataFrame, column: str, points: int = 50) -> DataFrame:
     """grid_no, x, density: Gaussian kernel, Scott's bandwidth std * n^(-1/5).
 
-    Values are counted in `bins` fine bins first; each occupied bin then adds
-    its weight, placed at its mean, to every grid point: at most bins x points
-    terms.
+    The exact sum: one aggregate with a term per grid point, linear in the rows.
     """
     low, high, n, std = _limits(df, column)
-    binned = (
-        df.filter(F.col(column).isNotNull())
-        .select(F.col(column).cast("double").alias("x"), low.alias("lo"), high.alias("hi"), n.alias("n"), std.alias("std"))
-        .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
-        .withColumn("bin", F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1)))
-        .groupBy("bin", "lo", "hi", "n", "std", "width")
-        .agg(F.count(F.lit(1)).alias("weight"), F.avg("x").alias("centre"))
-        .withColumn("h", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    )
-    at = binned.withColumn("grid_no", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn(
-        "x", F.col("lo") + F.col("grid_no") * (F.col("hi") - F.col("lo")) / (points - 1)
+    h = std * F.pow(n.cast("double"), F.lit(-0.2))
+    numbers = df.filter(F.col(column).isNotNull()).select(
+        F.col(column).cast("double").alias("x"), low.alias("lo"), high.alias("hi"), n.alias("n"), h.alias("h")
     )
-    z = (F.col("x") - F.col("centre")) / F.col("h")
-    return at.groupBy("grid_no", "x", "n", "h").agg(
-        F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("mass")
-    ).select(
+
+    def at(k: int) -> Column:
+        return F.col("lo") + F.lit(k) * (F.col("hi") - F.col("lo")) / (points - 1)
+
+    def mass(k: int) -> Column:
+        z = (at(k) - F.col("x")) / F.col("h")
+        return F.sum(F.exp(-0.5 * z * z))
+
+    sums = numbers.groupBy("lo", "hi", "n", "h").agg(*[mass(k).alias(f"m{k}") for k in range(points)])
+    grid = F.array(*[F.struct(F.lit(k).alias("grid_no"), at(k).alias("x"), F.col(f"m{k}").alias("mass")) for k in range(points)])
+    return sums.select("n", "h", F.inline(grid)).select(
         "grid_no",
         "x",
         (F.col("mass") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"),

@@ -14,7 +14,6 @@ from tabloom.operators.ranking import SEPARATOR, row_weight, running_totals, val
 PAD, UNKNOWN = "[PAD]", "[UNKNOWN]"
 START, STOP = "<START>", "<STOP>"
 HEAVY_SHARE = 256
-LONG_WORD = 32
 
 
 def token_rows(df: DataFrame, tokens: Column, keys: Sequence[str]) -> DataFrame:
@@ -118,26 +117,20 @@ def out_of_vocabulary(words: DataFrame, known: DataFrame, word: str = "word") ->
     return words.select(word).distinct().join(known.select(word), word, "left_anti")
 
 
-def _variant_key(text: Column) -> Column:
-    """Long variants are compared by digest, so that a long token stays cheap to shuffle."""
-    return F.when(F.length(text) > LONG_WORD, F.md5(text)).otherwise(text)
+def _without(word: str, at: str = "__i") -> Column:
+    return F.concat(F.expr(f"left({word}, {at} - 1)"), F.expr(f"substring({word}, {at} + 1)"))
 
 
-def _deletions(df: DataFrame, word: str) -> DataFrame:
-    """Every text one character shorter, made row by row."""
-    rows = df.withColumn("__i", F.explode(F.sequence(F.lit(1), F.length(word))))
-    cut = F.concat(F.expr(f"left({word}, __i - 1)"), F.expr(f"substring({word}, __i + 1)"))
-    return rows.withColumn("__key", _variant_key(cut)).drop("__i")
+def _swapped(word: str, at: str = "__i") -> Column:
+    return F.expr(
+        f"concat(left({word}, {at} - 1), substring({word}, {at} + 1, 1), substring({word}, {at}, 1), substring({word}, {at} + 2))"
+    )
 
 
-def _swaps(df: DataFrame, word: str) -> DataFrame:
-    """Every text with two neighbouring characters exchanged."""
-    rows = df.filter(F.length(word) > 1).withColumn("__i", F.explode(F.sequence(F.lit(1), F.length(word) - 1)))
-    swapped = F.expr(
-        f"concat(left({word}, __i - 1), substring({word}, __i + 1, 1), substring({word}, __i, 1), "
-        f"substring({word}, __i + 2))"
-    )
-    return rows.withColumn("__key", _variant_key(swapped)).drop("__i")
+def _variants(df: DataFrame, word: str, count: Column, made) -> DataFrame:
+    """A row for each of `count` variants, with its place and a digest; the variant itself is not moved."""
+    rows = df.filter(count > 0).withColumn("__i", F.explode(F.sequence(F.lit(1), count)))
+    return rows.withColumn("__key", F.md5(made(word)))
 
 
 def spelling_fixes(words: DataFrame, known: DataFrame, min_length: int = 4) -> DataFrame:
@@ -149,11 +142,16 @@ def spelling_fixes(words: DataFrame, known: DataFrame, min_length: int = 4) -> D
     """
     vocabulary_words = known.select(F.col("word").alias("fixed"), "freq")
     strange = out_of_vocabulary(words, known).filter(F.length("word") >= min_length)
-    by_word = vocabulary_words.withColumn("__key", _variant_key(F.col("fixed")))
-    by_deletion = _deletions(vocabulary_words.filter(F.length("fixed") > 0), "fixed")
-    shorter_or_swapped = _deletions(strange, "word").unionByName(_swaps(strange, "word")).join(by_word, "__key")
-    longer = strange.withColumn("__key", _variant_key(F.col("word"))).join(by_deletion, "__key")
-    found = shorter_or_swapped.unionByName(longer)
+    by_word = vocabulary_words.withColumn("__key", F.md5("fixed"))
+    # only a known word one character longer than a strange one can lose a character and match
+    lengths = strange.select((F.length("word") + 1).alias("__n")).distinct()
+    longer_words = vocabulary_words.withColumn("__n", F.length("fixed")).join(lengths, "__n", "left_semi").drop("__n")
+    shorter = _variants(strange, "word", F.length("word"), _without).join(by_word, "__key").filter(_without("word") == F.col("fixed"))
+    swapped = _variants(strange, "word", F.length("word") - 1, _swapped).join(by_word, "__key").filter(_swapped("word") == F.col("fixed"))
+    by_deletion = _variants(longer_words, "fixed", F.length("fixed"), _without)
+    longer = strange.withColumn("__key", F.md5("word")).join(by_deletion, "__key").filter(_without("fixed") == F.col("word"))
+    columns = ["word", "fixed", "freq"]
+    found = shorter.select(*columns).unionByName(swapped.select(*columns)).unionByName(longer.select(*columns))
     best = found.groupBy("word").agg(F.min(F.struct((-F.col("freq")).alias("f"), "fixed")).alias("b"))
     return best.select("word", F.col("b.fixed").alias("fixed"))
 

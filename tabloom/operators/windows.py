@@ -17,7 +17,7 @@ def char_windows(
     text: str = "text",
     size: int = spans.SIZE,
     stride: int = spans.STRIDE,
-    keep_tail: bool = False,
+    keep_tail: bool = True,
 ) -> DataFrame:
     """One row per overlapping window: window_no, win_start, win_end, source.
 
@@ -42,7 +42,7 @@ def window_bounds(
     length: str = "n_chars",
     size: int = spans.SIZE,
     stride: int = spans.STRIDE,
-    keep_tail: bool = False,
+    keep_tail: bool = True,
 ) -> DataFrame:
     """The offsets of `char_windows` from text lengths alone, without reading the text."""
     count = spans.window_count(F.col(length).cast("int"), size, stride, keep_tail)

@@ -23,7 +23,7 @@ def run(
     multiline: bool = False,
     size: int = spans.SIZE,
     stride: int = spans.STRIDE,
-    keep_tail: bool = False,
+    keep_tail: bool = True,
 ) -> None:
     qa = flatten_qa(read_nested_qa(spark, source, multiline))
     write_samples_json(build_samples(qa, size, stride, keep_tail), target)
@@ -36,10 +36,10 @@ def main() -> None:
     parser.add_argument("--multiline", action="store_true")
     parser.add_argument("--size", type=int, default=spans.SIZE)
     parser.add_argument("--stride", type=int, default=spans.STRIDE)
-    parser.add_argument("--keep-tail", action="store_true")
+    parser.add_argument("--drop-tail", action="store_true", help="leave out what stands behind the last full window")
     options = parser.parse_args()
     spark = SparkSession.builder.appName("qa-samples").getOrCreate()
-    run(spark, options.input, options.output, options.multiline, options.size, options.stride, options.keep_tail)
+    run(spark, options.input, options.output, options.multiline, options.size, options.stride, not options.drop_tail)
     spark.stop()
 
 

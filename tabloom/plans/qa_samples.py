@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import spans
 from tabloom.operators.ranking import first_n_per_group
-from tabloom.session import BROADCAST_ROWS, cut_lineage, has_at_most
+from tabloom.session import cut_lineage
 
 SAMPLE_COLUMNS = ["source", "question", "answer_start", "answer_end"]
 PAIR = ["title", "question"]
@@ -27,7 +27,7 @@ def _hit_range(start: Column, end: Column, count: Column, size: int, stride: int
     return spans.first_window(start, size, stride), spans.last_window(end, count, stride)
 
 
-def positive_counts(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
+def positive_counts(qa: DataFrame, size: int, stride: int, keep_tail: bool = True) -> DataFrame:
     """Number of positive (answer, window) pairs per (title, question), from lengths alone."""
     def hits(answer: Column, count: Column) -> Column:
         start = answer["answer_start"]
@@ -61,7 +61,7 @@ def question_quota(pair_counts: DataFrame) -> DataFrame:
     return sums.withColumn("quota", ratio.cast("int"))
 
 
-def positive_samples(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
+def positive_samples(qa: DataFrame, size: int, stride: int, keep_tail: bool = True) -> DataFrame:
     """Every (answer, window) pair that shares a character, with the clipped span. No shuffle."""
     count = _count(size, stride, keep_tail)
     answers = qa.filter(~F.col("is_impossible")).select(
@@ -92,7 +92,7 @@ def positive_samples(qa: DataFrame, size: int, stride: int, keep_tail: bool = Fa
     )
 
 
-def negative_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool = False) -> DataFrame:
+def negative_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool = True) -> DataFrame:
     """(title, question, is_impossible, digest, place): distinct window texts that may become negatives.
 
     For an unanswerable question all windows, for an answerable one those that
@@ -125,7 +125,7 @@ def negative_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool =
 
 
 def choose_negatives(
-    qa: DataFrame, pair_counts: DataFrame, size: int, stride: int, keep_tail: bool = False
+    qa: DataFrame, pair_counts: DataFrame, size: int, stride: int, keep_tail: bool = True
 ) -> DataFrame:
     """Candidates kept, per title and question: as many unanswerable windows as the quota of the
     question, and as many unanswered windows as the pair has positives.
@@ -133,11 +133,10 @@ def choose_negatives(
     `pair_counts` should be a stored frame. Pairs without a limit drop out.
     """
     quota = question_quota(pair_counts).select("question", "quota")
-    small = has_at_most(pair_counts, BROADCAST_ROWS)  # the quota has no more rows than the counts
     limited = (
         negative_candidates(qa, size, stride, keep_tail)
-        .join(F.broadcast(quota) if small else quota, "question")
-        .join(F.broadcast(pair_counts) if small else pair_counts, PAIR, "left")
+        .join(quota, "question")
+        .join(pair_counts, PAIR, "left")
         .withColumn("n", F.when(F.col("is_impossible"), F.col("quota")).otherwise(F.col("positives")))
         .filter(F.col("n").isNotNull())
     )
@@ -145,8 +144,13 @@ def choose_negatives(
 
 
 def cut_negatives(qa: DataFrame, places: DataFrame, size: int, stride: int) -> DataFrame:
-    """Join chosen places back to their paragraphs and cut the window text; span (0, 0)."""
-    paragraphs = qa.select("para_key", "context").dropDuplicates(["para_key"])
+    """Join chosen places back to their paragraphs and cut the window text; span (0, 0).
+
+    Only paragraphs with a chosen window get past the semi-join, so that no
+    other text is moved when repeated paragraphs are dropped.
+    """
+    wanted = places.select(F.col("place.para_key").alias("para_key")).distinct()
+    paragraphs = qa.select("para_key", "context").join(wanted, "para_key", "left_semi").dropDuplicates(["para_key"])
     chosen = places.select(
         "title",
         "question",
@@ -164,7 +168,7 @@ def cut_negatives(qa: DataFrame, places: DataFrame, size: int, stride: int) -> D
 
 
 def build_samples(
-    qa: DataFrame, size: int = spans.SIZE, stride: int = spans.STRIDE, keep_tail: bool = False
+    qa: DataFrame, size: int = spans.SIZE, stride: int = spans.STRIDE, keep_tail: bool = True
 ) -> DataFrame:
     """Positives, balanced unanswerable windows and balanced unanswered windows.
 

@@ -10,8 +10,6 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-BROADCAST_ROWS = 200_000
-
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A session for one machine."""
@@ -66,12 +64,3 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key)
-
-
-def has_at_most(stored: DataFrame, rows: int) -> bool:
-    """Whether a stored narrow frame is small enough for a broadcast.
-
-    Callers leave a larger frame without a hint: it then joins by shuffle,
-    where adaptive execution splits keys that hold too many rows.
-    """
-    return stored.limit(rows + 1).count() <= rows

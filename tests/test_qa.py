@@ -13,28 +13,24 @@ def text_of(n, seed=0):
     return "".join(source.choice("abcdé 𝄞\n") for _ in range(n))
 
 
-def loop_windows(text, size, stride):
-    """The window rule as a plain loop over the characters."""
-    found, start = [], 0
-    for i in range(len(text)):
-        if i >= size and (i - size) % stride == 0:
-            found.append((start, i, text[start:i]))
-            start += stride
-    return found
+def followed_windows(text, size, stride):
+    """All windows that end before the last character, from the definition."""
+    starts = [s for s in range(0, len(text), stride) if s + size < len(text)]
+    return [(s, s + size, text[s : s + size]) for s in starts]
 
 
 @pytest.mark.parametrize("length, expected", [(4096, 0), (4097, 1), (6144, 1), (6145, 2), (8193, 3), (0, 0), (1, 0)])
 def test_window_counts(spark, length, expected):
     df = spark.createDataFrame([(length,)], "n int")
-    assert df.select(spans.window_count(F.col("n")).alias("c")).first().c == expected
+    assert df.select(spans.window_count(F.col("n"), keep_tail=False).alias("c")).first().c == expected
 
 
 @pytest.mark.parametrize("size, stride", [(8, 4), (7, 3), (5, 5), (4, 6)])
-def test_windows_equal_a_plain_loop(spark, size, stride):
+def test_windows_without_the_tail(spark, size, stride):
     texts = [(i, text_of(n, i)) for i, n in enumerate([0, 1, 3, 4, 5, 7, 8, 9, 12, 13, 20, 41, 64, 65])]
     df = spark.createDataFrame(texts, "id long, text string")
-    got = windows.char_windows(df, "text", size, stride).orderBy("id", "window_no").collect()
-    expected = [(i, *w) for i, t in texts for w in loop_windows(t, size, stride)]
+    got = windows.char_windows(df, "text", size, stride, keep_tail=False).orderBy("id", "window_no").collect()
+    expected = [(i, *w) for i, t in texts for w in followed_windows(t, size, stride)]
     assert [(r.id, r.win_start, r.win_end, r.source) for r in got] == expected
 
 
@@ -105,6 +101,12 @@ def test_quota_rounds_half_up(spark):
     assert (row.question_count, row.title_count, row.quota) == (5, 2, 3)
 
 
+def covering_windows(text, size, stride):
+    """Windows from the definition: as few as reach the last character, the last one cut there."""
+    count = 0 if not text else 1 + max(0, -(-(len(text) - size) // stride))
+    return [(k * stride, min(k * stride + size, len(text)), text[k * stride : k * stride + size]) for k in range(count)]
+
+
 def brute_samples(qa, size, stride):
     """(positives, impossible counts, possible counts) by plain loops over the collected rows."""
     positives, pair_counts = [], {}
@@ -112,7 +114,7 @@ def brute_samples(qa, size, stride):
         if r.is_impossible is False:
             for answer in r.answers:
                 a, b = answer.answer_start, answer.answer_start + len(answer.text)
-                for s, e, source in loop_windows(r.context, size, stride):
+                for s, e, source in covering_windows(r.context, size, stride):
                     if a < e and b > s:
                         positives.append((source, r.question, max(a, s) - s, min(b, e) - s))
                         pair_counts[(r.title, r.question)] = pair_counts.get((r.title, r.question), 0) + 1
@@ -122,7 +124,7 @@ def brute_samples(qa, size, stride):
         quota[question] = int(sum(counts) / len(counts) + 0.5)
     impossible, possible = {}, {}
     for r in qa:
-        for s, e, source in loop_windows(r.context, size, stride):
+        for s, e, source in covering_windows(r.context, size, stride):
             if r.is_impossible and r.question in quota:
                 impossible.setdefault((r.title, r.question), set()).add(source)
             if r.is_impossible is False and (r.title, r.question) in pair_counts:
