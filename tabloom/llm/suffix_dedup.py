@@ -15,12 +15,14 @@ differs from it in a first byte, which is grouped again.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ CHUNK = 1 << 20
 BUCKET_ROWS = 250_000
 SAMPLED_DOCUMENTS = 2_000
 SAMPLED_ANCHORS = 64
-GROUP_ROWS = 4_096
+GROUP_ROWS = 131_072
 
 _U = np.uint64
 _INDEX = _U(CHUNK - 1)
@@ -64,13 +66,23 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return _mix((words[:last] * _ODD[0]) ^ (words[8 : last + 8] * _ODD[1]) ^ (words[16 : last + 16] * _ODD[2]))
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(positions, first, last): each anchor with the first and last start of the strings that have it."""
+class Texts:
+    """Texts one after the other as one byte array; `doc` is the number of the text at each byte, `start` where it begins."""
+
+    def __init__(self, texts: list[bytes]):
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.start = np.cumsum(sizes) - sizes
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+
+
+def anchors(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positions, first, last) in the joined array: each anchor with the first and last start of the strings that have
+    it; strings lie in one text."""
+    data, doc = texts.data, texts.doc
     found: list[tuple] = []
     for start in range(0, len(data) - LENGTH + 1, CHUNK // 2):
         part = data[start : start + CHUNK // 2 + LENGTH - 1]
-        if len(part) < LENGTH:
-            break
         keys = (gram_hashes(part) & ~_INDEX) | np.arange(len(part) - GRAM + 1, dtype=np.uint64)
         size = 1
         while size * 2 <= WINDOW:
@@ -78,37 +90,55 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             size *= 2
         if WINDOW > size:
             keys = np.minimum(keys[: len(keys) - (WINDOW - size)], keys[WINDOW - size :])
-        at = (keys & _INDEX).astype(np.int64)
-        first = np.flatnonzero(np.diff(at, prepend=-1))
-        last = np.append(first[1:], len(at)) - 1
-        found.append((at[first] + start, first + start, last + start))
+        inside = start + np.flatnonzero(doc[start : start + len(keys)] == doc[start + LENGTH - 1 : start + LENGTH - 1 + len(keys)])
+        at = (keys & _INDEX).astype(np.int64)[inside - start] + start
+        if len(at):
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            last = np.append(first[1:], len(at)) - 1
+            found.append((at[first], inside[first], inside[last]))
     if not found:
         return (np.empty(0, np.int64),) * 3
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _bytes_of(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+def _bytes_of(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
 
 
-def suffix_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lead, rest, positions) of the anchors: the leading eight bytes in byte order, and a hash of the k-gram."""
-    at = anchors(data)[0]
+def suffix_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lead, rest) of the suffixes at `at`: the leading eight bytes in byte order, and a 32-bit hash of the k-gram.
+
+    Two k-grams that only look alike cost work and change no result.
+    """
     if not len(at):
-        return (np.empty(0, np.int64),) * 3
+        return np.empty(0, np.int64), np.empty(0, np.int32)
     words = _at_every_byte(data)
     lead = (words[at].byteswap() ^ _U(1 << 63)).view(np.int64)  # signed numbers in the order of the bytes
-    gram = _mix((words[at] * _ODD[0]) ^ (words[at + 8] * _ODD[1]) ^ (words[at + 16] * _ODD[2]))
-    return lead, gram.view(np.int64), at
+    gram = gram_keys(data, at).view(np.uint64)
+    return lead, (gram >> _U(32)).astype(np.uint32).view(np.int32)
 
 
-def _buckets_of(splitters: list[tuple], firsts: np.ndarray, lead, rest, doc: int, at) -> np.ndarray:
+def gram_keys(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the k-grams at `at`: what groups the tied rows."""
+    words = _at_every_byte(data)
+    return _mix((words[at] * _ODD[0]) ^ (words[at + 8] * _ODD[1]) ^ (words[at + 16] * _ODD[2])).view(np.int64)
+
+
+def _suffixes(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """(lead, rest, id, position in the text) of the anchors of all texts of a frame."""
+    texts = Texts([_bytes_of(t) for t in frame["text"]])
+    at = anchors(texts)[0]
+    doc = texts.doc[at]
+    return (*suffix_keys(texts.data, at), frame["id"].to_numpy()[doc], at - texts.start[doc])
+
+
+def _buckets_of(splitters: list[tuple], firsts: np.ndarray, lead, rest, doc, at) -> np.ndarray:
     """Number of the splitters below each row; rows whose leading bytes are those of a splitter are compared whole."""
     bucket = np.searchsorted(firsts, lead, "left")
     equal = bucket < len(firsts)
     equal[equal] = firsts[bucket[equal]] == lead[equal]
     for k in np.flatnonzero(equal):
-        bucket[k] = bisect_left(splitters, (int(lead[k]), int(rest[k]), doc, int(at[k])))
+        bucket[k] = bisect_left(splitters, (int(lead[k]), int(rest[k]), int(doc[k]), int(at[k])))
     return bucket
 
 
@@ -123,12 +153,10 @@ def sampled_splitters(docs: DataFrame, buckets: int) -> list[tuple]:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for doc, text in zip(frame["id"], frame["text"]):
-                keys = suffix_keys(_bytes_of(text))
-                pick = np.unique(np.linspace(0, max(len(keys[0]) - 1, 0), SAMPLED_ANCHORS).astype(int)) if len(keys[0]) else []
-                yield pd.DataFrame({"lead": keys[0][pick], "rest": keys[1][pick], "id": doc, "at": keys[2][pick]})
+            found = pd.DataFrame(dict(zip(("lead", "rest", "id", "at"), _suffixes(frame))))
+            yield found[found.groupby("id").cumcount() % np.ceil(found.groupby("id")["at"].transform("size") / SAMPLED_ANCHORS) == 0]
 
-    rows = some.mapInPandas(run, "lead bigint, rest bigint, id bigint, at bigint").toPandas()
+    rows = some.mapInPandas(run, "lead bigint, rest int, id bigint, at bigint").toPandas()
     rows = sorted(zip(rows["lead"].tolist(), rows["rest"].tolist(), rows["id"].tolist(), rows["at"].tolist()))
     return sorted({rows[len(rows) * k // buckets] for k in range(1, buckets)}) if rows else []
 
@@ -149,20 +177,15 @@ def _multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-def tied_suffixes(docs: DataFrame, buckets: int) -> DataFrame:
-    """(id, at): the anchors whose k-gram another anchor has too."""
+def tied_suffixes(docs: DataFrame, buckets: int, folder: str) -> DataFrame:
+    """(rest, id, at): the anchors whose k-gram another anchor has too; kept as a table in `folder`."""
     splitters = sampled_splitters(docs, buckets)
     shipped = docs.sparkSession.sparkContext.broadcast((splitters, np.array([s[0] for s in splitters], np.int64)))
 
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            parts = []
-            for doc, text in zip(frame["id"], frame["text"]):
-                lead, rest, at = suffix_keys(_bytes_of(text))
-                if len(at):
-                    parts.append((_buckets_of(*shipped.value, lead, rest, doc, at), lead, rest, np.full(len(at), doc), at))
-            if parts:
-                yield pd.DataFrame(dict(zip(("bucket", "lead", "rest", "id", "at"), map(np.concatenate, zip(*parts)))))
+            found = _suffixes(frame)
+            yield pd.DataFrame({"bucket": _buckets_of(*shipped.value, *found), **dict(zip(("lead", "rest", "id", "at"), found))})
 
     def sort(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = list(frames)
@@ -180,39 +203,76 @@ def tied_suffixes(docs: DataFrame, buckets: int) -> DataFrame:
             rows = own.iloc[order[keep]]
             yield pd.DataFrame({"lead": lead[keep], "rest": rest[keep], "id": rows["id"].to_numpy(), "at": rows["at"].to_numpy(), "edge": edge[keep]})
 
-    emitted = docs.mapInPandas(emit, "bucket int, lead bigint, rest bigint, id bigint, at int")
-    ordered = emitted.repartition(buckets, "bucket").mapInPandas(sort, "lead bigint, rest bigint, id bigint, at int, edge boolean")
-    stored = cut_lineage(ordered)
+    emitted = docs.mapInPandas(emit, "bucket int, lead bigint, rest int, id bigint, at int")
+    ordered = emitted.repartition(buckets, "bucket").mapInPandas(sort, "lead bigint, rest int, id bigint, at int, edge boolean")
+    ordered.write.parquet(folder)
+    stored = docs.sparkSession.read.parquet(folder)
     edges = stored.filter("edge")
     met = edges.groupBy("lead", "rest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return stored.filter("NOT edge").select("id", "at").unionByName(edges.join(met, ["lead", "rest"]).select("id", "at"))
+    return stored.filter("NOT edge").select("rest", "id", "at").unionByName(edges.join(met, ["lead", "rest"]).select("rest", "id", "at"))
 
 
 ROWS = "key bigint, id bigint, at int, low int, high int, around binary"
 
 
-def tied_rows(docs: DataFrame, tied: DataFrame) -> DataFrame:
+def tied_rows(packed: DataFrame, tied: DataFrame) -> DataFrame:
     """(key, id, at, low, high, around) of the tied anchors: x in [low, high] are the distances of the anchor from the
-    starts of its strings; `around` are the LEFT bytes before it and the LENGTH bytes from it on."""
+    starts of its strings; `around` are the bytes that these strings cover."""
     places = tied.groupBy("id").agg(F.collect_list("at").alias("ats"))  # bounded by the length of the document
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for doc, text, ats in zip(frame["id"], frame["text"], frame["ats"]):
-                data = _bytes_of(text)
-                at, first, last = anchors(data)
-                wanted = np.isin(at, ats)
-                at, first, last = at[wanted], first[wanted], last[wanted]
-                gram = suffix_keys(data)[1][wanted]
-                padded = np.concatenate([np.zeros(LEFT, np.uint8), data, np.zeros(LENGTH, np.uint8)])
-                around = np.lib.stride_tricks.sliding_window_view(padded, LEFT + LENGTH)[at]
-                yield pd.DataFrame({"key": gram, "id": doc, "at": at, "low": at - last, "high": at - first, "around": [a.tobytes() for a in around]})
+            texts = Texts([unzipped(z) for z in frame["zip"]])
+            at, first, last = anchors(texts)
+            doc = texts.doc[at]
+            counts = [len(a) for a in frame["ats"]]
+            wanted = np.isin(at, np.concatenate(frame["ats"].to_list()) + np.repeat(texts.start, counts))
+            at, first, last, doc = at[wanted], first[wanted], last[wanted], doc[wanted]
+            padded = np.concatenate([np.zeros(LEFT, np.uint8), texts.data, np.zeros(LENGTH, np.uint8)])
+            windows = np.lib.stride_tricks.sliding_window_view(padded, LEFT + LENGTH)
+            for k in range(0, len(at), 10_000):
+                some = slice(k, k + 10_000)
+                around = windows[at[some]].tobytes()
+                low, high = at[some] - last[some], at[some] - first[some]
+                begin = np.arange(len(low)) * (LEFT + LENGTH) + LEFT - high
+                yield pd.DataFrame(
+                    {
+                        "key": gram_keys(texts.data, at[some]),
+                        "id": frame["id"].to_numpy()[doc[some]],
+                        "at": at[some] - texts.start[doc[some]],
+                        "low": low,
+                        "high": high,
+                        "around": [around[i : i + n] for i, n in zip(begin.tolist(), (high - low + LENGTH).tolist())],
+                    }
+                )
+
+    return packed.join(places, "id").mapInPandas(run, ROWS)
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """(id, zip): texts as compressed UTF-8, for the shuffles that bring them together with what was found in them."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for frame in frames:
+            yield pd.DataFrame({"id": frame["id"], "zip": [packer.compress(_bytes_of(t)) for t in frame["text"]]})
+
+    return docs.select("id", "text").mapInPandas(run, "id bigint, zip binary")
 
-    return docs.join(places, "id").select("id", "text", "ats").mapInPandas(run, ROWS)
 
+def unzipped(data: bytes) -> bytes:
+    return zstandard.decompress(data)
 
-def _around(column: pd.Series, width: int = LEFT + LENGTH) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), width)
+
+def _around(column: pd.Series, high: np.ndarray) -> np.ndarray:
+    """A row each with the anchor at column LEFT; zeros where the strings of a row do not reach."""
+    width = LEFT + LENGTH
+    sizes = column.str.len().to_numpy()
+    out = np.zeros(len(column) * width, np.uint8)
+    begin = np.arange(len(column)) * width + LEFT - high
+    step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(begin, sizes) + step] = np.frombuffer(b"".join(column), np.uint8)
+    return out.reshape(len(column), width)
 
 
 def _spans(doc: np.ndarray, start: np.ndarray) -> pd.DataFrame:
@@ -228,20 +288,27 @@ def _spans(doc: np.ndarray, start: np.ndarray) -> pd.DataFrame:
 def _later_strings(rows: pd.DataFrame) -> pd.DataFrame:
     """Runs of starts of strings that a row before has, by (id, at), in the same group; groups are whole."""
     rows = rows.sort_values(["id", "at"], kind="stable")
-    around = _around(rows["around"])
-    sums = np.zeros((len(rows), LEFT + LENGTH + 1), np.uint64)
-    for k in range(LEFT + LENGTH):
-        sums[:, k + 1] = sums[:, k] * _BASE + _TABLE[around[:, k]]
+    doc, place = rows["id"].to_numpy(), rows["at"].to_numpy()
     low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
-    many = high - low + 1
-    row = np.repeat(np.arange(len(rows)), many)
-    x = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-    begin = LEFT - x
-    strings = sums[row, begin + LENGTH] - sums[row, begin] * _POWER
-    strings = _mix(strings ^ _mix(rows["key"].to_numpy().view(np.uint64)[row] + x.astype(np.uint64)))
+    group = rows["key"].to_numpy().view(np.uint64)
+    parts = []
+    for begin in range(0, len(rows), 8_192):
+        some = slice(begin, begin + 8_192)
+        around = _around(rows["around"].iloc[some], high[some])
+        sums = np.zeros((len(around), LEFT + LENGTH + 1), np.uint64)
+        for k in range(LEFT + LENGTH):
+            sums[:, k + 1] = sums[:, k] * _BASE + _TABLE[around[:, k]]
+        many = high[some] - low[some] + 1
+        row = np.repeat(np.arange(len(around)), many)
+        x = low[some][row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        at = LEFT - x
+        strings = sums[row, at + LENGTH] - sums[row, at] * _POWER
+        parts.append((_mix(strings ^ _mix(group[some][row] + x.astype(np.uint64))), row + begin, x))
+    strings, row, x = map(np.concatenate, zip(*parts))
     _, first, inverse = np.unique(strings, return_index=True, return_inverse=True)
-    later = first[inverse] != np.arange(len(row))
-    return _spans(rows["id"].to_numpy()[row[later]], rows["at"].to_numpy()[row[later]] - x[later])
+    earliest = row[first[inverse]]
+    later = (doc[earliest] != doc[row]) | (place[earliest] != place[row])  # a repeated row is not earlier than itself
+    return _spans(doc[row[later]], place[row[later]] - x[later])
 
 
 def within_groups(rows: DataFrame, chunk: int = 16_384) -> DataFrame:
@@ -288,15 +355,15 @@ def against_pivots(rows: DataFrame) -> DataFrame:
     key that holds the bytes up to there. Strings that are equal differ from
     the pivot in the same byte, so they meet again.
     """
-    pivots = rows.groupBy("key").agg(F.min(F.struct("id", "at", "around")).alias("pivot"))
+    pivots = rows.groupBy("key").agg(F.min(F.struct("id", "at", "low", "high", "around")).alias("pivot"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            own, pivot = _around(frame["around"]), _around(frame["pivot_around"])
-            doc, at, low, high = (frame[c].to_numpy() for c in ("id", "at", "low", "high"))
+            doc, at, low, high, pivot_low, pivot_high = (frame[c].to_numpy() for c in ("id", "at", "low", "high", "pivot_low", "pivot_high"))
+            own, pivot = _around(frame["around"], high), _around(frame["pivot_around"], pivot_high)
             other = (doc != frame["pivot_id"].to_numpy()) | (at != frame["pivot_at"].to_numpy())
-            left = _common(own[:, LEFT - 1 :: -1], pivot[:, LEFT - 1 :: -1])
-            right = _common(own[:, LEFT:], pivot[:, LEFT:])
+            left = np.minimum(_common(own[:, LEFT - 1 :: -1], pivot[:, LEFT - 1 :: -1]), pivot_high)
+            right = np.minimum(_common(own[:, LEFT:], pivot[:, LEFT:]), LENGTH - pivot_low)
             seed = frame["key"].to_numpy().view(np.uint64)
             equal_low, equal_high = np.maximum(low, LENGTH - right), np.minimum(high, left)
             left_low = np.maximum(low, left + 1)
@@ -308,19 +375,14 @@ def against_pivots(rows: DataFrame) -> DataFrame:
                 (other & (left_low <= high), left_key, left_low, high, True),
                 (other & (low <= right_high), right_key, low, right_high, True),
             ):
-                yield pd.DataFrame(
-                    {
-                        "key": key[some].view(np.int64),
-                        "id": doc[some],
-                        "at": at[some],
-                        "low": a[some],
-                        "high": b[some],
-                        "around": frame["around"][some] if kept else None,
-                    }
-                )
+                around = None
+                if kept:
+                    cuts = zip(frame["around"][some], (high - b)[some].tolist(), (high - a + LENGTH)[some].tolist())
+                    around = [data[i:j] for data, i, j in cuts]
+                yield pd.DataFrame({"key": key[some].view(np.int64), "id": doc[some], "at": at[some], "low": a[some], "high": b[some], "around": around})
 
     joined = rows.join(pivots, "key").select(
-        "key", "id", "at", "low", "high", "around", F.col("pivot.id").alias("pivot_id"), F.col("pivot.at").alias("pivot_at"), F.col("pivot.around").alias("pivot_around")
+        "key", "id", "at", "low", "high", "around", F.col("pivot.id").alias("pivot_id"), F.col("pivot.at").alias("pivot_at"), F.col("pivot.low").alias("pivot_low"), F.col("pivot.high").alias("pivot_high"), F.col("pivot.around").alias("pivot_around")
     )
     return joined.mapInPandas(run, ROWS)
 
@@ -329,23 +391,23 @@ def repeated_starts(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(id, start, stop): runs of starts of strings that also start earlier. `rows` is a stored frame of ROWS."""
     found = None
     while True:
-        large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sized = rows.join(large, "key")
-        small = within_groups(sized.filter(F.col("n") <= group_rows).drop("n"))
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        large = cut_lineage(sizes.filter(F.col("n") > group_rows).select("key"))
+        small = within_groups(rows.join(large, "key", "left_anti"))
         found = small if found is None else found.unionByName(small)
-        over = cut_lineage(sized.filter(F.col("n") > group_rows).drop("n"))
-        if over.isEmpty():
+        if large.isEmpty():
             return found
-        split = cut_lineage(against_pivots(over))
+        split = cut_lineage(against_pivots(rows.join(large, "key", "left_semi")))
         equal = split.filter(F.col("around").isNull())
         found = found.unionByName(equal.select("id", (F.col("at") - F.col("high")).cast("bigint").alias("start"), (F.col("at") - F.col("low")).cast("bigint").alias("stop")))
         rows = split.filter(F.col("around").isNotNull())
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", bucket_rows: int = BUCKET_ROWS, group_rows: int = GROUP_ROWS
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", bucket_rows: int = BUCKET_ROWS, group_rows: int = GROUP_ROWS,
+    with_bytes: bool = True,
 ) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): one row per input row.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept if `with_bytes`): one row per input row.
 
     Removed is every byte that a string of LENGTH bytes covers which also starts
     earlier: in a document of smaller id, or earlier in the same one. Strings
@@ -364,42 +426,48 @@ def remove_repeats(
     keyed = cut_lineage(wanted.select("id", F.unhex(F.sha2("text", 256)).alias("key"), size.cast("bigint").alias("size")))
     facts = keyed.filter(F.col("size") >= LENGTH).agg(F.sum("size"), F.count(F.lit(1))).first()
     copies = cut_lineage(group_winners(keyed.filter(F.col("size") >= LENGTH).select("id", "key"), F.min).filter("id <> keep_id").select("id").distinct())
-    firsts = wanted.filter(size >= LENGTH).join(copies, "id", "left_anti")
+    long = wanted.filter(size >= LENGTH)
     buckets = max(1, -(-int((facts[0] or 0) * 2 / (WINDOW + 1)) // bucket_rows))
     folder = f"{shared_folder(spark)}/suffix-{uuid.uuid4().hex}"
-    tied_rows(firsts, tied_suffixes(firsts, buckets)).dropDuplicates(["id", "at", "low"]).write.parquet(folder)
-    starts = repeated_starts(spark.read.parquet(folder), group_rows)
+    tied = tied_suffixes(long, buckets, f"{folder}/tied").join(copies, "id", "left_anti")  # whole copies need no suffixes
+    packed = zipped(wanted)
+    rows = tied_rows(packed, tied.select("id", "at"))
+    if tied.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows).isEmpty():
+        starts = within_groups(rows)
+    else:
+        rows.write.parquet(f"{folder}/rows")
+        starts = repeated_starts(spark.read.parquet(f"{folder}/rows"), group_rows)
     runs = starts.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
     all_gone = copies.select("id", F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("stop"))).alias("runs"))
-    removed = cut_lineage(runs.unionByName(all_gone).select("id", F.col("runs.start").alias("starts"), F.col("runs.stop").alias("stops")))
+    removed = runs.unionByName(all_gone).select("id", F.col("runs.start").alias("starts"), F.col("runs.stop").alias("stops"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            n_removed, n_spans, kept = [], [], []
-            for text, starts, stops in zip(frame["text"], frame["starts"], frame["stops"]):
-                data = _bytes_of(text)
+            rows = []
+            for text, starts, stops in zip(frame["zip"], frame["starts"], frame["stops"]):
+                data = np.frombuffer(unzipped(text), np.uint8)
+                if starts is None:
+                    rows.append((len(data), 0, 0, data.tobytes()))
+                    continue
                 stops = np.where(stops < 0, len(data) - LENGTH, stops)  # -1: to the end
                 cover = np.zeros(len(data) + 1, np.int32)
                 np.add.at(cover, starts, 1)
                 np.add.at(cover, stops + LENGTH, -1)
                 gone = np.cumsum(cover[:-1]) > 0
-                n_removed.append(int(gone.sum()))
-                n_spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
-                kept.append(data[~gone].tobytes())
-            yield frame[["doc_id"]].assign(n_bytes=[len(t.encode("utf-8", "surrogatepass")) for t in frame["text"]], n_removed=n_removed, n_spans=n_spans, kept=kept)
-
-    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
-    touched = wanted.join(removed, "id").select(F.col("id").alias("doc_id"), "text", "starts", "stops")
-    changed = touched.mapInPandas(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
-    zero = F.lit(0).cast("bigint")
-    same = wanted.join(removed.select("id"), "id", "left_anti").select(
-        F.col("id").alias("doc_id"), size.cast("bigint").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept")
-    )
-    return changed.unionByName(same).select(*columns).withColumn("kept_sha256", F.sha2("kept", 256))
+                spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+                rows.append((len(data), int(gone.sum()), spans, data[~gone].tobytes()))
+            done = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+            done.insert(0, "doc_id", frame["id"].to_numpy())
+            done["kept_sha256"] = [hashlib.sha256(k).hexdigest() for k in done["kept"]]
+            yield done[names]
+
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_bytes]
+    kinds = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_bytes
+    return packed.join(removed, "id", "left").select("id", "zip", "starts", "stops").mapInPandas(cut, kinds)
 
 
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return remove_repeats(table(spark, folder, "documents")).drop("kept")
+    return remove_repeats(table(spark, folder, "documents"), with_bytes=False)
 
 
 QUERIES = {"op5_suffix_dedup": op5_suffix_dedup}
