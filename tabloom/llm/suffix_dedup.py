@@ -217,7 +217,12 @@ ROWS = "key bigint, id bigint, at int, low int, high int, around binary"
 
 def tied_rows(packed: DataFrame, tied: DataFrame) -> DataFrame:
     """(key, id, at, low, high, around) of the tied anchors: x in [low, high] are the distances of the anchor from the
-    starts of its strings; `around` are the bytes that these strings cover."""
+    starts of its strings; `around` are the bytes that these strings cover.
+
+    Rows that cover the same bytes as an earlier one of the same batch are
+    answered at once, so that a text that repeats itself, or a passage that
+    many texts share, is reduced before the shuffle (see `_done_rows`).
+    """
     places = tied.groupBy("id").agg(F.collect_list("at").alias("ats"))  # bounded by the length of the document
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,25 +235,49 @@ def tied_rows(packed: DataFrame, tied: DataFrame) -> DataFrame:
             at, first, last, doc = at[wanted], first[wanted], last[wanted], doc[wanted]
             padded = np.concatenate([np.zeros(LEFT, np.uint8), texts.data, np.zeros(LENGTH, np.uint8)])
             windows = np.lib.stride_tricks.sliding_window_view(padded, LEFT + LENGTH)
-            for k in range(0, len(at), 10_000):
-                some = slice(k, k + 10_000)
+            ids, place = frame["id"].to_numpy()[doc], at - texts.start[doc]
+            order = np.lexsort((place, ids))  # the earliest first
+            seen: dict[tuple, tuple] = {}
+            gone = np.zeros(len(order), bool)
+            for k in range(0, len(order), 10_000):
+                some = order[k : k + 10_000]
                 around = windows[at[some]].tobytes()
                 low, high = at[some] - last[some], at[some] - first[some]
                 begin = np.arange(len(low)) * (LEFT + LENGTH) + LEFT - high
+                covered = [around[i : i + n] for i, n in zip(begin.tolist(), (high - low + LENGTH).tolist())]
+                own = zip(ids[some].tolist(), place[some].tolist())
+                again = np.array([seen.setdefault((h, c), here) != here for h, c, here in zip(high.tolist(), covered, own)], bool)
+                gone[k : k + len(some)] = again
                 yield pd.DataFrame(
                     {
                         "key": gram_keys(texts.data, at[some]),
-                        "id": frame["id"].to_numpy()[doc[some]],
-                        "at": at[some] - texts.start[doc[some]],
+                        "id": ids[some],
+                        "at": place[some],
                         "low": low,
                         "high": high,
-                        "around": [around[i : i + n] for i, n in zip(begin.tolist(), (high - low + LENGTH).tolist())],
+                        "around": covered,
                     }
-                )
+                )[~again]
+            rows = order[gone]
+            yield _done_rows(ids[rows], place[rows] - (at - first)[rows], place[rows] - (at - last)[rows])
 
     return packed.join(places, "id").mapInPandas(run, ROWS)
 
 
+def _done_rows(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pd.DataFrame:
+    """Rows of ROWS without `around`: all strings that start from `at` to `at` + `high` also start earlier.
+
+    Neighbouring runs are joined; the key only spreads the rows over the tasks.
+    """
+    order = np.lexsort((start, doc))
+    doc, start, stop = doc[order], start[order], stop[order]
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > stop[:-1] + 1)])) if len(doc) else np.empty(0, int)
+    end = stop[np.append(new[1:], len(doc)) - 1] if len(doc) else stop
+    doc, start = doc[new], start[new]
+    key = _mix(doc.astype(np.uint64) * _ODD[0] + start.astype(np.uint64)).view(np.int64)
+    return pd.DataFrame({"key": key, "id": doc, "at": start, "low": 0, "high": end - start, "around": None})
+
+
 def zipped(docs: DataFrame) -> DataFrame:
     """(id, zip): texts as compressed UTF-8, for the shuffles that bring them together with what was found in them."""
 
@@ -318,9 +347,12 @@ def within_groups(rows: DataFrame, chunk: int = 16_384) -> DataFrame:
         held: list[pd.DataFrame] = []
         count = 0
         for frame in frames:
+            done = frame[frame["around"].isna()]
+            yield pd.DataFrame({"id": done["id"], "start": done["at"], "stop": done["at"] + done["high"]})
+            frame = frame[frame["around"].notna()]
             held.append(frame)
             count += len(frame)
-            if count >= chunk:
+            if count >= chunk and len(frame):
                 whole = pd.concat(held, ignore_index=True)
                 ready = whole["key"] != whole["key"].iloc[-1]
                 if ready.any():
@@ -391,7 +423,7 @@ def repeated_starts(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(id, start, stop): runs of starts of strings that also start earlier. `rows` is a stored frame of ROWS."""
     found = None
     while True:
-        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        sizes = rows.filter(F.col("around").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
         large = cut_lineage(sizes.filter(F.col("n") > group_rows).select("key"))
         small = within_groups(rows.join(large, "key", "left_anti"))
         found = small if found is None else found.unionByName(small)
