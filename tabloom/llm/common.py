@@ -32,3 +32,14 @@ def shared_folder(spark: SparkSession) -> str:
 def whole_batches(spark: SparkSession, megabytes: int = 16) -> None:
     """Bound the Arrow batches by bytes, so that a batch of long texts stays small."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+
+
+def hash_prefix(df: DataFrame, total: int, rows: int, key: Column) -> DataFrame:
+    """The rows of `df`, which has `total`, whose hash lies in a prefix of the hash range that should hold four times `rows`.
+
+    Filter with it before taking the first `rows` by the same hash: otherwise
+    each task sends its own first `rows`, which grows with the number of tasks.
+    """
+    if total <= 4 * rows:
+        return df
+    return df.filter(key < F.lit(-(2**63) + 4 * rows * 2**64 // total))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import table, whole_batches
+from tabloom.llm.common import hash_prefix, table, whole_batches
 from tabloom.llm.html_blocks import NAMES, Block, blocks
 
 TRAINING_PAGES = 300
@@ -225,12 +225,14 @@ class Layouts:
 
 
 def training_pages(pages: DataFrame, rows: int = TRAINING_PAGES) -> list[str]:
-    """Labelled pages, as many as rows: layouts filled with the block texts of at most `rows` pages, the first by a hash of the html.
+    """Labelled pages, as many as rows: layouts filled with the block texts of at most `rows` different pages, the first by a hash of the html.
 
     `rows` bounds what reaches the driver. Without pages a stock text fills them.
     """
     html = pages.select(F.col("html").cast("string").alias("html")).filter(F.col("html").isNotNull())
-    some = [r.html for r in html.orderBy(F.xxhash64("html", F.lit(SEED)), "html").limit(rows).collect()]
+    order = F.xxhash64("html", F.lit(SEED))
+    first = hash_prefix(html, html.count(), rows, order).distinct().orderBy(order, "html").limit(rows)
+    some = [r.html for r in first.collect()]
     texts = [b.text for page in some for b in blocks(page)]
     layouts = Layouts([t for t in texts if t.count(" ") >= 8], [t for t in texts if t.count(" ") < 8])
     return [layouts.page() for _ in range(rows)]
