@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import shared_folder, table, whole_batches
+from tabloom.llm.common import hash_prefix, shared_folder, table, whole_batches
 from tabloom.llm.heavy import group_winners
 from tabloom.session import cut_lineage
 
@@ -142,14 +142,15 @@ def _buckets_of(splitters: list[tuple], firsts: np.ndarray, lead, rest, doc, at)
     return bucket
 
 
-def sampled_splitters(docs: DataFrame, buckets: int) -> list[tuple]:
-    """At most `buckets` - 1 splitters (lead, rest, id, position) of nearly equal steps in a sample.
+def sampled_splitters(docs: DataFrame, total: int, buckets: int) -> list[tuple]:
+    """At most `buckets` - 1 splitters (lead, rest, id, position) of nearly equal steps in a sample of the `total` documents.
 
     The sample is at most SAMPLED_DOCUMENTS documents, the first by a hash of
     their id, with at most SAMPLED_ANCHORS spread anchors each. It only evens
     out the buckets; results do not depend on it.
     """
-    some = docs.orderBy(F.xxhash64("id"), "id").limit(SAMPLED_DOCUMENTS)
+    order = F.xxhash64("id")
+    some = hash_prefix(docs, total, SAMPLED_DOCUMENTS, order).orderBy(order, "id").limit(SAMPLED_DOCUMENTS)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -177,9 +178,9 @@ def _multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-def tied_suffixes(docs: DataFrame, buckets: int, folder: str) -> DataFrame:
+def tied_suffixes(docs: DataFrame, total: int, buckets: int, folder: str) -> DataFrame:
     """(rest, id, at): the anchors whose k-gram another anchor has too; kept as a table in `folder`."""
-    splitters = sampled_splitters(docs, buckets)
+    splitters = sampled_splitters(docs, total, buckets)
     shipped = docs.sparkSession.sparkContext.broadcast((splitters, np.array([s[0] for s in splitters], np.int64)))
 
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -461,7 +462,7 @@ def remove_repeats(
     long = wanted.filter(size >= LENGTH)
     buckets = max(1, -(-int((facts[0] or 0) * 2 / (WINDOW + 1)) // bucket_rows))
     folder = f"{shared_folder(spark)}/suffix-{uuid.uuid4().hex}"
-    tied = tied_suffixes(long, buckets, f"{folder}/tied").join(copies, "id", "left_anti")  # whole copies need no suffixes
+    tied = tied_suffixes(long, facts[1], buckets, f"{folder}/tied").join(copies, "id", "left_anti")  # whole copies need no suffixes
     packed = zipped(wanted)
     rows = tied_rows(packed, tied.select("id", "at"))
     if tied.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows).isEmpty():
