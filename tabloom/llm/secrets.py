@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import table
+from tabloom.llm.common import hash_prefix, table
 from tabloom.session import cut_lineage
 
 #: A run of 16 or more token characters with a digit in it, or 8 or more that are assigned or quoted.
@@ -124,7 +124,9 @@ def labelled_findings(docs: DataFrame, rows: int = TRAINING_DOCUMENTS, id_column
     long words, and values in test paths that are named examples.
     """
     text = F.regexp_replace(F.substring(F.coalesce(docs[text_column].cast("string"), F.lit("")), 1, 400), "[=:\"']", " ")
-    some = docs.select(docs[id_column].cast("string").alias("doc_id"), text.alias("host")).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "host").limit(rows)
+    order = F.xxhash64("doc_id", F.lit(SEED))
+    hosts = docs.select(docs[id_column].cast("string").alias("doc_id"), text.alias("host"))
+    some = hash_prefix(hosts, docs.count(), rows, order).orderBy(order, "doc_id", "host").limit(rows)
     draw = lambda k: F.sha2(F.concat(F.coalesce("doc_id", F.lit("")), F.lit(f"/{k}")), 256)
     pick = lambda k, *options: F.element_at(F.array(*map(F.lit, options)), (F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(len(options))) + 1).cast("int"))
     base64 = F.translate(F.base64(F.unhex(draw(1))), "=", "")
