@@ -7,9 +7,10 @@ import duckdb
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.llm import bpe, html_crf, quality, url_filter
+from tabloom.llm import bpe, common, html_crf, quality, url_filter
 from tabloom.llm.html_blocks import blocks
 
 FOLDER = "/root/testdata/sf0.001"
@@ -166,3 +167,14 @@ def test_url_rows(spark):
     found = url_filter.judge_urls(spark.createDataFrame(rows, schema), url_filter.RULES).collect()
     assert sorted((r.page_id or 0, r.rule, r.verdict) for r in found) == [(0, "net/fr/", "block"), (1, None, "allow"), (1, None, "allow")]
     assert url_filter.judge_urls(spark.createDataFrame([], schema), url_filter.RULES).count() == 0
+
+
+@pytest.mark.parametrize("rows", [10, 40, 250, 2_000])
+def test_hash_prefix_keeps_the_first_rows_of_the_hash_order(spark, rows):
+    order = F.xxhash64("id", F.lit(5))
+    df = spark.range(1_000)
+    first = common.hash_prefix(df, 1_000, rows, order)
+    assert first.orderBy(order).limit(rows).collect() == df.orderBy(order).limit(rows).collect()
+    assert first.count() <= 8 * rows
+    empty = df.limit(0)
+    assert common.hash_prefix(empty, 0, rows, order).count() == 0
