@@ -119,7 +119,7 @@ def spell_fix(spark, folder):
 def spell_apply(spark, folder):
     known = cut_lineage(document_vocabulary(spark, folder))
     tokens = _chat_words(spark, folder)
-    fixed = voc.apply_fixes(tokens, voc.spelling_fixes(tokens, known), known, CHAT_KEYS)
+    fixed = voc.apply_fixes(tokens, voc.spelling_fixes(tokens, known), CHAT_KEYS)
     texts = voc.gather(fixed, CHAT_KEYS, {"words": "word"})
     return texts.select(*CHAT_KEYS, F.array_join("words", " ").alias("text"))
 

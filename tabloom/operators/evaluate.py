@@ -39,10 +39,11 @@ def binary_metrics(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
 
 
 def _cumulated(df: DataFrame, groups: Sequence[str], descending: bool) -> DataFrame:
-    """Rows (groups, score, pos, neg, run_pos, run_neg): equal scores together, totals in score order.
+    """Rows (groups, score, pos, neg, run_pos, run_neg, all_pos, all_neg): equal scores together.
 
-    Scores are cut at sampled split points, so that running totals over many
-    distinct scores stay spread over tasks.
+    run_ are totals in score order, all_ those of the group. Scores are cut at
+    sampled split points, so that running totals over many distinct scores stay
+    spread over tasks.
     """
     sign = -1 if descending else 1
     keyed = df.select(*groups, "truth", "score", (F.col("score") * sign).cast("double").alias("__order"))
@@ -52,13 +53,8 @@ def _cumulated(df: DataFrame, groups: Sequence[str], descending: bool) -> DataFr
     )
     bucketed = with_value_bucket(counted, "__order", bounds, "__bucket")
     totals = {"run_pos": F.col("pos"), "run_neg": F.col("neg")}
-    return running_totals(bucketed, "__bucket", [F.col("__order")], totals, groups)
-
-
-def _class_totals(df: DataFrame, groups: Sequence[str]) -> DataFrame:
-    return df.groupBy(*groups).agg(
-        F.count_if(F.col("truth") == 1).alias("all_pos"), F.count_if(F.col("truth") == 0).alias("all_neg")
-    )
+    whole = {"all_pos": "run_pos", "all_neg": "run_neg"}
+    return running_totals(bucketed, "__bucket", [F.col("__order")], totals, groups, whole)
 
 
 def roc_curve(df: DataFrame, digits: int | None = None) -> DataFrame:
@@ -67,28 +63,24 @@ def roc_curve(df: DataFrame, digits: int | None = None) -> DataFrame:
     `digits` rounds the scores first, which bounds the number of points.
     """
     scored = df if digits is None else df.withColumn("score", F.round("score", digits))
-    totals = _class_totals(scored, []).select(F.struct("all_pos", "all_neg")).scalar()
-    return _cumulated(scored, [], descending=True).withColumn("t", totals).select(
+    return _cumulated(scored, [], descending=True).select(
         F.col("score").alias("threshold"),
-        _ratio(F.col("run_neg"), F.col("t.all_neg")).alias("fpr"),
-        _ratio(F.col("run_pos"), F.col("t.all_pos")).alias("tpr"),
+        _ratio(F.col("run_neg"), F.col("all_neg")).alias("fpr"),
+        _ratio(F.col("run_pos"), F.col("all_pos")).alias("tpr"),
     )
 
 
 def roc_auc(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
-    """auc: chance that a positive scores above a negative, ties count half. Null without both classes."""
+    """auc: chance that a positive scores above a negative, ties count half. Null without both classes.
+
+    One pass finds the split points, one counts the scores; the class totals
+    come from those counts.
+    """
     steps = _cumulated(df, groups, descending=False)
     below = F.col("run_neg") - F.col("neg")
-    wins = steps.groupBy(*groups).agg(F.sum(F.col("pos") * (below + F.col("neg") / 2)).alias("wins"))
-    pairs = _class_totals(df, groups).withColumn("pairs", F.col("all_pos") * F.col("all_neg"))
-    if not groups:
-        pairs_value = pairs.select("pairs").scalar()
-        return wins.withColumn("pairs", pairs_value).select(
-            F.when(F.col("pairs") > 0, F.col("wins") / F.col("pairs")).alias("auc")
-        )
-    return join_groups(wins, pairs, groups).select(
-        *groups, F.when(F.col("pairs") > 0, F.col("wins") / F.col("pairs")).alias("auc")
-    )
+    wins = F.sum(F.col("pos") * (below + F.col("neg") / 2))
+    pairs = F.max("all_pos") * F.max("all_neg")
+    return steps.groupBy(*groups).agg(F.when(pairs > 0, wins / pairs).alias("auc"))
 
 
 def class_report(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.lookup import keyed_lookup
 from tabloom.operators.vocabulary import START, STOP, gather, lookup_words
 
 SMOOTHING = 1.0
@@ -60,7 +61,7 @@ def emissions(
     totals = counts.groupBy("tag").agg(F.sum("n").alias("total"))
     words = counts.select(F.struct(F.count_distinct("word").alias("v"))).scalar()
     score = F.log((F.col("n") + smoothing) / (F.col("total") + smoothing * (words["v"] + 1)))
-    return counts.join(totals, "tag").select("tag", "word", "n", score.alias("score"))
+    return keyed_lookup(counts, totals, "tag", ["tag", "word"]).select("tag", "word", "n", score.alias("score"))
 
 
 def tagger(steps: DataFrame, seen: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
@@ -166,38 +167,61 @@ def _rest() -> Column:
     return F.slice("emit", F.lit(2), F.greatest(F.size("emit") - 1, F.lit(0)))
 
 
+def _forward(score: Column, emit: Column) -> Column:
+    """Best scores after one more token; the emission is added after the maximum."""
+    return F.zip_with(F.col("tagger.step"), emit, lambda row, e: F.array_max(_add(score, row)) + e)
+
+
+def _arg_max(values: Column) -> Column:
+    """1-based place of the first maximum."""
+    return F.array_position(values, F.array_max(values)).cast("int")
+
+
+def _blocks() -> Column:
+    """The emissions behind the first token in blocks of about the square root of their number."""
+    rest = F.size("emit") - 1
+    width = F.greatest(F.ceil(F.sqrt(rest)).cast("int"), F.lit(1))
+    count = F.ceil(rest / width).cast("int")
+    numbers = F.slice(F.sequence(F.lit(0), count), F.lit(1), count)
+    return F.transform(numbers, lambda b: F.slice("emit", b * width + 2, width))
+
+
 def best_path() -> Column:
-    """struct(score, tags) of the best tagging; the emission is added after the maximum, first maximum wins."""
+    """struct(score, tags) of the best tagging; first maximum wins.
 
-    def step(state: Column, emit: Column) -> Column:
-        options = F.transform(F.col("tagger.step"), lambda row: _add(state["score"], row))
-        return F.element_at(
-            F.transform(
-                F.array(options),
-                lambda rows: F.struct(
-                    F.zip_with(rows, emit, lambda row, e: F.array_max(row) + e).alias("score"),
-                    F.concat(
-                        state["back"],
-                        F.array(F.transform(rows, lambda row: F.array_position(row, F.array_max(row)).cast("int"))),
-                    ).alias("back"),
-                ),
-            ),
-            1,
+    The way forward keeps the scores at the start of each block only. The way
+    back computes the scores inside one block again and follows the best places
+    through them, so no array grows with every token of the sentence.
+    """
+    marks_type = "array<struct<begin:array<double>,emits:array<array<double>>>>"
+
+    def ahead(state: Column, block: Column) -> Column:
+        mark = F.struct(state["score"].alias("begin"), block.alias("emits"))
+        return F.struct(
+            F.aggregate(block, state["score"], _forward).alias("score"),
+            F.concat(state["marks"], F.array(mark)).alias("marks"),
         )
 
+    def back(parts: Column, mark: Column) -> Column:
+        but_last = F.slice(mark["emits"], F.lit(1), F.size(mark["emits"]) - 1)
+        scores = F.aggregate(
+            but_last, F.array(mark["begin"]), lambda s, e: F.concat(s, F.array(_forward(F.element_at(s, -1), e)))
+        )
+        places = F.aggregate(
+            F.reverse(scores),
+            F.array(F.element_at(F.element_at(parts, -1), -1)),
+            lambda p, s: F.concat(p, F.array(_arg_max(_add(s, F.element_at("tagger.step", F.element_at(p, -1)))))),
+        )
+        return F.concat(parts, F.array(F.slice(places, F.lit(2), F.size(mark["emits"]))))
+
     def finish(state: Column) -> Column:
         end = _add(state["score"], F.col("tagger.stop"))
-        last = F.array_position(end, F.array_max(end)).cast("int")
-        path = F.aggregate(
-            F.reverse(state["back"]),
-            F.array(last),
-            lambda p, b: F.concat(p, F.array(F.element_at(b, F.element_at(p, -1)))),
-        )
-        tags = F.transform(F.reverse(path), lambda i: F.element_at("tagger.tags", i))
+        places = F.flatten(F.aggregate(F.reverse(state["marks"]), F.array(F.array(_arg_max(end))), back))
+        tags = F.transform(F.reverse(places), lambda i: F.element_at("tagger.tags", i))
         return F.struct(F.array_max(end).alias("score"), tags.alias("tags"))
 
-    begin = F.struct(_first().alias("score"), F.array().cast("array<array<int>>").alias("back"))
-    return F.aggregate(_rest(), begin, step, finish)
+    begin = F.struct(_first().alias("score"), F.array().cast(marks_type).alias("marks"))
+    return F.aggregate(_blocks(), begin, ahead, finish)
 
 
 def log_partition() -> Column:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tabloom.operators import evaluate
 from tabloom.operators.models import auc, logistic, random_forest, score_table, weight_sum
 from tabloom.operators.ranking import hashed_rank
+from tabloom.session import cut_lineage
 
 FOLD = "fold"
 
@@ -224,7 +225,7 @@ def permutation_importance(
 
     Rows are ranked in two independent hash orders and joined on the rank, an
     exact shuffle without a single-task window. All columns are scored in one
-    frame and ranked together.
+    frame, which is stored, and ranked together.
     """
     plain = df.select(key, "label", "weight", *columns)
     spots = hashed_rank(plain, [], [key], "__spot", seed)
@@ -237,8 +238,10 @@ def permutation_importance(
         for v in ("", *columns)
     ]
     wide = both.select(key, "label", "weight", F.inline(F.array(*variants)))
-    scored = model.transform(assembler.transform(wide)).select(
-        "model", F.col("label").cast("int").alias("truth"), _class_one().alias("score")
+    scored = cut_lineage(
+        model.transform(assembler.transform(wide)).select(
+            "model", F.col("label").cast("int").alias("truth"), _class_one().alias("score")
+        )
     )
     aucs = evaluate.roc_auc(scored, ["model"])
     base = aucs.filter(F.col("model") == "").agg(F.max("auc")).scalar()

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.vectors import doubles, zeros
-from tabloom.operators.ranking import SEPARATOR, row_weight, running_totals, value_buckets, with_value_bucket
+from tabloom.operators.lookup import keyed_lookup
+from tabloom.operators.ranking import row_weight, running_totals, value_buckets, with_value_bucket
 
 PAD, UNKNOWN = "[PAD]", "[UNKNOWN]"
 START, STOP = "<START>", "<STOP>"
-HEAVY_SHARE = 256
 
 
 def token_rows(df: DataFrame, tokens: Column, keys: Sequence[str]) -> DataFrame:
@@ -68,32 +68,12 @@ def first_seen_index(
     return head.unionByName(found)
 
 
-def _with_join_key(tokens: DataFrame, entries: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Tokens with the entry of heavy words (`__heavy`) and a key for the main join (`__look`).
-
-    Words that make up more than 1/256 of the tokens counted in `entries`, hence
-    fewer than 256 words, are looked up in a broadcast table. Their rows get a
-    key of their own that matches nothing, so that no frequent word fills one
-    task of the main join.
-    """
-    total = entries.agg(F.sum("freq")).scalar()
-    heavy = entries.filter(F.col("freq") * HEAVY_SHARE > total).select("word", F.struct(*values).alias("__heavy"))
-    own = F.concat_ws(SEPARATOR, F.lit(""), *[F.col(k).cast("string") for k in keys], F.col("pos").cast("string"))
-    return tokens.join(F.broadcast(heavy), "word", "left").withColumn(
-        "__look", F.when(F.col("__heavy").isNull(), F.col("word")).otherwise(own)
-    )
-
-
 def lookup_words(tokens: DataFrame, entries: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of token rows (keys..., pos, word) with `entries` (word, freq, value columns).
 
     `entries` has one row per word and should be a stored frame.
     """
-    values = [c for c in entries.columns if c not in ("word", "freq")]
-    seen = _with_join_key(tokens, entries, keys, values)
-    rest = entries.select(F.col("word").alias("__look"), F.struct(*values).alias("__rest"))
-    looked = seen.join(rest, "__look", "left").withColumn("__found", F.coalesce("__heavy", "__rest"))
-    return looked.select(*tokens.columns, *[F.col("__found")[v].alias(v) for v in values])
+    return keyed_lookup(tokens, entries.drop("freq"), "word", [*keys, "pos"])
 
 
 def token_index(tokens: DataFrame, dictionary: DataFrame, keys: Sequence[str], unknown: str = UNKNOWN) -> DataFrame:
@@ -107,9 +87,8 @@ def token_index(tokens: DataFrame, dictionary: DataFrame, keys: Sequence[str], u
 
 
 def decode(df: DataFrame, dictionary: DataFrame, index: str, label: str) -> DataFrame:
-    """Add the label of an index; `dictionary` has `label` and ix."""
-    names = dictionary.select(F.col("ix").alias(index), label)
-    return df.join(names, index, "left")
+    """Add the label of an index; `dictionary` has `label` and ix, one row per index."""
+    return keyed_lookup(df, dictionary.select(F.col("ix").alias(index), label), index)
 
 
 def out_of_vocabulary(words: DataFrame, known: DataFrame, word: str = "word") -> DataFrame:
@@ -156,15 +135,10 @@ def spelling_fixes(words: DataFrame, known: DataFrame, min_length: int = 4) -> D
     return best.select("word", F.col("b.fixed").alias("fixed"))
 
 
-def apply_fixes(tokens: DataFrame, fixes: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Replace every token (keys..., pos, word) that has a fix.
-
-    Known words never have one; the frequent ones among them are kept out of
-    the join.
-    """
-    seen = _with_join_key(tokens, known, keys, ["freq"])
-    joined = seen.join(fixes.select(F.col("word").alias("__look"), "fixed"), "__look", "left")
-    return joined.withColumn("word", F.coalesce("fixed", "word")).select(*tokens.columns)
+def apply_fixes(tokens: DataFrame, fixes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Replace every token (keys..., pos, word) that has a fix."""
+    looked = keyed_lookup(tokens, fixes.select("word", "fixed"), "word", [*keys, "pos"])
+    return looked.withColumn("word", F.coalesce("fixed", "word")).select(*tokens.columns)
 
 
 def embed(words: DataFrame, word: str, sources: Sequence[tuple[DataFrame, int]], name: str = "vector") -> DataFrame:
@@ -174,6 +148,7 @@ def embed(words: DataFrame, word: str, sources: Sequence[tuple[DataFrame, int]],
     """
     joined = words
     for i, (vectors, _) in enumerate(sources):
-        joined = joined.join(vectors.select(word, doubles(F.col("vec")).alias(f"__v{i}")), word, "left")
+        entries = vectors.select(word, doubles(F.col("vec")).alias(f"__v{i}"))
+        joined = keyed_lookup(joined, entries, word, words.columns)
     parts = [F.coalesce(F.col(f"__v{i}"), zeros(width)) for i, (_, width) in enumerate(sources)]
     return joined.select(*words.columns, reduce(F.concat, parts).alias(name))

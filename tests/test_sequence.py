@@ -78,3 +78,28 @@ def test_first_maximum_wins(spark):
     model = sequence.tagger(sequence.transitions(df), seen)
     path = sequence.decode_paths(sequence.with_emissions(df, ["id"], seen, model), ["id"]).filter(F.col("id") == 1).first().path
     assert path in (["A", "B"], ["B", "A"])
+
+
+def test_long_sentence_is_decoded_in_blocks(spark):
+    source = random.Random(3)
+    rows = []
+    for i, n in enumerate((1, 2, 3, 5, 10, 17, 401)):
+        rows.append((i, [source.choice("uvwxyz") for _ in range(n)], [source.choice("ABC") for _ in range(n)]))
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, tags array<string>")
+    seen = sequence.emissions(df).cache()
+    model = sequence.tagger(sequence.transitions(df).cache(), seen)
+    scored = sequence.with_emissions(df, ["id"], seen, model).cache()
+    best = {r.id: r for r in sequence.decode_paths(scored, ["id"]).collect()}
+    for row in scored.collect():
+        t, tags = row.tagger, range(len(row.tagger.tags))
+        score, came = [t.start[g] + row.emit[0][g] for g in tags], []
+        for emit in row.emit[1:]:
+            sums = [[score[p] + t.step[g][p] for p in tags] for g in tags]
+            came.append([s.index(max(s)) for s in sums])
+            score = [max(s) + e for s, e in zip(sums, emit)]
+        end = [a + b for a, b in zip(score, t.stop)]
+        path = [end.index(max(end))]
+        for places in reversed(came):
+            path.append(places[path[-1]])
+        assert best[row.id].score == pytest.approx(max(end))
+        assert best[row.id].path == [t.tags[g] for g in reversed(path)]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import features, grouping
+from tabloom.operators.lookup import keyed_lookup
 from tabloom.operators import vocabulary as voc
 
 SETTINGS = {
@@ -69,3 +70,40 @@ def test_a_frequent_word_is_spread_in_the_look_up(tight):
     finally:
         tight.conf.set("spark.sql.adaptive.enabled", "true")
         dictionary.unpersist()
+
+
+def largest_share(spark, df, rows):
+    """Rows of the fullest task against an even share, without adaptive execution."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in per_task) == rows
+    return max(r["count"] for r in per_task) / (rows / 8)
+
+
+def test_five_equally_hot_keys_are_spread(tight):
+    coded = tight.range(0, 40000, 1, 16).select("id", (F.col("id") % 5).alias("ix"))
+    names = tight.createDataFrame([(i, f"tag{i}") for i in range(5)], "ix long, tag string")
+    assert largest_share(tight, voc.decode(coded, names, "ix", "tag"), 40000) < 1.5
+    wrong = voc.decode(coded, names, "ix", "tag").filter(F.col("tag") != F.concat(F.lit("tag"), F.col("ix")))
+    assert wrong.count() == 0
+
+
+def test_hot_unknown_and_null_words_are_spread(tight):
+    word = F.when(F.col("id") % 3 == 0, "<hidden>").when(F.col("id") % 3 == 1, F.concat(F.lit("w"), F.col("id") % 900))
+    tokens = tight.range(0, 40000, 1, 16).select(F.col("id").alias("doc"), F.lit(0).alias("pos"), word.alias("word"))
+    entries = tight.range(0, 900).select(F.concat(F.lit("w"), "id").alias("word"), F.lit(1).alias("freq"), F.col("id").alias("ix"))
+    found = voc.lookup_words(tokens, entries, ["doc"])
+    assert largest_share(tight, found, 40000) < 1.5
+    assert found.filter("ix is null").count() == sum(i % 3 != 1 for i in range(40000))
+    assert found.filter("ix is not null and word <> concat('w', ix)").count() == 0
+
+
+def test_look_up_in_and_of_empty_tables(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "id long, word string")
+    entries = spark.createDataFrame([("a", 5)], "word string, ix long")
+    assert sorted(keyed_lookup(rows, entries, "word").select("id", "ix").collect()) == [(1, 5), (1, 5), (2, None)]
+    assert keyed_lookup(rows.limit(0), entries, "word").collect() == []
+    assert {r.ix for r in keyed_lookup(rows, entries.limit(0), "word").collect()} == {None}
