@@ -13,7 +13,9 @@ from tabloom.session import cut_lineage
 
 KEY = "doc_id"
 NUMBERS = ["n_chars", "words", "digit_share", "capital_share", "line_breaks", "word_length"]
-FOLDS = 3
+FOLDS = 5
+TRIALS = 10
+PATIENCE = 100
 
 
 def document_facts(spark, folder):
@@ -40,12 +42,12 @@ def document_facts(spark, folder):
     return facts.join(labels, KEY)
 
 
-def _training(spark, folder, categories=("lang",)):
+def _training(spark, folder):
     """Stored training frame with features, label, weight and fold, and the slot names."""
     facts = cut_lineage(document_facts(spark, folder))
     weighted = features.with_class_weights(facts, "label")
     folded = features.fold_assignment(weighted, KEY, "label", FOLDS)
-    pipeline = features.feature_pipeline(NUMBERS, list(categories))
+    pipeline = features.feature_pipeline(NUMBERS, ["lang"])
     ready = pipeline.fit(folded).transform(folded)
     names = models.feature_names(ready, NUMBERS)
     return cut_lineage(ready.select(KEY, "label", "weight", "fold", *NUMBERS, "features")), names
@@ -85,7 +87,7 @@ def fit_gbt_early_stop(spark, folder):
     rows, _ = _training(spark, folder)
     split = cut_lineage(features.stratified_split(rows, KEY, "label"))
     train, valid = split.filter("part = 'train'"), split.filter("part = 'test'")
-    model = models.fit_until_best(models.boosted_trees(20, 0.1, 3), train, valid, patience=5)
+    model = models.fit_until_best(models.boosted_trees(20, 0.1, 3), train, valid, PATIENCE)
     return models.scored_predictions(model, split, KEY).withColumn("trees", F.lit(model.getNumTrees))
 
 
@@ -108,7 +110,13 @@ def cv_scores(spark, folder):
 def grid_search(spark, folder):
     rows, _ = _training(spark, folder)
     tree = models.decision_tree()
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, [3, 5]).addGrid(tree.impurity, ["gini", "entropy"]).build()
+    grid = (
+        ParamGridBuilder()
+        .addGrid(tree.maxDepth, [2, 3, 4, 5, 6, 8])
+        .addGrid(tree.impurity, ["gini", "entropy"])
+        .addGrid(tree.minInstancesPerNode, [1, 5])
+        .build()
+    )
     return tuning.grid_search(tree, grid, rows, FOLDS)[1]
 
 
@@ -122,7 +130,7 @@ def random_search(spark, folder):
         "feature_fraction": ("uniform", 0.4, 1.0),
     }
     return tuning.random_search(
-        lambda **p: models.boosted_trees(5, **p), space, split.filter("part = 'train'"), split.filter("part = 'test'"), 4
+        lambda **p: models.boosted_trees(5, **p), space, split.filter("part = 'train'"), split.filter("part = 'test'"), TRIALS
     )
 
 
@@ -132,7 +140,7 @@ def select_by_importance(spark, folder):
 
 
 def recursive_elimination(spark, folder):
-    rows, names = _training(spark, folder, categories=())
+    rows, names = _training(spark, folder)
     return tuning.recursive_elimination(rows, names, FOLDS)
 
 
