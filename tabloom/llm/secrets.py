@@ -1,7 +1,8 @@
 """Secret scan: candidate strings judged by a random forest.
 
-Only DataFrame functions and Spark's own forest. Candidates are runs of token
-characters; the features are their length, the transitions between character
+Only DataFrame functions and Spark's own forest. Candidates are whole assigned
+or quoted values, values of authorization schemes, and runs of token characters
+and dots, with the parts that stand out inside them; the features are their length, the transitions between character
 classes, how much of them common words cover, the path of the document and the
 words on both sides. The forest is trained on labelled findings and takes the
 false positives out.
@@ -19,12 +20,24 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import hash_prefix, table
 from tabloom.session import cut_lineage
 
-#: A run of 16 or more token characters with a digit in it, or 8 or more that are assigned or quoted.
+_RUN = r"A-Za-z0-9+/_\-"
+_MIXED = rf"(?=[{_RUN}.]{{16}})(?=[A-Za-z+/_.\-]*+[0-9]|[A-Za-z+/_\-]*[a-z][A-Z])"
+#: What stands before a value: a sign of assignment with any blanks, or the name of an authorization scheme.
+BEFORE = r"""(?:(?:[=:]++>?+\s*+|(?i:\b(?:bearer|basic))\s++)["'`]?+)"""
+# A sign at the end of a value, or before a scheme, is left for the value that follows.
+_NEXT = r"(?![=:]++(?:\s|$|(?i:bearer|basic)\s))"
+#: A quoted value up to its closing quote, any other up to white space or a quote that does not stand inside a word, and a
+#: run of 16 or more token characters and dots with a digit or a change of case in it; padding is added from what follows.
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{16,}+={0,2}"
-    r"""|(?<=[=:]\s?["'])[A-Za-z0-9+/_\-]{8,}+={0,2}"""
-    r"|(?<=[=:]\s?)(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{8,}+={0,2}"
+    rf"{BEFORE}(?:"
+    r"""(?<=")(?:[^"\\\r\n]|\\.){8,}+(?=")|(?<=')(?:[^'\\\r\n]|\\.){8,}+(?=')|(?<=`)(?:[^`\\\r\n]|\\.){8,}+(?=`)"""
+    rf"""|(?!["'`=:])(?:{_NEXT}[^\s"'`]|(?<=\w)["'`](?=\w)){{8,}}+)"""
+    rf"|(?<![{_RUN}]){_MIXED}[{_RUN}]++(?:\.[{_RUN}]++)*+"
 )
+#: What is judged inside a value as well: runs, dotted runs, and what is assigned in it or starts it, up to a separator.
+_RUNS = rf"(?<![{_RUN}])(?=[A-Za-z+/_\-]*+[0-9])[{_RUN}]{{16,}}+"
+_DOTTED = rf"(?<![{_RUN}]){_MIXED}[{_RUN}]++(?:\.[{_RUN}]++)++"
+_ASSIGNED = rf"""(?:^|{BEFORE})[^\s&;,=:"'`]{{7,}}[^\s&;,=:"'`.!?)\]}}>]"""
 NEAR = 64
 TRAINING_DOCUMENTS = 6_000
 TREES, LEVELS = 40, 7
@@ -50,10 +63,41 @@ def _any(words: str) -> str:
     return "(?i)(?<![A-Za-z])(" + "|".join(words.split()) + ")(?![A-Za-z])"
 
 
+def _rows(found: Column, parts: Column, left: Column, right: Column) -> Column:
+    """Array of (candidate, left, right) of the matches `found` between `parts` of a text that stands between `left` and `right`."""
+
+    def row(m: Column) -> Column:
+        before = F.regexp_extract(m["match"], f"^{BEFORE}", 0)
+        follows = F.concat(F.left(m["after"], F.lit(NEAR + 2)), F.left(F.coalesce(m["next"], right), F.lit(NEAR + 2)))
+        padding = F.regexp_extract(follows, "^={1,2}", 0)
+        return F.struct(
+            F.concat(F.substring(m["match"], F.length(before) + 1, F.length(m["match"])), padding).alias("candidate"),
+            F.right(F.concat(F.right(F.coalesce(m["last"], left), F.lit(NEAR)), F.right(m["part"], F.lit(NEAR)), before), F.lit(NEAR)).alias("left"),
+            F.substring(follows, F.length(padding) + 1, F.lit(NEAR)).alias("right"),
+        )
+
+    n, none = F.size(found), F.array(F.lit(None).cast("string"))
+    columns = {
+        "match": found, "part": parts, "after": F.slice(parts, F.lit(2), n), "next": F.concat(F.slice(found, F.lit(2), n), none), "last": F.concat(none, found)
+    }
+    return F.transform(F.arrays_zip(*[F.slice(c, F.lit(1), n).alias(k) for k, c in columns.items()]), row)
+
+
+def _with_inner(row: Column) -> Column:
+    """Array of a candidate and the candidates inside it, each string at a place once."""
+    rows = [F.array(row)]
+    for pattern in (_RUNS, _DOTTED, _ASSIGNED):
+        inner = _rows(F.regexp_extract_all(row["candidate"], F.lit(pattern), F.lit(0)), F.split(row["candidate"], pattern, -1), row["left"], row["right"])
+        known = f"^(?:{_RUNS}|{_DOTTED})={{0,2}}$" if pattern is _ASSIGNED else "^$"
+        rows.append(F.filter(inner, lambda r: (r["candidate"] != row["candidate"]) & ~r["candidate"].rlike(known)))  # noqa: B023
+    return F.concat(*rows)
+
+
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str | None = "source") -> DataFrame:
     """(doc_id, occurrence, path, candidate, left, right): every candidate with up to 64 characters on both sides.
 
-    A text is split once at its candidates; `occurrence` numbers them from 0.
+    A candidate is a whole match of CANDIDATE, followed by what stands out
+    inside it; `occurrence` numbers them from 0.
     """
     text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
     path = F.coalesce(docs[path_column].cast("string"), F.lit("")) if path_column else F.lit("")
@@ -64,12 +108,7 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         text.alias("text"),
     ).filter(F.size("found") > 0)
     parts = found.select("doc_id", "path", "found", F.split("text", CANDIDATE, -1).alias("parts"))
-    rows = F.transform(
-        "found",
-        lambda c, i: F.struct(
-            c.alias("candidate"), F.right(F.get("parts", i), F.lit(NEAR)).alias("left"), F.left(F.get("parts", i + 1), F.lit(NEAR)).alias("right")
-        ),
-    )
+    rows = F.flatten(F.transform(_rows(F.col("found"), F.col("parts"), F.lit(""), F.lit("")), _with_inner))
     opened = parts.select("doc_id", "path", F.posexplode(rows).alias("occurrence", "row"))
     return opened.select("doc_id", "occurrence", "path", "row.candidate", "row.left", "row.right")
 
@@ -102,6 +141,9 @@ def feature_columns() -> dict[str, Column]:
         "hexadecimal": c.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double"),
         "known_format": c.rlike("^(AKIA|ASIA|gh[pousr]_|sk[-_]|xox[abp]-|glpat-|AIza|eyJ)").cast("double"),
         "uuid": c.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$").cast("double"),
+        "marks": share(r"[^A-Za-z0-9+/_=\-\s]"),
+        "blanks": share(r"\s"),
+        "address": c.rlike(r"^([a-z]+:)?//|^www\.").cast("double"),
         "coverage": 1 - F.length(uncovered) / n,
         "path_depth": F.regexp_count(F.col("path"), F.lit("/")).cast("double"),
         "path_test": near("path", TEST_PATHS),
@@ -119,9 +161,11 @@ def labelled_findings(docs: DataFrame, rows: int = TRAINING_DOCUMENTS, id_column
 
     The documents are the first by a hash of their id; each gets one finding of
     one kind, a value drawn from a hash in the words that usually surround it.
-    Label 1: keys of known formats, random strings assigned to a telling name.
+    Label 1: keys of known formats, dotted keys, random strings with and without
+    marks assigned to a telling name or after the name of a scheme.
     Label 0: placeholders, digests and identifiers named as such, counters,
-    long words, and values in test paths that are named examples.
+    long words, quoted prose, addresses, file names and versions, and values in
+    test paths that are named examples.
     """
     text = F.regexp_replace(F.substring(F.coalesce(docs[text_column].cast("string"), F.lit("")), 1, 400), "[=:\"']", " ")
     order = F.xxhash64("doc_id", F.lit(SEED))
@@ -137,6 +181,10 @@ def labelled_findings(docs: DataFrame, rows: int = TRAINING_DOCUMENTS, id_column
     named = F.concat(names, sign)
     uuid = F.regexp_replace(F.substring(draw(5), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     harmless = pick(6, "commit ", "sha256: ", "md5=", "checksum: ", "hash: ", "revision ", "etag: \"", "digest=")
+    letters = F.translate(base64, "0123456789+/", "abCDefGHij")
+    mark = pick(13, "!", "$$", "#", "@", "%", "~", "&", ".")
+    marked = F.concat(F.substring(base64, 1, 5), mark, F.substring(base64, 7, 4), mark, F.substring(draw(14), 1, 3))
+    wide = pick(15, "  =  \"", "   = '", ":    \"", " =   ", "\t:\t\t")
     prose = F.regexp_extract("host", "([A-Za-z]{12,})", 1)
     kinds: list[tuple[int, Column, Column, Column]] = [
         (1, named, hexes, F.lit("")),
@@ -145,6 +193,15 @@ def labelled_findings(docs: DataFrame, rows: int = TRAINING_DOCUMENTS, id_column
         (1, named, F.concat(F.lit("ghp_"), F.substring(base64, 1, 36)), F.lit("")),
         (1, F.lit("key "), F.concat(F.lit("AKIA"), F.upper(F.substring(draw(7), 1, 16))), F.lit("")),
         (1, F.lit("Authorization: Bearer "), F.substring(base64, 1, 40), F.lit("")),
+        (1, named, F.concat(marked, F.substring(draw(16), 1, 2)), F.lit("")),
+        (1, F.concat(names, wide), F.substring(base64, 5, 11), F.lit("")),
+        (1, F.lit("token: Bearer "), F.substring(letters, 1, 24), F.lit("")),
+        (1, F.lit("Authorization: Basic "), F.concat(F.substring(base64, 1, 22), F.lit("==")), F.lit("")),
+        (1, pick(17, "key ", "use ", "mail key: ", "token=\""), F.concat(pick(18, "SG.", "eyJ", "v1."), F.substring(base64, 1, 12), F.lit("."), F.substring(base64, 13, 24)), F.lit("")),
+        (0, pick(19, "link: ", "url = \"", "see: "), F.concat(F.lit("https://www."), F.lower(prose), F.lit(".com/page/2024?id="), F.substring(draw(20), 1, 3)), F.lit("")),
+        (0, pick(21, "title: \"", "label = \"", "message: \""), F.concat(prose, F.lit(" of "), prose, F.lit(", again.")), F.lit("")),
+        (0, pick(22, "Note: ", "bearer ", "basic ", "namely: ", "is = "), F.concat(prose, pick(23, "", ",", ".", ")")), F.lit("")),
+        (0, pick(24, "file ", "open ", "version: "), F.concat(F.lower(prose), F.lit("-1.20."), F.substring(F.translate(draw(25), "abcdef", "123456"), 1, 2), F.lit(".tar")), F.lit("")),
         (0, harmless, hexes, F.lit("")),
         (0, F.lit("id: \""), uuid, F.lit("")),
         (0, named, pick(8, "your-token-goes-here-1", "changeme-changeme-1", "xxxxxxxxxxxxxxxxxxxx1", "insert_your_key_here_2", "example-password-123"), F.lit("")),

@@ -116,3 +116,37 @@ def test_pipeline_stages(spark):
         ids = left
     last = {r.doc_id for r in corpus_pipeline.run(spark, FOLDER).collect()}
     assert last == ids and 100 < len(last) < 200
+
+
+WHOLE = {
+    'password = "S3cr3t!Pa$$w0rd"': "S3cr3t!Pa$$w0rd",
+    '{"token":"abc.def.ghi-jkl"}': "abc.def.ghi-jkl",
+    'password  =   "abcdEFGH123"': "abcdEFGH123",
+    "config:\n  password:     S3cr3t!Pa$$w0rd, x": "S3cr3t!Pa$$w0rd",
+    "aws_secret_key_no_2='it~is&so#me'": "it~is&so#me",
+    "token: Bearer QwErTyUiOpAsDfGhJkLz": "QwErTyUiOpAsDfGhJkLz",
+    "curl -H Authorization:Basic QWxhZGRpbjpvcGVu== more": "QWxhZGRpbjpvcGVu==",
+    "use SG.abcdefghij.klmnopqr12 here": "SG.abcdefghij.klmnopqr12",
+    'dsn = "Server=x;Password=S3cr3t!Pa$$w0rd;Db=y"': "S3cr3t!Pa$$w0rd",
+    "'secret' => 'two words!x'": "two words!x",
+    'see {"n":1,"key":"S3cr3t!Pa$$w0rd"}': "S3cr3t!Pa$$w0rd",
+    "QwErTyUiOpAsDfGh1234== someword": "QwErTyUiOpAsDfGh1234==",
+}
+
+
+def test_candidates_are_whole_values(spark):
+    found = secrets.candidates(spark.createDataFrame(list(enumerate(WHOLE)), "doc_id long, text string"), path_column=None).collect()
+    by_doc = {k: [r.candidate for r in found if r.doc_id == k] for k in range(len(WHOLE))}
+    assert not [(t, by_doc[k]) for k, (t, wanted) in enumerate(WHOLE.items()) if wanted not in by_doc[k]]
+    row = next(r for r in found if r.doc_id == 3 and r.candidate == "S3cr3t!Pa$$w0rd")
+    assert row.left.endswith("\n  password:     ") and row.right.startswith(", x")
+    long = 'x = "' + "a!" * 300_000 + '" ' + "b=c&" * 100_000 + ' "k":1,' * 50_000
+    assert secrets.candidates(spark.createDataFrame([(1, long)], "doc_id long, text string"), path_column=None).filter("length(candidate) = 600000").count() == 1
+
+
+def test_forest_judges_whole_values(spark, forest):
+    rows = [(k, t) for k, t in enumerate(WHOLE) if k in (0, 2, 5)] + [(100, 'title: "Something of everything, again." Note: afterwards, basic understanding')]
+    found = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), forest, path_column=None).collect()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    secret = {r.candidate_sha256 for r in found if r.is_secret}
+    assert {sha(list(WHOLE.values())[k]) for k in (0, 2, 5)} <= secret and not [r for r in found if r.doc_id == 100 and r.is_secret]
