@@ -7,12 +7,23 @@ import re
 from typing import NamedTuple
 
 # HTML elements by their part in the block structure.
+FOREIGN = frozenset(
+    "svg g path circle ellipse rect line polyline polygon defs use symbol text tspan math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle "
+    "merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics annotation "
+    "annotation-xml".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset(
+INLINE = FOREIGN | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup "
-    "time tt u var ruby rb rt rp img br wbr picture audio video source track map area input meter progress output".split()
+    "time tt u var ruby rb rt rp img br wbr picture audio video source track map area input meter progress output object param embed canvas noscript".split()
+)
+RAW = frozenset("script style noscript template svg textarea select iframe title".split())
+SHOWN = frozenset("svg textarea select iframe".split())  # of RAW, what parts the words around it
+# What ends an svg or math that is still open, as in the HTML standard.
+LEAVES_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split()
 )
-RAW = frozenset("script style noscript template svg math textarea select iframe object canvas title".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol p pre section table ul".split()
@@ -45,6 +56,8 @@ NAMES = list(MARKS)
 _BY_TAG = {tag: k for k, (tags, _) in enumerate(MARKS.values()) for tag in tags.split()}
 _BY_CLASS = [(k, re.compile(pattern, re.I)) for k, (_, pattern) in enumerate(MARKS.values())]
 _TAG = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_SVG = re.compile(rf"<(/?svg|(?:{'|'.join(sorted(LEAVES_FOREIGN))}))(?=[\s/>])", re.I)
+_SELECT_END = re.compile(r"</select(?=[\s/>])|<(?:select|input|textarea)(?=[\s/>])", re.I)
 _TO_QUOTE = re.compile(r"[^\"'>]*")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
@@ -95,6 +108,21 @@ def _marks_of(attributes: str, tag: str, above: _Open) -> tuple[int, int]:
     return marks, inner
 
 
+def _closed_svgs(page: str) -> dict[int, int]:
+    """Position of the end of each svg that is closed before a tag that leaves it, by the position behind its opening name."""
+    found, open_ = {}, []
+    for tag in _SVG.finditer(page):
+        name = tag.group(1).lower()
+        if name == "svg":
+            if page[_tag_end(page, tag.end()) - 1] != "/":
+                open_.append(tag.end())
+        elif name != "/svg":
+            open_.clear()
+        elif open_:
+            found[open_.pop()] = tag.end()
+    return found
+
+
 class _Builder:
     def __init__(self) -> None:
         self.blocks: list[Block] = []
@@ -124,7 +152,11 @@ class _Builder:
         self.links -= gone.tag == "a"
 
     def open(self, tag: str, attributes: str) -> None:
-        if tag == "br" or tag == "wbr":
+        if tag in LEAVES_FOREIGN:
+            for foreign in ("svg", "math"):
+                while self.count.get(foreign):
+                    self.close(foreign)
+        if tag == "br" or tag == "wbr" or tag in FOREIGN and attributes.endswith("/"):
             self.parts.append(" ")
             return
         inline = tag in INLINE
@@ -163,9 +195,13 @@ class _Builder:
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in their order; linear in its length, whatever is unclosed or broken.
 
-    Left out: markup, comments, scripts, styles and the other elements of RAW.
+    Left out: markup, comments, scripts, styles and the other elements of RAW,
+    which do not part a block. Without its closing tag a svg or noscript is an
+    element as any other, a select ends at the next field, and the others take
+    the rest of the page, as in a browser.
     """
     builder = _Builder()
+    svgs, unclosed = None, set()
     at, size = 0, len(page)
     while at < size:
         start = page.find("<", at)
@@ -191,12 +227,23 @@ def blocks(page: str) -> list[Block]:
             builder.close(name[1:])
             continue
         attributes = page[found.end() : end]
-        if name in RAW and not attributes.endswith("/"):
-            if name not in INLINE:
-                builder.flush()
-            closing = re.compile(f"</{name}(?=[\\s>/])", re.I).search(page, at)
-            at = size if closing is None else _tag_end(page, closing.end()) + 1
-            continue
+        if name in RAW and name not in unclosed and not attributes.endswith("/"):
+            if name == "svg":
+                svgs = _closed_svgs(page) if svgs is None else svgs
+                close = svgs.get(found.end())
+                after = None if close is None else _tag_end(page, close) + 1
+            else:
+                closing = (_SELECT_END if name == "select" else re.compile(f"</{name}(?=[\\s/>])", re.I)).search(page, at)
+                if closing is None:
+                    after = None if name == "noscript" else size
+                    unclosed.add(name)
+                else:  # the field that ends a select is a tag of its own
+                    after = _tag_end(page, closing.end()) + 1 if closing.group()[1] == "/" else closing.start()
+            if after is not None:
+                if name in SHOWN:
+                    builder.parts.append(" ")
+                at = after
+                continue
         builder.open(name, attributes)
     builder.flush()
     return builder.blocks

@@ -110,6 +110,31 @@ def test_html_blocks():
     assert [b.text for b in blocks("<b>" * 50_000 + "deep")] == ["deep"]
 
 
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ("<p>a<svg class=menu><path d=x/>b<p>c<div>d</div>", ["a b", "c", "d"]),
+        ("<p>a <svg><g/> <p>b <svg><svg><text>no</text></svg></svg> c", ["a", "b c"]),
+        ("<p>a <math><mi>x</mi><p>b", ["a x", "b"]),
+        ("<p>a <object data=x><param name=y>b<p>c", ["a b", "c"]),
+        ("<p>a <canvas>b<p>c", ["a b", "c"]),
+        ("<p>a <noscript>b<p>c", ["a b", "c"]),
+        ("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p>", ["let x=1 be"]),
+        ("<p>a <object><param>in <b>it</b></object> b <canvas>c</canvas> d</p>", ["a in it b c d"]),
+        ("<p>a <script>no</script>b<iframe>no</iframe>c <svg/>d <noscript>no</noscript>e<style>no</style>f</p>", ["a b c d ef"]),
+        ("<p>a<select><option>no<input>b<p>c", ["a b", "c"]),
+        *[(f"<p>a<{tag}>no<p>no", ["a"]) for tag in ("script", "style", "textarea", "title", "iframe", "template", "select")],
+        ("<noscript>" * 20_000 + "<svg>" * 20_000 + "<p>a", ["a"]),
+    ],
+)
+def test_html_blocks_with_raw_elements(page, wanted):
+    assert [b.text for b in blocks(page)] == wanted
+
+
+def test_marks_of_an_unclosed_svg_end_with_it():
+    assert [b.marks for b in blocks("<svg class=menu><p>a")] == [0]
+
+
 def test_crf_accuracy_on_other_words(model):
     layouts = html_crf.Layouts(["Unseen words stand here, in a sentence of some length."], ["Other link"], seed=77)
     pages = [html_crf.from_marked(layouts.page()) for _ in range(100)]
