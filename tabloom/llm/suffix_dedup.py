@@ -386,7 +386,8 @@ def against_pivots(rows: DataFrame) -> DataFrame:
     Rows of ROWS with (start, stop): what equals the pivot (around is null), or
     what differs from it in a first byte on the left or on the right, under a
     key that holds the bytes up to there. Strings that are equal differ from
-    the pivot in the same byte, so they meet again.
+    the pivot in the same byte, so they meet again. An anchor at an edge of a
+    batch has two rows; when one of them is the pivot, the other goes on.
     """
     pivots = rows.groupBy("key").agg(F.min(F.struct("id", "at", "low", "high", "around")).alias("pivot"))
 
@@ -405,8 +406,8 @@ def against_pivots(rows: DataFrame) -> DataFrame:
             right_key = _row_hash(own[:, LEFT:], np.minimum(right + 1, LENGTH), seed ^ _ODD[2])
             for some, key, a, b, kept in (
                 (other & (equal_low <= equal_high), seed, equal_low, equal_high, False),
-                (other & (left_low <= high), left_key, left_low, high, True),
-                (other & (low <= right_high), right_key, low, right_high, True),
+                (left_low <= high, left_key, left_low, high, True),
+                (low <= right_high, right_key, low, right_high, True),
             ):
                 around = None
                 if kept:

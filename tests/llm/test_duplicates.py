@@ -159,6 +159,19 @@ def test_repeats(spark, bucket_rows, group_rows):
     assert suffix_dedup.remove_repeats(docs_of(spark, [])).count() == 0
 
 
+def test_repeats_of_an_anchor_at_a_batch_edge(spark):
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    line, edge = letters(400), suffix_dedup.CHUNK // 2
+    text = letters(edge - 11) + "x" + line + "y" + letters(50) + "z" + line + "w"
+    at, first, last = suffix_dedup.anchors(suffix_dedup.Texts([text.encode()]))
+    twin = np.flatnonzero(last == edge - 1)[0]
+    assert at[twin] == at[twin + 1] and first[twin] < edge - 10 and first[twin + 1] == edge
+    found = suffix_dedup.remove_repeats(docs_of(spark, [(1, text)]), group_rows=2).collect()
+    kept = text[: -len(line) - 1] + "w"
+    assert [(r.n_removed, r.n_spans, r.kept_sha256) for r in found] == [(len(line), 1, hashlib.sha256(kept.encode()).hexdigest())]
+
+
 def test_repeats_on_documents(spark):
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.op5_suffix_dedup(spark, FOLDER).collect()}
     assert found == repeats_by_brute_force(texts_of(FOLDER))
