@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["html_crf", "quality", "bpe", "exact_dedup", "decontaminate", "url_filter", "ngram_join", "warc", "secrets", "suffix_dedup"]
+MODULES = [
+    "html_crf",
+    "quality",
+    "bpe",
+    "exact_dedup",
+    "suffix_dedup",
+    "ngram_join",
+    "decontaminate",
+    "url_filter",
+    "warc",
+    "secrets",
+    "toxicity",
+    "filter_audit",
+    "periodic",
+]
 
 
 def _merged(name: str) -> dict:
