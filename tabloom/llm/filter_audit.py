@@ -32,7 +32,8 @@ from tabloom.llm.common import shared_folder, table, whole_batches
 LETTERS = "ABCDE"
 REPEATED = "E"
 REPEAT_BIT = 1 << LETTERS.index(REPEATED)
-BATCHES = 8
+BATCHES = 4
+BROADCAST_LABELS = 1_000_000
 TEXTS_PER_STATE = 512
 HELD_TEXTS = 50_000
 
@@ -219,6 +220,7 @@ def stream_counters(
     batches: int = BATCHES,
     folder: str | None = None,
     texts_per_state: int = TEXTS_PER_STATE,
+    broadcast_labels: int = BROADCAST_LABELS,
 ) -> DataFrame:
     """(part, mask, quality, toxic, n): how many documents of the Parquet files at `path` fail just the filters of `mask`.
 
@@ -227,7 +229,8 @@ def stream_counters(
     default: given the same folder again, only files that came since are read
     and the counters cover all of them. The number of state groups is fixed by
     the rows of the first call. A micro-batch that is repeated after a loss
-    writes its changes once.
+    writes its changes once. Labels of up to `broadcast_labels` documents (three
+    numbers each) are broadcast, more are joined by a shuffle of ids and masks.
     """
     whole_batches(spark)
     folder = folder or f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
@@ -239,6 +242,8 @@ def stream_counters(
     states = spark.read.parquet(f"{folder}/setting").first()["states"]
     label_flags(labels).write.mode("overwrite").parquet(f"{folder}/labels")
     flags = spark.read.parquet(f"{folder}/labels")
+    if flags.count() <= broadcast_labels:
+        flags = F.broadcast(flags)
     # as a pattern, since a stream takes a single file only so
     docs = spark.readStream.schema(listed.schema).option("maxFilesPerTrigger", per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
     rows = masked(docs).join(flags, F.col("id") == F.col("label_id"), "left").select(
