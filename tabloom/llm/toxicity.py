@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,19 +98,43 @@ def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-_softplus(logits).sum()))
 
 
-def _marking(doc: np.ndarray, words: np.ndarray, owner: np.ndarray, slot: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Per feature whether toxic documents hold it more often than chance gives: LEAST_SIGMA deviations above the mean share."""
-    pairs = np.unique(doc * (int(words.max()) + 1) + words)
-    pair_doc, pair_word = np.divmod(pairs, int(words.max()) + 1)
-    first, count = np.searchsorted(owner, pair_word, "left"), np.bincount(owner, minlength=int(words.max()) + 1)[pair_word]
-    at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    width = int(slot.max()) + 1
-    held = np.unique(np.repeat(pair_doc, count) * width + slot[at])  # each feature once per document
-    documents = np.bincount(held % width, minlength=width)
-    marked = np.bincount(held % width, weights=toxic[held // width], minlength=width)
-    share = toxic.mean()
-    sigma = (marked - share * documents) / np.sqrt(share * (1 - share) * documents)
-    return (documents >= LEAST_DOCUMENTS) & (sigma >= LEAST_SIGMA)
+class _Bag:
+    """Training documents as numbers: the word at each place, the sentence and the document it is in, and the features of each word."""
+
+    def __init__(self, texts: list[str]):
+        index: dict[str, int] = {}
+        words, sizes, doc_of = array("i"), array("i"), array("i")
+        for number, text in enumerate(texts):
+            for sentence in sentence_words(text):
+                words.extend(index.setdefault(w, len(index)) for w in sentence)
+                sizes.append(len(sentence))
+                doc_of.append(number)
+        self.words, self.doc_of = np.array(words, np.int32), np.array(doc_of, np.int32)
+        self.sentence_of = np.repeat(np.arange(len(sizes), dtype=np.int32), np.array(sizes, np.int32))
+        feature, counts = array("i"), array("i")
+        for word in index:
+            own = word_features(word)
+            feature.extend(own)
+            counts.append(len(own))
+        self.used, self.slot = np.unique(np.array(feature, np.int32), return_inverse=True)
+        self.counts = np.array(counts, np.int64)
+        self.first = np.cumsum(self.counts) - self.counts
+
+    def slots_of(self, words: np.ndarray) -> np.ndarray:
+        count = self.counts[words]
+        return self.slot[np.repeat(self.first[words] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
+    def marking(self, toxic: np.ndarray) -> np.ndarray:
+        """Per feature whether toxic documents hold it more often than chance gives: LEAST_SIGMA deviations above the mean share."""
+        documents, marked = np.zeros(len(self.used)), np.zeros(len(self.used))
+        ends = np.searchsorted(self.doc_of[self.sentence_of], np.arange(len(toxic) + 1))
+        for number, (begin, end) in enumerate(zip(ends[:-1], ends[1:])):
+            held = np.unique(self.slots_of(np.unique(self.words[begin:end])))
+            documents[held] += 1
+            marked[held] += toxic[number]
+        share = toxic.mean()
+        sigma = (marked - share * documents) / np.sqrt(share * (1 - share) * np.maximum(documents, 1))
+        return (documents >= LEAST_DOCUMENTS) & (sigma >= LEAST_SIGMA)
 
 
 def fit_sentences(texts: list[str], toxic: np.ndarray, steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> SentenceModel:
@@ -123,37 +148,31 @@ def fit_sentences(texts: list[str], toxic: np.ndarray, steps: int = STEPS, rate:
     weights = np.zeros(DIMENSIONS)
     if not len(texts) or toxic.min() == toxic.max() or not any(map(_TOKEN.search, texts)):
         return SentenceModel(weights.astype(np.float32), -10.0, -10.0)
-    index: dict[str, int] = {}
-    words, sentence_of, doc_of = [], [], []
-    for number, text in enumerate(texts):
-        for sentence in sentence_words(text):
-            words.extend(index.setdefault(w, len(index)) for w in sentence)
-            sentence_of.extend([len(doc_of)] * len(sentence))
-            doc_of.append(number)
-    words, sentence_of, doc_of = np.array(words, np.int64), np.array(sentence_of, np.int64), np.array(doc_of, np.int64)
-    listed = [word_features(w) for w in index]
-    owner = np.repeat(np.arange(len(listed)), [len(f) for f in listed])
-    feature = np.array([k for f in listed for k in f], np.int64)
-    used, slot = np.unique(feature, return_inverse=True)
-    keep = _marking(doc_of[sentence_of], words, owner, slot, toxic)[slot]
-    owner, slot = owner[keep], slot[keep]
-    some = np.isin(words, owner)
-    words, (marked, sentence_of) = words[some], np.unique(sentence_of[some], return_inverse=True)
-    plain = np.bincount(doc_of, minlength=len(texts)) - np.bincount(doc_of[marked], minlength=len(texts))
-    doc_of = doc_of[marked]
+    bag = _Bag(texts)
+    keep = bag.marking(toxic)
+    used = bag.used[keep]
+    number = np.cumsum(keep) - 1
+    kept = keep[bag.slot]
+    owner, slot = np.repeat(np.arange(len(bag.counts)), bag.counts)[kept], number[bag.slot[kept]]
+    hits = np.isin(bag.words, owner)
+    known, words = np.unique(bag.words[hits], return_inverse=True)
+    owner = np.searchsorted(known, owner)
+    marked, sentence_of = np.unique(bag.sentence_of[hits], return_inverse=True)
+    plain = np.bincount(bag.doc_of, minlength=len(texts)) - np.bincount(bag.doc_of[marked], minlength=len(texts))
+    doc_of = bag.doc_of[marked]
 
     w, b, c = np.zeros(len(used)), -4.0, -8.0
     m, v = np.zeros(len(used) + 2), np.zeros(len(used) + 2)
     share = toxic.mean()
     weight_of = np.where(toxic == 1, 0.5 / share, 0.5 / (1 - share)) / len(texts)
     for step in range(1, steps + 1):
-        value = np.bincount(owner, weights=w[slot], minlength=len(index))
+        value = np.bincount(owner, weights=w[slot], minlength=len(known))
         z = np.bincount(sentence_of, weights=value[words], minlength=len(doc_of)) + b
         p = _sigmoid(z)
         total = np.bincount(doc_of, weights=_softplus(z), minlength=len(texts)) + plain * _softplus(np.array(c))
         factor = np.where(toxic == 1, -1 / np.expm1(np.minimum(total, 700)), 1.0) * weight_of
         slope = factor[doc_of] * p
-        per_word = np.bincount(words, weights=slope[sentence_of], minlength=len(index))
+        per_word = np.bincount(words, weights=slope[sentence_of], minlength=len(known))
         g = np.bincount(slot, weights=per_word[owner], minlength=len(used)) + penalty * w
         g = np.concatenate([g, [slope.sum(), (factor * plain).sum() * _sigmoid(c)]])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
