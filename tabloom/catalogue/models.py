@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalogue.common import rounded, spread_table, table
 from tabloom.functions import text
-from tabloom.operators import evaluate, features, models, tuning
+from tabloom.operators import evaluate, features, logits, models, tuning
 from tabloom.session import cut_lineage
 
 KEY = "doc_id"
@@ -16,6 +16,7 @@ NUMBERS = ["n_chars", "words", "digit_share", "capital_share", "line_breaks", "w
 FOLDS = 5
 TRIALS = 10
 PATIENCE = 100
+STRENGTHS = [0.001, 0.01, 0.1, 1, 10, 100, 1000]
 
 
 def document_facts(spark, folder):
@@ -67,8 +68,30 @@ def _fit_scores(spark, folder, build):
     return models.scored_predictions(build(rows).fit(rows), rows, KEY)
 
 
+def _logit_rows(spark, folder):
+    """The stored training rows with their features as an array, and the number of slots."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows, names = _training(spark, folder)
+    return cut_lineage(rows.select(KEY, "label", "weight", "fold", vector_to_array("features").alias("x"))), len(names)
+
+
 def fit_logistic(spark, folder):
-    return _fit_scores(spark, folder, lambda rows: models.logistic(models.weight_sum(rows), C=1.0, penalty="l1"))
+    """Scores of the L1 model with C = 1 and balanced weights."""
+    rows, size = _logit_rows(spark, folder)
+    fitted = logits.fit_logits(rows, [logits.Logit("l1", tuple(range(size)), 1.0, True)])
+    scored = logits.logit_scores(fitted, rows, [KEY, "label"])
+    pred = (F.col("score") > 0.5).cast("int").alias("pred")
+    return scored.select(KEY, F.col("label").cast("int").alias("truth"), pred, rounded(F.col("score"), "score", 5))
+
+
+def logistic_coefficients(spark, folder):
+    """Coefficients of both penalties and of models that leave a fold out, all of one batch."""
+    rows, size = _logit_rows(spark, folder)
+    slots = tuple(range(size))
+    specs = [logits.Logit(f"{'l1' if l1 else 'l2'}, {held}", slots, 1.0, l1, held) for l1 in (True, False) for held in (None, 0, 1)]
+    found = logits.coefficients(logits.fit_logits(rows, specs, fold="fold"), rows)
+    return found.select("model", "slot", rounded(F.col("value"), "value", 5))
 
 
 def fit_tree(spark, folder):
@@ -92,19 +115,30 @@ def fit_gbt_early_stop(spark, folder):
 
 
 def univariate_logistic(spark, folder):
-    return models.univariate_logistic(cut_lineage(document_facts(spark, folder)), NUMBERS)
+    found = logits.univariate(cut_lineage(document_facts(spark, folder)), NUMBERS)
+    return found.select("feature", rounded(F.col("slope"), "slope", 8), rounded(F.col("intercept"), "intercept", 5))
 
 
 def score_table(spark, folder):
-    rows, _ = _training(spark, folder)
-    split = features.hash_split(rows, KEY)
-    train, test = split.filter("part = 'train'"), split.filter("part = 'test'")
-    return models.score_table(models.logistic(models.weight_sum(train)).fit(train), test, KEY)
+    """Scores of the held-out documents by the L2 model of the others."""
+    rows, size = _logit_rows(spark, folder)
+    split = features.hash_split(rows, KEY).withColumn("fold", F.when(F.col("part") == "test", 1).otherwise(0))
+    fitted = logits.fit_logits(split, [logits.Logit("l2", tuple(range(size)), 1.0, held=1)], fold="fold")
+    return logits.logit_scores(fitted, split, [KEY, "fold"], fold="fold").select(KEY, rounded(F.col("score"), "score", 5))
 
 
 def cv_scores(spark, folder):
-    rows, _ = _training(spark, folder)
-    return tuning.cv_scores(models.logistic(models.weight_sum(rows)), rows, FOLDS)
+    rows, size = _logit_rows(spark, folder)
+    report = logits.cross_validated(rows, size, FOLDS, {"l2": (1.0, False)})[1]
+    return report.filter("fold IS NOT NULL").select("fold", rounded(F.col("auc"), "auc"))
+
+
+def logistic_grid(spark, folder):
+    """Train and cross-validated AUC of every strength and penalty; all folds of all points are one batch."""
+    rows, size = _logit_rows(spark, folder)
+    points = {f"C={c:g}, {kind}": (c, kind == "l1") for c in STRENGTHS for kind in ("l1", "l2")}
+    report = logits.grid_report(logits.cross_validated(rows, size, FOLDS, points)[1])
+    return report.select("point", *[rounded(F.col(c), c, 5) for c in ("train_auc", "cv_auc", "cv_std")], "best")
 
 
 def grid_search(spark, folder):
@@ -210,6 +244,7 @@ def word_vectors(spark, folder):
 QUERIES = {
     "assembled_features": assembled,
     "fit_logistic": fit_logistic,
+    "logistic_coefficients": logistic_coefficients,
     "fit_tree": fit_tree,
     "fit_forest": fit_forest,
     "fit_gbt": fit_gbt,
@@ -217,6 +252,7 @@ QUERIES = {
     "univariate_logistic": univariate_logistic,
     "score_table": score_table,
     "cv_scores": cv_scores,
+    "logistic_grid": logistic_grid,
     "grid_search": grid_search,
     "random_search": random_search,
     "select_by_importance": select_by_importance,
@@ -239,6 +275,65 @@ _FACTS = """
       FROM documents JOIN labels USING (doc_id)),
     levels AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS ix FROM (SELECT DISTINCT lang FROM facts))"""
 
+_SCALED = ", ".join(f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ())" for c in NUMBERS)
+_IN_FOLDS = "(row_number() OVER (PARTITION BY l.quality ORDER BY md5('42' || chr(31) || f.doc_id), f.doc_id) - 1) % 5"
+_IN_PARTS = "CASE WHEN CAST('0x' || substr(md5('42' || chr(31) || f.doc_id), 1, 8) AS BIGINT) / 4294967296.0 < 0.7 THEN 0 ELSE 1 END"
+
+
+def _fits(models: str, fold: str = _IN_FOLDS, steps: int = 25, sweeps: int = 60) -> str:
+    """CTEs up to `fit` (model, held, l1, l2, step, beta): Newton steps, each solved by sweeps over the coordinates.
+
+    `models` selects (model, held, l1, l2); the last slot of a row is the
+    intercept.
+    """
+    slots = "unnest(range(1, (SELECT max(len(x)) FROM rows_) + 1))"
+    bound = "CASE WHEN i = len(b) THEN 0 ELSE {} END"
+    pull = "(h[i][i] * v - g[i] - list_dot_product(h[i], b))"
+    return f"""{_FACTS},
+    labelled AS (
+      SELECT f.*, l.quality, {fold} AS fold, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY l.quality)) AS w
+      FROM facts f JOIN labels l USING (doc_id)),
+    rows_ AS (
+      SELECT doc_id, quality AS y, fold, CAST(w AS DOUBLE) AS w, list_concat([{_SCALED}], list_concat(
+        (SELECT list(CASE WHEN v.lang = labelled.lang THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END ORDER BY v.ix) FROM levels v),
+        [CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)])) AS x
+      FROM labelled),
+    models AS ({models}),
+    sweeps AS (SELECT list(CAST(i AS DOUBLE) ORDER BY s, i) AS visits FROM range({sweeps}) a(s), (SELECT {slots} AS i)),
+    fit AS (
+      SELECT model, held, l1, l2, 0 AS step, (SELECT list_transform(any_value(x), lambda v: CAST(0 AS DOUBLE)) FROM rows_) AS beta FROM models
+      UNION ALL
+      SELECT model, held, l1, l2, step + 1, list_reduce(list_concat([beta], list_transform(visits, lambda v: [v])),
+        lambda b, e: list_transform(b, lambda v, i: CASE WHEN i <> e[1] THEN v WHEN h[i][i] + l2 < 1e-12 THEN 0.0
+          ELSE greatest(abs{pull} - {bound.format("l1")}, 0) * sign{pull} / (h[i][i] + {bound.format("l2")}) END))
+      FROM (
+        SELECT model, held, l1, l2, step, beta, list(gi - hb ORDER BY i) AS g, list(hi ORDER BY i) AS h FROM (
+          SELECT model, held, l1, l2, step, beta, i, any_value(gi) AS gi, list(hij ORDER BY j) AS hi,
+                 list_dot_product(list(hij ORDER BY j), beta) AS hb
+          FROM (
+            SELECT model, held, l1, l2, step, beta, i, j, sum(w * (p - y) * x[i]) AS gi, sum(w * p * (1 - p) * x[i] * x[j]) AS hij
+            FROM (
+              SELECT f.*, r.x, r.y, r.w, 1 / (1 + exp(-list_dot_product(f.beta, r.x))) AS p
+              FROM fit f JOIN rows_ r ON f.held IS NULL OR r.fold <> f.held WHERE f.step < {steps}) seen,
+              (SELECT {slots} AS i) a, (SELECT {slots} AS j) b
+            GROUP BY model, held, l1, l2, step, beta, i, j) cells
+          GROUP BY model, held, l1, l2, step, beta, i) lines
+        GROUP BY model, held, l1, l2, step, beta) sums, sweeps),
+    scored AS (
+      SELECT model, held, doc_id, fold, y, 1 / (1 + exp(-list_dot_product(beta, x))) AS score FROM fit, rows_ WHERE step = {steps}),
+    aucs AS (
+      SELECT a.model, a.held, a.fold = a.held AS unseen, avg(CASE WHEN p > q THEN 1 WHEN p = q THEN 0.5 ELSE 0 END) AS auc
+      FROM (SELECT model, held, fold = held AS seen, fold, y, round(score, 9) AS p FROM scored WHERE y = 1) a
+      JOIN (SELECT model, held, fold = held AS seen, y, round(score, 9) AS q FROM scored WHERE y = 0) b
+        ON a.model = b.model AND a.held IS NOT DISTINCT FROM b.held AND a.seen IS NOT DISTINCT FROM b.seen
+      GROUP BY ALL)"""
+
+
+_L1 = "SELECT 'l1' AS model, CAST(NULL AS INTEGER) AS held, CAST(1 AS DOUBLE) AS l1, CAST(0 AS DOUBLE) AS l2"
+_L2 = "SELECT 'l2' AS model, CAST({held} AS INTEGER) AS held, CAST(0 AS DOUBLE) AS l1, CAST(1 AS DOUBLE) AS l2"
+_BOTH = """SELECT kind || ', ' || coalesce(CAST(held AS VARCHAR), 'None') AS model, held, CAST(kind = 'l1' AS DOUBLE) AS l1, CAST(kind = 'l2' AS DOUBLE) AS l2
+    FROM (SELECT unnest(['l1', 'l2']) AS kind), (SELECT unnest([NULL, 0, 1]) AS held)"""
+
 SQL = {
     # six scaled numbers, then one slot per language and two for unseen and invalid ones
     "assembled_features": f"WITH {_FACTS} "
@@ -249,4 +344,27 @@ SQL = {
     )
     + """ UNION ALL SELECT doc_id, CAST(6 + slot AS INTEGER) AS slot, CASE WHEN slot = ix THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
         FROM facts JOIN levels USING (lang), range((SELECT count(*) + 2 FROM levels)) s(slot)""",
+    "fit_logistic": f"""WITH RECURSIVE {_fits(_L1)}
+        SELECT doc_id, y AS truth, CAST(score > 0.5 AS INTEGER) AS pred, round(score, 5) AS score FROM scored""",
+    "logistic_coefficients": f"""WITH RECURSIVE {_fits(_BOTH)}
+        SELECT model, CAST(CASE WHEN k = len(beta) THEN -1 ELSE k - 1 END AS INTEGER) AS slot, round(beta[k], 5) AS value
+        FROM (SELECT model, beta, unnest(range(1, len(beta) + 1)) AS k FROM fit WHERE step = 25)""",
+    "score_table": f"""WITH RECURSIVE {_fits(_L2.format(held=1), _IN_PARTS)}
+        SELECT doc_id, round(score, 5) AS score FROM scored WHERE fold = held""",
+    "cv_scores": f"""WITH RECURSIVE {_fits(_L2.format(held="unnest(range(5))"))}
+        SELECT held AS fold, round(auc, 6) AS auc FROM aucs WHERE unseen""",
+    "univariate_logistic": f"""WITH RECURSIVE {_FACTS},
+        cells AS (SELECT doc_id, feature, v FROM facts UNPIVOT (v FOR feature IN ({", ".join(NUMBERS)}))),
+        given AS (SELECT feature, v, quality AS y FROM cells JOIN labels USING (doc_id)),
+        fit AS (
+          SELECT DISTINCT feature, 0 AS step, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b FROM given
+          UNION ALL
+          SELECT feature, step + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab),
+                 b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+          FROM (
+            SELECT feature, step, a, b, sum(p - y) AS ga, sum((p - y) * v) AS gb, sum(p * (1 - p)) AS haa, sum(p * (1 - p) * v) AS hab,
+                   sum(p * (1 - p) * v * v) AS hbb
+            FROM (SELECT f.*, g.v, g.y, 1 / (1 + exp(-(f.a + f.b * g.v))) AS p FROM fit f JOIN given g USING (feature) WHERE f.step < 25) seen
+            GROUP BY feature, step, a, b))
+        SELECT feature, round(b, 8) AS slope, round(a, 5) AS intercept FROM fit WHERE step = 25""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabloom.catalogue.common import rounded, spread_table, table
-from tabloom.operators import grouping, profile
+from tabloom.operators import gram, grouping, profile
 
 LINE_NUMBERS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -59,6 +59,12 @@ def corr_matrix(spark, folder):
     return found.select("left", "right", rounded(F.col("corr"), "corr"))
 
 
+def wide_correlation(spark, folder):
+    """All pairs of the 64 embedding columns, by blocks of columns."""
+    found = gram.wide_correlations(table(spark, folder, "embeddings"), "embedding", 64)
+    return found.select("left", "right", rounded(F.col("corr"), "corr"))
+
+
 def histogram_density(spark, folder):
     found = profile.histogram(table(spark, folder, "orders"), "o_totalprice")
     return found.select("bin", rounded(F.col("low"), "low", 4), "count", rounded(F.col("density"), "density", 12))
@@ -114,6 +120,7 @@ QUERIES = {
     "duplicate_rows": duplicate_rows,
     "drop_duplicates": drop_duplicates,
     "corr_matrix": corr_matrix,
+    "wide_correlation": wide_correlation,
     "histogram_density": histogram_density,
     "kde_grid": kde_grid,
     "top_rows": top_rows,
@@ -179,6 +186,10 @@ SQL = {
         for a in LINE_NUMBERS
         for b in LINE_NUMBERS
     ),
+    "wide_correlation": """
+        WITH cells AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS v FROM embeddings, range(64) r(i))
+        SELECT CAST(a.i AS VARCHAR) AS "left", CAST(b.i AS VARCHAR) AS "right", round(corr(a.v, b.v), 6) AS corr
+        FROM cells a JOIN cells b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i""",
     "histogram_density": """
         WITH s AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, count(o_totalprice) AS n,
                           greatest(ceil(log2(count(o_totalprice))) + 1, 1) AS bins FROM orders),
