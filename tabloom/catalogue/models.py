@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalogue.common import rounded, spread_table, table
 from tabloom.functions import text
-from tabloom.operators import evaluate, features, logits, models, tuning
+from tabloom.operators import attribution, evaluate, features, logits, models, tuning
 from tabloom.session import cut_lineage
 
 KEY = "doc_id"
@@ -16,6 +16,8 @@ NUMBERS = ["n_chars", "words", "digit_share", "capital_share", "line_breaks", "w
 FOLDS = 5
 TRIALS = 10
 PATIENCE = 100
+# node: (feature, threshold); the children of node n are 2n + 1 and 2n + 2
+PART_SPLITS = {0: (0, 25.0), 1: (3, 16.0), 2: (1, 1200.0), 3: (2, 14.0), 4: (0, 10.0), 5: (3, 20.0), 6: (0, 40.0), 9: (1, 1000.0)}
 STRENGTHS = [0.001, 0.01, 0.1, 1, 10, 100, 1000]
 
 
@@ -233,6 +235,29 @@ def permutation_importance(spark, folder):
     return tuning.permutation_importance(model, facts, KEY, NUMBERS, assembler)
 
 
+def tree_attribution(spark, folder):
+    """Shapley values of a tree with fixed splits on parts; its leaves hold the shares of steel parts."""
+    parts = table(spark, folder, "part")
+    columns = [F.col("p_size").cast("double"), F.col("p_retailprice"), F.length("p_name").cast("double"), F.length("p_type").cast("double")]
+    nodes = attribution.nodes_of_splits(parts, PART_SPLITS, columns, F.col("p_type").contains("STEEL"))
+    rows = parts.select("p_partkey", F.array(*columns).alias("x"))
+    found = attribution.tree_attribution(rows, attribution.tree_paths(nodes), ["p_partkey"], len(columns))
+    return found.select("p_partkey", "feature", rounded(F.col("value"), "value", 9))
+
+
+def forest_attribution(spark, folder):
+    """Mean absolute Shapley value of each feature of a forest over the labelled documents."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows, names = _training(spark, folder)
+    model = models.random_forest(20, 5).fit(rows)
+    paths = cut_lineage(attribution.tree_paths(cut_lineage(attribution.tree_nodes(model))))
+    arrays = rows.select(KEY, vector_to_array("features").alias("x"))
+    bars = attribution.mean_attribution(attribution.tree_attribution(arrays, paths, [KEY], len(names)))
+    named = F.array(*[F.lit(n) for n in names])
+    return bars.select(named[F.col("feature")].alias("feature"), rounded(F.col("importance"), "importance", 9))
+
+
 def word_vectors(spark, folder):
     """Vectors of the words of the conversations, one row per number."""
     chat = spread_table(spark, folder, "conversations", "conv_id")
@@ -262,6 +287,8 @@ QUERIES = {
     "importance_rank": importance_rank,
     "fitted_attribution": fitted_attribution,
     "permutation_importance": permutation_importance,
+    "tree_attribution": tree_attribution,
+    "forest_attribution": forest_attribution,
     "word_vectors": word_vectors,
 }
 
@@ -334,6 +361,39 @@ _L2 = "SELECT 'l2' AS model, CAST({held} AS INTEGER) AS held, CAST(0 AS DOUBLE)
 _BOTH = """SELECT kind || ', ' || coalesce(CAST(held AS VARCHAR), 'None') AS model, held, CAST(kind = 'l1' AS DOUBLE) AS l1, CAST(kind = 'l2' AS DOUBLE) AS l2
     FROM (SELECT unnest(['l1', 'l2']) AS kind), (SELECT unnest([NULL, 0, 1]) AS held)"""
 
+def _ways_sql() -> str:
+    """Rows (leaf, node, feature, threshold, goes left) along the way to each leaf."""
+    ways = []
+    for leaf in sorted({c for n in PART_SPLITS for c in (2 * n + 1, 2 * n + 2)} - PART_SPLITS.keys()):
+        n = leaf
+        while n:
+            parent = (n - 1) // 2
+            ways.append(f"({leaf}, {parent}, {PART_SPLITS[parent][0]}, {PART_SPLITS[parent][1]}, {'true' if n % 2 else 'false'})")
+            n = parent
+    return ", ".join(ways)
+
+
+# every subset of the four features by itself: the value of a subset is the expectation with its features known
+_TREE_ATTRIBUTION = f"""
+    WITH ways(leaf, node, feature, threshold, goes_left) AS (VALUES {_ways_sql()}),
+    x AS (SELECT p_partkey, [CAST(p_size AS DOUBLE), p_retailprice, CAST(length(p_name) AS DOUBLE), CAST(length(p_type) AS DOUBLE)] AS x,
+                 CASE WHEN p_type LIKE '%STEEL%' THEN 1.0 ELSE 0.0 END AS y FROM part),
+    tests AS (SELECT p_partkey, y, leaf, feature, node, (x[feature + 1] <= threshold) = goes_left AS ok FROM x, ways),
+    leaves AS (SELECT p_partkey, any_value(y) AS y, leaf FROM tests GROUP BY p_partkey, leaf HAVING bool_and(ok)),
+    sizes AS (SELECT leaf, count(*) AS n, avg(y) AS value FROM leaves GROUP BY leaf),
+    covers AS (SELECT w.node, sum(n) AS n, sum(n) FILTER (WHERE goes_left) AS n_left FROM ways w JOIN sizes USING (leaf) GROUP BY w.node),
+    shares AS (SELECT leaf, feature, product(CASE WHEN goes_left THEN n_left ELSE n - n_left END / CAST(n AS DOUBLE)) AS z
+               FROM ways JOIN covers USING (node) WHERE leaf IN (SELECT leaf FROM sizes) GROUP BY leaf, feature),
+    o AS (SELECT p_partkey, leaf, feature, CASE WHEN bool_and(ok) THEN 1.0 ELSE 0.0 END AS o FROM tests GROUP BY p_partkey, leaf, feature),
+    subsets AS (SELECT unnest(range(16)) AS s),
+    reached AS (SELECT p_partkey, leaf, s, product(CASE WHEN s & (1 << feature) <> 0 THEN o ELSE z END) AS share
+                FROM o JOIN shares USING (leaf, feature), subsets GROUP BY p_partkey, leaf, s),
+    f AS (SELECT p_partkey, s, sum(share * value) AS f FROM reached JOIN sizes USING (leaf) GROUP BY p_partkey, s)
+    SELECT a.p_partkey, i AS feature, round(sum((b.f - a.f) * [6, 2, 2, 6][bit_count(a.s) + 1] / 24.0), 9) AS value
+    FROM f a, (SELECT CAST(unnest(range(4)) AS INTEGER) AS i) features
+    JOIN f b ON b.p_partkey = a.p_partkey AND b.s = a.s | (1 << i) AND a.s & (1 << i) = 0
+    GROUP BY a.p_partkey, i"""
+
 SQL = {
     # six scaled numbers, then one slot per language and two for unseen and invalid ones
     "assembled_features": f"WITH {_FACTS} "
@@ -367,4 +427,5 @@ SQL = {
             FROM (SELECT f.*, g.v, g.y, 1 / (1 + exp(-(f.a + f.b * g.v))) AS p FROM fit f JOIN given g USING (feature) WHERE f.step < 25) seen
             GROUP BY feature, step, a, b))
         SELECT feature, round(b, 8) AS slope, round(a, 5) AS intercept FROM fit WHERE step = 25""",
+    "tree_attribution": _TREE_ATTRIBUTION,
 }

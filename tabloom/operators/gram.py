@@ -95,9 +95,9 @@ def wide_correlations(df: DataFrame, columns: Sequence[str] | str, size: int | N
         for b in range(block):
             (mx, x, xx), (my, y, yy) = ([f"get({v}, {side} * {block} + {k})" for v in ("__m", "__x", "__q")] for side, k in (("__a", a), ("__b", b)))
             own = [f"{mx} * {my}", f"{x} * {my}", f"{mx} * {y}", f"{xx} * {my}", f"{mx} * {yy}", f"{x} * {y}"]
-            names = [f"c{len(sums) + k}" for k in range(6)]
-            sums += [F.expr(f"sum({v}) AS {name}") for v, name in zip(own, names)]
-            cells.append(", ".join([f"__a * {block} + {a}", f"__b * {block} + {b}", *names]))
+            own_names = [f"c{len(sums) + k}" for k in range(6)]
+            sums += [F.expr(f"sum({v}) AS {name}") for v, name in zip(own, own_names)]
+            cells.append(", ".join([f"__a * {block} + {a}", f"__b * {block} + {b}", *own_names]))
     added = _paired(rows, size, block).groupBy("__a", "__b").agg(*sums)
     cells = _opened(added, [], cells, "i, j, n, x, y, xx, yy, xy")
     cells = cells.filter((F.col("i") < F.col("j")) & (F.col("j") < size))
