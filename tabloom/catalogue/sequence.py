@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalogue.common import SQL_SPACE, rounded, sql_strip, spread_table
 from tabloom.functions import text
-from tabloom.operators import sequence
+from tabloom.operators import features, learned_tags, sequence
 from tabloom.session import cut_lineage
 
 KEYS = ["conv_id", "turn"]
@@ -64,12 +64,34 @@ def sequence_nll(spark, folder):
     return found.select(*KEYS, rounded(F.col("nll"), "nll", 4))
 
 
+def expected_tags(spark, folder):
+    """Expected number of tokens under each tag, message by message, from the chances of the tagger."""
+    found = learned_tags.tag_marginals(_scored(spark, folder), KEYS)
+    by_tag = found.select(*KEYS, F.explode("marginals").alias("m")).select(*KEYS, F.posexplode("m").alias("at", "chance"))
+    sums = by_tag.groupBy(*KEYS, "at").agg(F.sum("chance").alias("expected"))
+    names = tagged_messages(spark, folder).select(F.explode("tags").alias("tag")).distinct().agg(F.array_sort(F.collect_list("tag")).alias("all"))
+    return sums.withColumn("names", names.scalar()).select(*KEYS, F.get("names", F.col("at")).alias("tag"), rounded(F.col("expected"), "expected", 4))
+
+
+def learned_tagger(spark, folder):
+    """Tags and negative log-likelihood of every message by scores learned on the training messages."""
+    messages = cut_lineage(features.hash_split(tagged_messages(spark, folder), "conv_id"))
+    model = learned_tags.fit_tags(messages.filter("part = 'train'"), steps=15)
+    scored = cut_lineage(learned_tags.with_learned_emissions(messages.withColumn("features", learned_tags.token_features("tokens")), model))
+    kept = [*KEYS, "part"]
+    nll = sequence.negative_log_likelihood(scored, kept)
+    paths = sequence.decode_paths(scored, KEYS).select(*KEYS, F.array_join("path", " ").alias("path"))
+    return nll.join(paths, KEYS).select(*kept, rounded(F.col("nll"), "nll", 2), "path")
+
+
 QUERIES = {
     "tag_transitions": tag_transitions,
     "tag_emissions": tag_emissions,
     "path_score": path_score,
     "viterbi_path": viterbi_path,
     "sequence_nll": sequence_nll,
+    "expected_tags": expected_tags,
+    "learned_tagger": learned_tagger,
 }
 
 _BASE = f"""
@@ -116,7 +138,31 @@ _FOLD = f"""{_BASE},
 
 _SUMS = "list_transform(step, lambda row: list_transform(list_zip(row, score), lambda z: z[2] + z[1]))"
 
+_LSE = "list_max({0}) + ln(list_sum(list_transform({0}, lambda x: exp(x - list_max({0})))))"
+
 SQL = {
+    "expected_tags": f"""
+        WITH RECURSIVE {_FOLD},
+        leaving AS (SELECT list(row ORDER BY prev) AS ahead FROM (SELECT prev, list(score ORDER BY tag) AS row FROM steps
+                    WHERE prev <> '<START>' AND tag <> '<STOP>' GROUP BY prev)),
+        walk AS (
+          SELECT conv_id, turn, pos, list_transform(list_zip(start, e), lambda z: z[1] + z[2]) AS score
+          FROM emits, model WHERE pos = 1
+          UNION ALL
+          SELECT conv_id, turn, pos, list_transform(list_zip(sums, e), lambda z: {_LSE.format("z[1]")} + z[2])
+          FROM (SELECT w.conv_id, w.turn, n.pos, n.e, {_SUMS} AS sums
+                FROM walk w JOIN emits n ON n.conv_id = w.conv_id AND n.turn = w.turn AND n.pos = w.pos + 1, model)),
+        back AS (
+          SELECT conv_id, turn, pos, e, stop AS beta FROM emits JOIN ends USING (conv_id, turn), model WHERE pos = last
+          UNION ALL
+          SELECT conv_id, turn, pos, e, list_transform(sums, lambda s: {_LSE.format("s")})
+          FROM (SELECT b.conv_id, b.turn, n.pos, n.e, list_transform(ahead, lambda row: list_transform(list_zip(row, b.e, b.beta), lambda z: z[1] + z[2] + z[3])) AS sums
+                FROM back b JOIN emits n ON n.conv_id = b.conv_id AND n.turn = b.turn AND n.pos = b.pos - 1, leaving)),
+        ways AS (
+          SELECT conv_id, turn, tags, list_transform(list_zip(w.score, b.beta), lambda z: z[1] + z[2]) AS s
+          FROM walk w JOIN back b USING (conv_id, turn, pos), model),
+        chances AS (SELECT conv_id, turn, unnest(tags) AS tag, unnest(list_transform(s, lambda x: exp(x - ({_LSE.format("s")})))) AS chance FROM ways)
+        SELECT conv_id, turn, tag, round(sum(chance), 4) AS expected FROM chances GROUP BY conv_id, turn, tag""",
     "tag_transitions": f"WITH {_BASE} SELECT prev, tag, n, round(score, 6) AS score FROM steps",
     "tag_emissions": f"WITH {_BASE} SELECT tag, word, n, round(score, 6) AS score FROM seen",
     "path_score": f"""
