@@ -44,7 +44,7 @@ def nested_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_qa(spark: SparkSession, folder: str) -> DataFrame:
-    return flatten_qa(nested_documents(spark, folder))
+    return flatten_qa(nested_documents(spark, folder), (SIZE, STRIDE, True))
 
 
 def _doc_windows(spark, folder):

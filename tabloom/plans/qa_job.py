@@ -25,7 +25,7 @@ def run(
     stride: int = spans.STRIDE,
     keep_tail: bool = True,
 ) -> None:
-    qa = flatten_qa(read_nested_qa(spark, source, multiline))
+    qa = flatten_qa(read_nested_qa(spark, source, multiline), (size, stride, keep_tail))
     write_samples_json(build_samples(qa, size, stride, keep_tail), target)
 
 

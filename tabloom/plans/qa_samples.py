@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import spans
-from tabloom.operators.ranking import first_n_per_group
+from tabloom.operators.flatten import window_digests
+from tabloom.operators.ranking import first_n_per_group, join_groups
 from tabloom.session import cut_lineage
 
 SAMPLE_COLUMNS = ["source", "question", "answer_start", "answer_end"]
 PAIR = ["title", "question"]
+#: Pairs of title and question, with two numbers each, that may be broadcast.
+BROADCAST_PAIRS = 500_000
 
 
 def _count(size: int, stride: int, keep_tail: bool) -> Column:
@@ -97,10 +100,12 @@ def negative_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool =
 
     For an unanswerable question all windows, for an answerable one those that
     at least one of its answers does not touch. A text is represented by its
-    digest and by one place (para_key, window_no) where it can be cut again.
+    digest and by one place (para_key, window_no) where it can be cut again. The
+    column `digests` of `flatten_qa` is used when `qa` has it for the same
+    windows; else the windows are hashed here, once per question.
     """
-    texts = spans.window_texts(F.col("context"), _count(size, stride, keep_tail), size, stride)
-    windows = F.transform(texts, lambda text, k: F.struct(k.alias("window_no"), text.alias("text")))
+    digests = F.col("digests") if "digests" in qa.columns else window_digests(F.col("context"), size, stride, keep_tail)
+    windows = F.transform(digests, lambda digest, k: F.struct(k.alias("window_no"), digest.alias("digest")))
     answer_spans = F.transform(
         "answers",
         lambda answer: F.struct(
@@ -110,20 +115,31 @@ def negative_candidates(qa: DataFrame, size: int, stride: int, keep_tail: bool =
 
     def missed(window: Column, answers: Column) -> Column:
         start = window["window_no"].cast("long") * stride
-        end = start + F.length(window["text"])
+        end = F.least(start + size, F.col("n_chars"))
         return F.exists(answers, lambda answer: ~spans.overlaps(answer["a"], answer["b"], start, end))
 
-    possible = spans.let(answer_spans, lambda answers: F.filter(windows, lambda w: missed(w, answers)))
-    found = F.when(F.col("is_impossible"), windows).otherwise(possible)
-    digests = F.transform(found, lambda w: F.struct(w["window_no"], F.md5(w["text"]).alias("digest")))
+    possible = spans.let(answer_spans, lambda answers: F.filter("windows", lambda w: missed(w, answers)))
+    found = F.when(F.col("is_impossible"), F.col("windows")).otherwise(possible)
     return (
         qa.filter(F.col("is_impossible").isNotNull())
-        .select(*PAIR, "is_impossible", "para_key", F.inline(digests))
+        .select(*PAIR, "is_impossible", "para_key", "answers", F.length("context").cast("long").alias("n_chars"), windows.alias("windows"))
+        .select(*PAIR, "is_impossible", "para_key", F.inline(found))
         .groupBy(*PAIR, "is_impossible", "digest")
         .agg(F.min(F.struct("para_key", "window_no")).alias("place"))
     )
 
 
+def pair_limits(qa: DataFrame, pair_counts: DataFrame) -> DataFrame:
+    """(title, question, quota, positives) of every pair whose question has a quota; positives are null where it has none.
+
+    Keys and counts only, stored; marked for a broadcast up to BROADCAST_PAIRS rows.
+    """
+    quota = question_quota(pair_counts).select("question", "quota")
+    pairs = qa.select(*PAIR).distinct().join(quota, "question")
+    limits = cut_lineage(pairs.join(pair_counts, PAIR, "left").select(*PAIR, "quota", "positives"))
+    return F.broadcast(limits) if limits.count() <= BROADCAST_PAIRS else limits
+
+
 def choose_negatives(
     qa: DataFrame, pair_counts: DataFrame, size: int, stride: int, keep_tail: bool = True
 ) -> DataFrame:
@@ -132,11 +148,9 @@ def choose_negatives(
 
     `pair_counts` should be a stored frame. Pairs without a limit drop out.
     """
-    quota = question_quota(pair_counts).select("question", "quota")
+    limits = pair_limits(qa, pair_counts)
     limited = (
-        negative_candidates(qa, size, stride, keep_tail)
-        .join(quota, "question")
-        .join(pair_counts, PAIR, "left")
+        join_groups(negative_candidates(qa, size, stride, keep_tail), limits, PAIR)
         .withColumn("n", F.when(F.col("is_impossible"), F.col("quota")).otherwise(F.col("positives")))
         .filter(F.col("n").isNotNull())
     )

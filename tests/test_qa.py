@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import spans
 from tabloom.operators import flatten, windows
+from tabloom.operators.flatten import NESTED_QA, flatten_qa
 from tabloom.plans import qa_samples
 
 
@@ -176,3 +177,39 @@ def test_flagship_plan_has_no_python_and_no_cross_join(spark):
     plan = contract.entry(spark)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
+
+
+def forty_questions(spark):
+    questions = [
+        (f"q{k}", k % 3 == 0, [(f"a{k}", 7 * k), ("z", 40)] if k % 3 else []) for k in range(40)
+    ]
+    entries = [([(f"t{n % 2}", [("lorem ipsum %d " % n * 30, questions), ("short", questions[:3])])],) for n in range(4)]
+    return spark.createDataFrame(entries, NESTED_QA)
+
+
+def test_windows_are_hashed_once_per_paragraph(spark):
+    """The digests stand below the node that opens the questions, and nowhere above it."""
+    qa = flatten_qa(forty_questions(spark), (64, 32, True))
+    plan = qa_samples.negative_candidates(qa, 64, 32)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    hashing = [n for n, line in enumerate(plan) if "md5" in line and "regexp_extract_all" in line]
+    opening = [n for n, line in enumerate(plan) if "inline(qas" in line]
+    assert len(hashing) == 1 and len(opening) == 1 and hashing[0] > opening[0]  # children are printed below
+
+
+@pytest.mark.parametrize("keep_tail", [True, False])
+def test_same_candidates_with_digests_made_before(spark, keep_tail):
+    nested = forty_questions(spark)
+    before, after = flatten_qa(nested, (64, 32, keep_tail)), flatten_qa(nested)
+    rows = [sorted(map(str, qa_samples.negative_candidates(qa, 64, 32, keep_tail).collect())) for qa in (before, after)]
+    assert rows[0] == rows[1] and len(rows[0]) > 200
+    samples = [sorted(map(str, qa_samples.build_samples(qa, 64, 32, keep_tail).collect())) for qa in (before, after)]
+    assert samples[0] == samples[1]
+
+
+def test_candidates_are_joined_with_their_limits_once(spark):
+    qa = flatten_qa(forty_questions(spark), (64, 32, True))
+    counts = qa_samples.cut_lineage(qa_samples.positive_counts(qa, 64, 32))
+    limits = qa_samples.pair_limits(qa, counts)
+    rows = {(r["title"], r["question"]): (r["quota"], r["positives"]) for r in limits.collect()}
+    assert all(q is not None for q, _ in rows.values())
+    assert "BroadcastHashJoin" in qa_samples.choose_negatives(qa, counts, 64, 32)._jdf.queryExecution().executedPlan().toString()
