@@ -7,11 +7,15 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.session import ensure_checkpoint_dir
+from tabloom.session import cut_lineage, ensure_checkpoint_dir
 
 WORD_BREAK = r"[ \t\n\r\f\x0B]+"
 
 
+#: Ids that may be broadcast: at 4 million, 8 bytes each, the hashed relation takes about 100 MB.
+BROADCAST_IDS = 4_000_000
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -43,3 +47,18 @@ def hash_prefix(df: DataFrame, total: int, rows: int, key: Column) -> DataFrame:
     if total <= 4 * rows:
         return df
     return df.filter(key < F.lit(-(2**63) + 4 * rows * 2**64 // total))
+
+
+def counted(df: DataFrame, most: int) -> DataFrame:
+    """`df`, stored and counted; marked for a broadcast when it has at most `most` rows.
+
+    The planner sees no size in a stored frame and would shuffle both sides of
+    a join with it, whole texts included. Beyond the bound it still does.
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= most else stored
+
+
+def counted_ids(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """Distinct ids, stored and broadcast up to `most`, see `counted`."""
+    return counted(ids.distinct(), most)

@@ -4,9 +4,17 @@ A set is represented by T min-wise samples of its shingles. From a node of the
 tree, sets go down along one or two sampled tokens of theirs, chosen by the
 node alone, so that a pair of similarity J shares each branch with chance J.
 Small buckets are compared pair by pair; larger ones split again, down to the
-last level, where what is left is compared block by block. The runs repeat
-until a pair at the limit is met with the wanted chance. What the samples call
-similar enough is then compared exactly, within the classes found.
+last level. The runs repeat until a pair at the limit is met with the wanted
+chance.
+
+What is left above BLOCK rows in a bucket of the last level is compared with
+pivots only: a few drawn ones, then all rows that are near to none of them,
+then all rows that are outside the largest class of the bucket. A pair of rows
+that met no pivot is in one class already, so nothing is missed, and the rows
+that are moved and made grow with the bucket and not with its square.
+
+What the samples call similar enough is then compared exactly, within the
+classes found, by what a set has more or less than the first set of its class.
 """
 
 from __future__ import annotations
@@ -17,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import table, whole_batches
+from tabloom.llm.common import counted, table, whole_batches
 from tabloom.llm.components import components
 from tabloom.llm.heavy import group_winners
 from tabloom.session import cut_lineage
@@ -30,25 +39,28 @@ SIMILARITY = 0.8
 SAMPLES = 64
 LEAF = 48
 DEPTH = 4
-BLOCK = 128
+BLOCK = 1024
+EXACT_BLOCK = 2048
+PIVOTS = 32
 RECALL = 0.9999
 SPLIT = " \t\n\r\f\v"
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 200_000
+BROADCAST_SETS = 1_000_000
 
 _RNG = np.random.default_rng(20240501)
 _FACTORS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
-_WORDS: dict[str, int] = {}
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _word_hash(word: str) -> int:
-    value = _WORDS.get(word)
-    if value is None:
-        if len(_WORDS) >= KNOWN_WORDS:
-            _WORDS.clear()
-        value = _WORDS[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
-    return value
+class _WordHashes(dict):
+    """64-bit hashes of words; belongs to one task and starts anew when it holds KNOWN_WORDS."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return value
 
 
 def words_of(text: str) -> list[str]:
@@ -64,12 +76,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
+def shingle_set(text: str, words: int = WORDS, known: _WordHashes | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of `words` words; fewer words are one run, no words no run."""
     found = words_of(text)
     if not found:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_word_hash, found), np.uint64, len(found))
+    h = np.fromiter(map((known if known is not None else _WordHashes()).__getitem__, found), np.uint64, len(found))
     runs = max(1, len(h) - words + 1)
     total = np.full(runs, min(len(h), words), np.uint64)
     for k in range(min(words, len(h))):
@@ -90,10 +102,11 @@ def text_sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
     whole_batches(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _WordHashes()
         for frame in frames:
             keys, sizes, samples = [], [], []
             for text in frame["text"]:
-                hashes = shingle_set(text, words)
+                hashes = shingle_set(text, words, known)
                 sizes.append(len(hashes))
                 keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
                 samples.append(sketch(hashes) if len(hashes) else None)
@@ -103,9 +116,9 @@ def text_sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.mapInPandas(run, f"id {kind}, key binary, size int, samples array<int>")
 
 
-def survival(similarity: float, depth: int) -> float:
-    """Chance that a pair of this similarity shares a bucket of level `depth` in one run."""
-    second = 1 / similarity - 1
+def survival(similarity: float, depth: int, limit: float = SIMILARITY) -> float:
+    """Chance that a pair of this similarity shares a bucket of level `depth` in one run that branches for `limit`."""
+    second = 1 / limit - 1
     chance = 1.0
     for _ in range(depth):
         meets = similarity * chance
@@ -113,8 +126,28 @@ def survival(similarity: float, depth: int) -> float:
     return chance
 
 
+def missed(similarity: float, runs: int, depth: int = DEPTH, limit: float = SIMILARITY) -> float:
+    """Chance that a pair of this similarity is lost although all its buckets go down to the last level.
+
+    The runs share the samples, so this is the mean over the number of samples
+    that are equal; too few of them lose the pair in any run.
+    """
+    total = 0.0
+    for equal in range(SAMPLES + 1):
+        share = math.comb(SAMPLES, equal) * similarity**equal * (1 - similarity) ** (SAMPLES - equal)
+        found = equal >= least_equal(limit)
+        total += share * ((1 - survival(equal / SAMPLES, depth, limit)) ** runs if found else 1.0)
+    return total
+
+
+def least_equal(similarity: float) -> int:
+    """Equal samples that a pair must have to be compared exactly: four standard deviations under the similarity."""
+    return math.floor(SAMPLES * similarity - 4 * math.sqrt(SAMPLES * similarity * (1 - similarity)))
+
+
 def runs_for(recall: float, similarity: float = SIMILARITY, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth)))
+    """Runs that would reach the recall if their samples were independent; `missed` gives what they reach."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth, similarity)))
 
 
 def _down(path: Column, samples: Column, similarity: float) -> Column:
@@ -144,25 +177,6 @@ def buckets(sets: DataFrame, similarity: float, runs: int, depth: int = DEPTH, l
     return done
 
 
-def in_blocks(members: DataFrame, group: str, block: int = BLOCK) -> DataFrame:
-    """Add (a, b, part): every pair of a group of `n` rows meets in exactly one block pair a <= b.
-
-    A row goes to ceil(n / block) block pairs, so that a group of any size is
-    compared whole and no task holds more than about 2 * block of its rows.
-    """
-    parts = F.ceil(F.col("n") / block).cast("int")
-    part = F.pmod(F.xxhash64("rep", F.col(group)), parts).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return (
-        members.withColumn("parts", parts)
-        .withColumn("part", part)
-        .withColumn("other", other)
-        .withColumn("a", F.least("part", "other"))
-        .withColumn("b", F.greatest("part", "other"))
-        .drop("other", "parts")
-    )
-
-
 def _stars(linked: np.ndarray) -> np.ndarray:
     """For each row of a symmetric matrix of links the smallest index of its component."""
     root = np.arange(len(linked))
@@ -174,46 +188,126 @@ def _stars(linked: np.ndarray) -> np.ndarray:
         root = least
 
 
-def _pairs_to_compare(part: np.ndarray, size: np.ndarray, similarity: float) -> np.ndarray:
-    """Which pairs belong to this block pair and can reach the similarity by their sizes."""
-    small, large = np.minimum.outer(size, size), np.maximum.outer(size, size)
-    fits = small >= similarity * large - 1e-9
-    np.fill_diagonal(fits, False)
-    if (part != part[0]).any():
-        fits &= part[:, None] != part[None, :]
-    return fits
+def _fits(size: np.ndarray, other: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs can reach the similarity by their sizes."""
+    return np.minimum.outer(size, other) >= similarity * np.maximum.outer(size, other) - 1e-9
 
 
-def sampled_links(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links that join what the samples call similar in each block; a star per connected part, not all pairs.
+def _similar(own: np.ndarray, size: np.ndarray, other: np.ndarray, other_size: np.ndarray, similarity: float) -> np.ndarray:
+    """Matrix of what the samples call similar; rows of bytes, compared in portions."""
+    linked = _fits(size, other_size, similarity)
+    least = least_equal(similarity)
+    for k in range(0, len(own), 64):
+        some = np.flatnonzero(linked[k : k + 64].any(axis=1)) + k
+        if len(some):
+            linked[some] &= (own[some, None, :] == other[None, :, :]).sum(axis=2, dtype=np.uint8) >= least
+    return linked
+
+
+def _grouped(members: DataFrame, *keys: str) -> DataFrame:
+    """One row per group with its rows as flat arrays (rep, size, pivot, bytes)."""
+    row = F.struct("rep", "size", "pivot", "bytes")
+    grouped = members.groupBy(*keys).agg(F.collect_list(row).alias("m"))
+    return grouped.select(
+        keys[0], F.col("m.rep").alias("rep"), F.col("m.size").alias("size"), F.col("m.pivot").alias("pivot"), F.flatten("m.bytes").alias("bytes")
+    )
 
-    `members` has (path, rep, size, samples, n). A pair passes when its share
-    of equal samples is at most four standard deviations under the similarity.
-    """
-    least = math.floor(SAMPLES * similarity - 4 * math.sqrt(SAMPLES * similarity * (1 - similarity)))
-    packed = F.transform(F.col("samples"), lambda s: (F.pmod(s, F.lit(256)) - 128).cast("byte"))
-    narrow = in_blocks(members.select("path", "rep", "n", "size", packed.alias("bytes")), "path")
-    row = F.struct("rep", "size", "part", "bytes")
-    grouped = narrow.groupBy("path", "a", "b").agg(F.collect_list(row).alias("m")).filter(F.size("m") > 1)
-    flat = grouped.select(F.col("m.rep").alias("rep"), F.col("m.size").alias("size"), F.col("m.part").alias("part"), F.flatten("m.bytes").alias("bytes"))
+
+def _small_buckets(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): a star per connected part of each bucket, whose rows meet in one task."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for rep, size, part, data in zip(frame["rep"], frame["size"], frame["part"], frame["bytes"]):
+            for rep, size, data in zip(frame["rep"], frame["size"], frame["bytes"]):
                 order = np.argsort(rep, kind="stable")
-                own = data.reshape(len(rep), SAMPLES)[order]
-                rep, size, part = rep[order], size[order], part[order]
-                linked = _pairs_to_compare(part, size, similarity)
+                rep, size, own = rep[order], size[order], data.reshape(len(rep), SAMPLES)[order]
+                linked = _similar(own, size, own, size, similarity)
+                np.fill_diagonal(linked, False)
                 if linked.any():
-                    linked &= (own[:, None, :] == own[None, :, :]).sum(axis=2) >= least
                     root = _stars(linked)
                     moved = root != np.arange(len(root))
                     a.append(rep[moved])
                     b.append(rep[root[moved]])
             yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return flat.mapInPandas(run, "a bigint, b bigint").distinct()
+    return _grouped(members.withColumn("pivot", F.lit(False)), "path").mapInPandas(run, "a bigint, b bigint")
+
+
+def against_pivots(members: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(path, rep, near): the smallest pivot that a row is similar to, or null; and near pivots of one row with each other.
+
+    `members` has (path, rep, n, size, bytes, pivot). The rows of a bucket are
+    dealt into chunks of about `block`, the pivots are copied to every chunk. A
+    pivot is near to itself.
+    """
+    chunks = F.ceil(F.col("n") / block).cast("int")
+    own = members.withColumn("chunk", F.pmod(F.xxhash64("rep", "path"), chunks).cast("int")).withColumn("pivot", F.lit(False))
+    copies = members.filter("pivot").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    columns = ["path", "chunk", "rep", "size", "bytes", "pivot"]
+    met = _grouped(own.select(*columns).unionByName(copies.select(*columns)), "path", "chunk")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, rep, size, pivot, data in zip(frame["path"], frame["rep"], frame["size"], frame["pivot"], frame["bytes"]):
+                data, pivot = data.reshape(len(rep), SAMPLES), pivot.astype(bool)
+                order = np.flatnonzero(pivot)[np.argsort(rep[pivot], kind="stable")]
+                rows, tops = rep[~pivot], rep[order]
+                linked = _similar(data[~pivot], size[~pivot], data[order], size[order], similarity) | (rows[:, None] == tops[None, :])
+                some = linked.any(axis=1) if len(tops) else np.zeros(len(rows), bool)
+                first = linked.argmax(axis=1) if len(tops) else np.zeros(len(rows), int)
+                joined = np.arange(len(tops))  # per pivot the smallest that a row of the chunk has in common with it
+                for k in np.flatnonzero(some):
+                    near = np.flatnonzero(linked[k])
+                    if len(near) > 1:
+                        joined[near] = np.minimum(joined[near], joined[near].min())
+                for k in range(len(joined)):
+                    joined[k] = joined[joined[k]]
+                moved = joined != np.arange(len(joined))
+                near = pd.array(np.where(some, tops[first] if len(tops) else 0, 0), "Int64")
+                near[~some] = pd.NA
+                yield pd.DataFrame({"path": path, "rep": rows, "near": near})
+                yield pd.DataFrame({"path": path, "rep": tops[moved], "near": pd.array(tops[joined[moved]], "Int64")})
+
+    return met.mapInPandas(run, "path bigint, rep bigint, near bigint")
+
+
+def _links(near: DataFrame) -> DataFrame:
+    return near.filter("near <> rep").select(F.col("rep").alias("a"), F.col("near").alias("b")).distinct()
+
+
+def _large_buckets(members: DataFrame, similarity: float, block: int, pivots: int) -> DataFrame:
+    """(a, b): links that connect what is similar in each bucket of any size; `members` is stored and has (path, rep, n, size, bytes)."""
+    drawn = F.xxhash64("path", "rep", F.lit(1)) < (F.lit(2.0**64) * F.least(F.lit(1.0), pivots / F.col("n")) - 2.0**63)
+    first = cut_lineage(against_pivots(members.withColumn("pivot", drawn), similarity, block))
+    alone = first.groupBy("path", "rep").agg(F.max("near").alias("near")).filter("near IS NULL").select("path", "rep", F.lit(True).alias("pivot"))
+    alone = cut_lineage(alone)
+    open_ = members.join(alone.select("path").distinct(), "path", "left_semi").join(alone, ["path", "rep"], "left")
+    second = cut_lineage(against_pivots(open_.withColumn("pivot", F.coalesce("pivot", F.lit(False))), similarity, block))
+    links = cut_lineage(_links(first).unionByName(_links(second)))
+
+    roots = components(links)
+    placed = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    counts = placed.groupBy("path", "root").agg(F.count(F.lit(1)).alias("k"))
+    largest = counts.groupBy("path").agg(F.max_by("root", F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    third = cut_lineage(placed.join(largest, "path").withColumn("pivot", F.col("root") != F.col("top")).select("path", "rep", "n", "size", "bytes", "pivot"))
+    return links.unionByName(_links(against_pivots(third, similarity, block)))
+
+
+def sampled_links(members: DataFrame, similarity: float, block: int | None = None, pivots: int | None = None) -> DataFrame:
+    """(a, b): links that connect what the samples call similar in each bucket; stars, not all pairs.
+
+    `members` has (path, rep, size, samples, n). A pair passes when its share
+    of equal samples is at most four standard deviations under the similarity.
+    """
+    block, pivots = block or BLOCK, pivots or PIVOTS
+    packed = F.transform(F.col("samples"), lambda s: (F.pmod(s, F.lit(256)) - 128).cast("byte"))
+    narrow = members.select("path", "rep", "n", "size", packed.alias("bytes"))
+    small = _small_buckets(narrow.filter(F.col("n") <= block), similarity)
+    large = cut_lineage(narrow.filter(F.col("n") > block))
+    if large.isEmpty():
+        return small.distinct()
+    return small.unionByName(_large_buckets(large, similarity, block, pivots)).distinct()
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -234,30 +328,70 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def exact_links(members: DataFrame, similarity: float) -> DataFrame:
+def differences(members: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
+    """(root, rep, size, less, whole, core, more): each set of a class as its difference from the first set of the class.
+
+    `members` has (root, rep, hashes), `firsts` its rows with rep = root. `whole`
+    is the size of the first set, `less` how many of its hashes a set lacks, `more` the lacking and the
+    additional hashes together. A set is of the core when its distance from the
+    first is at most half of what links two sets: by the triangle inequality of
+    the Jaccard distance all sets of the core are linked with each other.
+    """
+    first = firsts.select("root", F.col("hashes").alias("first"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for root, rep, data, base in zip(frame["root"], frame["rep"], frame["hashes"], frame["first"]):
+                own, top = np.frombuffer(data, np.uint64), np.frombuffer(base, np.uint64)
+                more = np.setxor1d(own, top, assume_unique=True)
+                less = (len(more) + len(top) - len(own)) // 2
+                both = len(top) - less
+                core = 2 * len(more) <= (1 - similarity) * (len(own) + len(top) - both) * (1 - 1e-9)
+                rows.append((root, rep, len(own), less, len(top), core, more.tobytes()))
+            yield pd.DataFrame(rows, columns=["root", "rep", "size", "less", "whole", "core", "more"])
+
+    kinds = "root bigint, rep bigint, size int, less int, whole int, core boolean, more binary"
+    return members.select("root", "rep", "hashes").join(first, "root").mapInPandas(run, kinds)
+
+
+def exact_links(members: DataFrame, similarity: float, block: int | None = None) -> DataFrame:
     """(rep, root, n_links) per member and block: its exact links there, and the smallest member they connect it to.
 
-    `members` has (root, rep, hashes, n) with the whole sets; all pairs inside
-    a class are counted, none is written out.
+    `members` is the stored frame of `differences`. Sets of the core of a class
+    are linked with each other without a comparison; every other pair of a class
+    meets in exactly one pair of blocks of about `block` sets, of which only the
+    differences are moved. No pair is written out.
     """
-    blocked = in_blocks(members, "root").select("root", "a", "b", F.struct("rep", "part", "hashes").alias("row"))
-    grouped = blocked.groupBy("root", "a", "b").agg(F.collect_list("row").alias("m")).filter(F.size("m") > 1)
-    flat = grouped.select(F.col("m.rep").alias("rep"), F.col("m.part").alias("part"), F.col("m.hashes").alias("hashes"))
+    block = block or EXACT_BLOCK
+    sizes = members.groupBy("root").agg(F.count_if("core").alias("n_core"), F.count_if(~F.col("core")).alias("n_far"))
+    known = members.join(counted(sizes, BROADCAST_SETS), "root")
+    cores, fars = F.ceil(F.col("n_core") / block).cast("int"), F.ceil(F.col("n_far") / block).cast("int")
+    spot = F.xxhash64("rep", "root")
+    part = F.when(F.col("core"), F.pmod(spot, cores)).otherwise(cores + F.pmod(spot, fars)).cast("int")
+    others = F.sequence(F.when(F.col("core"), cores).otherwise(0), cores + fars - 1)
+    placed = known.filter("n_far > 0").withColumn("part", part).withColumn("other", F.explode(others))
+    placed = placed.select("root", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), F.struct("rep", "part", "size", "less", "whole", "core", "more").alias("row"))
+    grouped = placed.groupBy("root", "a", "b").agg(F.collect_list("row").alias("m"))
+    flat = grouped.select((F.col("a") == F.col("b")).alias("alone"), *[F.col(f"m.{c}").alias(c) for c in ("rep", "part", "size", "less", "whole", "core", "more")])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for rep, part, data in zip(frame["rep"], frame["part"], frame["hashes"]):
+            for alone, rep, part, size, less, whole, core, more in frame.itertuples(index=False, name=None):
                 order = np.argsort(rep, kind="stable")
-                rep, part = rep[order], part[order]
-                sets = [np.frombuffer(data[k], np.uint64) for k in order]
-                size = np.array([len(s) for s in sets])
-                linked = _pairs_to_compare(part, size, similarity)
+                rep, part, size, less, core = rep[order], part[order], size[order], less[order].astype(np.int64), core[order].astype(bool)
+                linked = _fits(size, size, similarity) & ~np.logical_and.outer(core, core)
+                np.fill_diagonal(linked, False)
+                if not alone:  # also when one of the two blocks is empty
+                    linked &= part[:, None] != part[None, :]
                 if linked.any():
-                    both = _shared(sets)
-                    linked &= both >= similarity * (size[:, None] + size[None, :] - both) - 1e-9
+                    both = whole[0] - less[:, None] - less[None, :] + _shared([np.frombuffer(more[k], np.uint64) for k in order])
+                    linked &= both >= similarity * (size[:, None].astype(np.int64) + size[None, :] - both) - 1e-9
                 yield pd.DataFrame({"rep": rep, "root": rep[_stars(linked)], "n_links": linked.sum(axis=1)})
 
-    return flat.mapInPandas(run, "rep bigint, root bigint, n_links bigint")
+    met = flat.mapInPandas(run, "rep bigint, root bigint, n_links bigint")
+    sure = known.filter("core AND n_core > 1").select("rep", "root", (F.col("n_core") - 1).alias("n_links"))
+    return met.unionByName(sure)
 
 
 def near_duplicates(
@@ -291,20 +425,19 @@ def near_duplicates(
     met = buckets(sets, similarity, runs_for(recall, similarity)).join(sets.select("rep", "size", "samples"), "rep")
     classes = components(sampled_links(met, similarity))
 
-    sizes = classes.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = cut_lineage(classes.join(sizes, "root").select(F.col("node").alias("rep"), "root", "n"))
-    keyed = sets.join(members, "rep").select("rep", "key", "root", "n")
+    keyed = counted(sets.join(classes.withColumnRenamed("node", "rep"), "rep").select("rep", "key", "root"), BROADCAST_SETS)
 
     def whole_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _WordHashes()
         for frame in frames:
-            hashes = [shingle_set(t, words) for t in frame["text"]]
+            hashes = [shingle_set(t, words, known) for t in frame["text"]]
             keys = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() == k for h, k in zip(hashes, frame["key"])]
-            done = frame[["root", "rep", "n"]].assign(hashes=[h.tobytes() for h in hashes])
+            done = frame[["root", "rep"]].assign(hashes=[h.tobytes() for h in hashes])
             yield done[np.array(keys, bool)]
 
-    texts = wanted.join(keyed, wanted["id"] == keyed["rep"]).select("root", "rep", "n", "key", "text")
-    exact = texts.mapInPandas(whole_sets, "root bigint, rep bigint, n bigint, hashes binary").dropDuplicates(["rep"])
-    found = cut_lineage(exact_links(exact, similarity).groupBy("rep", "root").agg(F.sum("n_links").alias("n_links")))
+    texts = wanted.join(keyed, wanted["id"] == keyed["rep"]).select("root", "rep", "key", "text")
+    exact, firsts = (t.mapInPandas(whole_sets, "root bigint, rep bigint, hashes binary").dropDuplicates(["rep"]) for t in (texts, texts.filter("rep = root")))
+    found = cut_lineage(exact_links(cut_lineage(differences(exact, firsts, similarity)), similarity).groupBy("rep", "root").agg(F.sum("n_links").alias("n_links")))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("rep").agg(F.sum("n_links").alias("n_links")).filter("n_links > 0")
     facts = cut_lineage(links.join(roots.withColumnRenamed("node", "rep"), "rep").select(F.col("rep").alias("keep_id"), "n_links", "root"))

@@ -8,6 +8,7 @@ from itertools import combinations
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.llm import decontaminate, exact_dedup, heavy, ngram_join, suffix_dedup
@@ -111,10 +112,10 @@ def near_copies(seed=8, many=150):
     return rows + [(900, None), (901, ""), (902, "one two"), (903, "One  two"), (904, " ".join(word() for _ in range(30_000)))]
 
 
-@pytest.mark.parametrize("block, leaf", [(128, 48), (8, 4)])
-def test_near_duplicates(spark, monkeypatch, block, leaf):
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "LEAF", leaf)
+@pytest.mark.parametrize("block, leaf, pivots", [(1024, 48, 32), (8, 4, 2), (3, 2, 1)])
+def test_near_duplicates(spark, monkeypatch, block, leaf, pivots):
+    for name, value in (("BLOCK", block), ("EXACT_BLOCK", block), ("LEAF", leaf), ("PIVOTS", pivots)):
+        monkeypatch.setattr(ngram_join, name, value)
     rows = near_copies()
     found = {r.doc_id: (r.rep_id, r.class_id, r.n_links) for r in ngram_join.near_duplicates(docs_of(spark, rows + [(None, "x y"), (3, rows[3][1])])).collect()}
     assert found == near_by_brute_force(rows)
@@ -126,7 +127,56 @@ def test_near_duplicates_on_documents(spark):
     assert ngram_join.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_large_buckets_connect_what_all_pairs_connect(spark):
+    """Pivots find the same classes as comparing all rows of a bucket, chains and neighbouring classes included."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for path in range(3):
+        base = rng.integers(0, 256, (3, ngram_join.SAMPLES))
+        base[1, :40] = base[0, :40]
+        now = base[2]
+        for k in range(160):
+            own = base[k % 2].copy() if k < 120 else now.copy()
+            change = rng.permutation(ngram_join.SAMPLES)[: rng.integers(0, 20) if k < 120 else 9]
+            own[change] = rng.integers(0, 256, len(change))
+            now = own if k >= 120 else now  # a chain whose ends are far apart
+            rows.append((path, path * 1000 + k, 160, 100, [int(v) for v in own]))
+    members = spark.createDataFrame(rows, "path bigint, rep bigint, n bigint, size int, samples array<int>")
+    whole = components(ngram_join.sampled_links(members, 0.8, block=1000)).collect()
+    assert 5 < len({r.root for r in whole}) < 200
+    for block, pivots in ((40, 8), (7, 1), (150, 400)):
+        assert sorted(components(ngram_join.sampled_links(members, 0.8, block, pivots)).collect()) == sorted(whole)
+
+
+@pytest.mark.parametrize("edits", [3])
+def test_rows_grow_with_a_class_and_not_with_its_square(spark, edits):
+    rng = random.Random(edits)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base = [word() for _ in range(300)]
+    made = {}
+    for n in (500, 1000, 2000):
+        rows = []
+        for k in range(n):
+            words = list(base)
+            for _ in range(edits):
+                words[rng.randrange(300)] = word()
+            rows.append((k, " ".join(words)))
+        sketches = ngram_join.text_sketches(docs_of(spark, rows).select(F.col("doc_id").alias("id"), "text"))
+        sets = ngram_join.cut_lineage(sketches.select(F.col("id").alias("rep"), "samples", "size"))
+        met = ngram_join.buckets(sets, 0.8, 4).join(sets.select("rep", "samples", "size"), "rep")
+        hashes = spark.createDataFrame([(0, k, ngram_join.shingle_set(t).tobytes()) for k, t in rows], "root bigint, rep bigint, hashes binary")
+        links = ngram_join.sampled_links(met, 0.8, block=300).count()
+        exact = ngram_join.exact_links(ngram_join.cut_lineage(ngram_join.differences(hashes, hashes.filter("rep = root"), 0.8)), 0.8)
+        made[n] = links, exact.count()
+        assert exact.groupBy("rep").agg(F.sum("n_links").alias("k")).filter(f"k < {n // 2}").count() == 0
+    for k in (0, 1):
+        print(made)
+        assert made[2000][k] < 3 * made[1000][k] and made[2000][k] < 40 * 2000, made
+
+
 def test_runs_reach_the_recall():
+    assert ngram_join.missed(0.8, ngram_join.runs_for(0.9999)) < 7e-4
+    assert ngram_join.missed(0.9, ngram_join.runs_for(0.9999)) < 1e-5
     chance = ngram_join.survival(0.8, ngram_join.DEPTH)
     assert (1 - chance) ** ngram_join.runs_for(0.9999) <= 1e-4 < (1 - chance) ** (ngram_join.runs_for(0.9999) - 1)
 
