@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import WORD_BREAK, ascii_lower, table
+from tabloom.llm.common import WORD_BREAK, ascii_lower, counted_ids, table
 from tabloom.session import cut_lineage
 
 WORDS = 5
@@ -96,7 +96,7 @@ def contaminated(
         .agg(F.max("item_size").alias("n_item"))
     )
     candidates = cut_lineage(candidates)
-    wanted = d.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
+    wanted = d.join(counted_ids(candidates.select("doc_id")), "doc_id", "left_semi")
     again = wanted.select("doc_id", F.explode(F.array_distinct(shingle_hashes(F.col("doc_text"), words))).alias("hash"))
     every = shingles.select("hash", "item_id")
     shared = (

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ascii_lower, table
+from tabloom.llm.common import ascii_lower, counted_ids, table
 from tabloom.llm.heavy import COUNTERS, SHARE, group_winners
 from tabloom.session import cut_lineage
 
+DIGEST_BYTES = 16
+BROADCAST_DIGESTS = 1_000_000
+
 
 def exact_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: float = SHARE, counters: int = COUNTERS
@@ -38,14 +41,21 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; texts are not shuffled when few rows are dropped.
-
-    The dropped ids are stored first, so the planner knows their size and
-    broadcasts them only below its own limit.
+    """The rows of `docs` that stay, with all their columns.
+
+    Of equal texts the rows with the largest id stay, all of them if id and
+    text repeat; a row with a null id goes when its text has an id. A row goes by
+    its id and the digest of its text together, so another text under the same
+    id is not touched. Up to BROADCAST_DIGESTS digests of texts with dropped rows
+    are broadcast (about 100 MB), and texts are not shuffled. An empty table
+    gives no rows.
     """
-    dropped = exact_duplicates(docs, id_column, text_column).filter("NOT kept").select(F.col("doc_id").alias("__dropped"))
-    gone = cut_lineage(dropped.distinct())
-    return docs.join(gone, docs[id_column] == gone["__dropped"], "left_anti")
+    found = exact_duplicates(docs, id_column, text_column).filter("NOT kept")
+    digest = F.substring(F.unhex("text_sha256"), 1, DIGEST_BYTES)
+    gone = counted_ids(found.select(digest.alias("__gone"), F.col("keep_id").alias("__keep")), BROADCAST_DIGESTS)
+    text = ascii_lower(F.coalesce(docs[text_column].cast("string"), F.lit("")))
+    dropped = (F.substring(F.unhex(F.sha2(text, 256)), 1, DIGEST_BYTES) == gone["__gone"]) & ~docs[id_column].eqNullSafe(gone["__keep"])
+    return docs.join(gone, dropped, "left_anti")
 
 
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
