@@ -21,7 +21,10 @@ from tabloom.llm.common import hash_prefix, table
 from tabloom.session import cut_lineage
 
 _RUN = r"A-Za-z0-9+/_\-"
-_MIXED = rf"(?=[{_RUN}.]{{16}})(?=[A-Za-z+/_.\-]*+[0-9]|[A-Za-z+/_\-]*[a-z][A-Z])"
+# A dotted run is looked at from its start alone, and up to its first digit or change of case: linear in the text.
+_START = rf"(?<![{_RUN}]|[{_RUN}]\.)"
+_STEP = rf"(?:(?![a-z][A-Z])(?:[A-Za-z+/_\-]|\.(?=[{_RUN}])))"
+_MIXED = rf"(?=[{_RUN}][{_RUN}.]{{15}})(?={_STEP}*+(?:[0-9]|[a-z][A-Z]))"
 #: What stands before a value: a sign of assignment with any blanks, or the name of an authorization scheme.
 BEFORE = r"""(?:(?:[=:]++>?+\s*+|(?i:\b(?:bearer|basic))\s++)["'`]?+)"""
 # A sign at the end of a value, or before a scheme, is left for the value that follows.
@@ -32,11 +35,11 @@ CANDIDATE = (
     rf"{BEFORE}(?:"
     r"""(?<=")(?:[^"\\\r\n]|\\.){8,}+(?=")|(?<=')(?:[^'\\\r\n]|\\.){8,}+(?=')|(?<=`)(?:[^`\\\r\n]|\\.){8,}+(?=`)"""
     rf"""|(?!["'`=:])(?:{_NEXT}[^\s"'`]|(?<=\w)["'`](?=\w)){{8,}}+)"""
-    rf"|(?<![{_RUN}]){_MIXED}[{_RUN}]++(?:\.[{_RUN}]++)*+"
+    rf"|{_START}{_MIXED}[{_RUN}]++(?:\.[{_RUN}]++)*+"
 )
 #: What is judged inside a value as well: runs, dotted runs, and what is assigned in it or starts it, up to a separator.
 _RUNS = rf"(?<![{_RUN}])(?=[A-Za-z+/_\-]*+[0-9])[{_RUN}]{{16,}}+"
-_DOTTED = rf"(?<![{_RUN}]){_MIXED}[{_RUN}]++(?:\.[{_RUN}]++)++"
+_DOTTED = rf"{_START}{_MIXED}[{_RUN}]++(?:\.[{_RUN}]++)++"
 _ASSIGNED = rf"""(?:^|{BEFORE})[^\s&;,=:"'`]{{7,}}[^\s&;,=:"'`.!?)\]}}>]"""
 NEAR = 64
 TRAINING_DOCUMENTS = 6_000

@@ -1,16 +1,17 @@
-"""WARC round trip, secret scan, the registered SQL and the pipeline."""
+"""WARC round trip, secret scan and the registered SQL."""
 
 import base64
 import hashlib
 import io
 import re
+import time
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
 import check
-import corpus_pipeline
 from tabloom.llm import catalogue, secrets, warc
 
 FOLDER = "/root/testdata/sf0.001"
@@ -103,21 +104,6 @@ def test_candidates_against_python(spark):
         assert not [x for x in long if x not in mine]
 
 
-def test_pipeline_stages(spark):
-    docs = corpus_pipeline.table(spark, FOLDER, "documents")
-    columns = docs.columns
-    ids = {r.doc_id for r in docs.select("doc_id").collect()}
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, FOLDER)
-        assert docs.columns == columns
-        docs = spark.createDataFrame(docs.collect(), docs.schema)
-        left = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert left <= ids
-        ids = left
-    last = {r.doc_id for r in corpus_pipeline.run(spark, FOLDER).collect()}
-    assert last == ids and 100 < len(last) < 200
-
-
 WHOLE = {
     'password = "S3cr3t!Pa$$w0rd"': "S3cr3t!Pa$$w0rd",
     '{"token":"abc.def.ghi-jkl"}': "abc.def.ghi-jkl",
@@ -150,3 +136,12 @@ def test_forest_judges_whole_values(spark, forest):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     secret = {r.candidate_sha256 for r in found if r.is_secret}
     assert {sha(list(WHOLE.values())[k]) for k in (0, 2, 5)} <= secret and not [r for r in found if r.doc_id == 100 and r.is_secret]
+
+
+@pytest.mark.parametrize("text, many", [("." * 2_000_000, 0), ("a." * 1_000_000, 0), ("..a" * 700_000, 0), ("a.b-" * 500_000 + "7", 1), ("abC." * 500_000, 1)])
+def test_long_dotted_texts_take_linear_time(spark, text, many):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    secrets.candidates(docs.select("doc_id", F.left("text", F.lit(100)).alias("text")), path_column=None).collect()
+    begin = time.time()
+    assert secrets.candidates(docs, path_column=None).filter("occurrence = 0").count() == many
+    assert time.time() - begin < 10
