@@ -40,6 +40,8 @@ SAMPLED_DOCUMENTS = 2_000
 SAMPLED_ANCHORS = 64
 GROUP_ROWS = 131_072
 
+_KINDS = (np.int64, np.int32, np.int64, np.int32)  # lead, rest, id, at
+
 _U = np.uint64
 _INDEX = _U(CHUNK - 1)
 _ODD = [_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)]
@@ -142,6 +144,36 @@ def _buckets_of(splitters: list[tuple], firsts: np.ndarray, lead, rest, doc, at)
     return bucket
 
 
+def _planes(column: np.ndarray) -> bytes:
+    """The bytes of a column of numbers plane by plane: what sorted numbers have in common stands together."""
+    return column.view(np.uint8).reshape(len(column), column.itemsize).T.tobytes()
+
+
+def packed_suffixes(bucket: np.ndarray, columns: list[np.ndarray]) -> pd.DataFrame:
+    """(bucket, n, zipped, rows): the rows (lead, rest, id, at) of each bucket as one block, in the order of lead, rest and
+    place, compressed where that makes it smaller."""
+    packer = zstandard.ZstdCompressor(level=3)
+    order = np.lexsort((columns[3], columns[2], columns[1], columns[0], bucket))
+    bucket, columns = bucket[order], [c[order] for c in columns]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
+    out = []
+    for begin, end in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
+        plain = b"".join(_planes(c[begin:end].astype(kind)) for c, kind in zip(columns, _KINDS))
+        small = packer.compress(plain) if end - begin > 4 else plain
+        zipped = len(small) < len(plain)
+        out.append((bucket[begin], end - begin, zipped, small if zipped else plain))
+    return pd.DataFrame(out, columns=["bucket", "n", "zipped", "rows"])
+
+
+def unpacked_suffixes(n: int, zipped: bool, rows: bytes) -> list[np.ndarray]:
+    data, out, at = np.frombuffer(zstandard.decompress(rows) if zipped else rows, np.uint8), [], 0
+    for kind in _KINDS:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(data[at : at + n * width].reshape(width, n).T).view(kind)[:, 0])
+        at += n * width
+    return out
+
+
 def sampled_splitters(docs: DataFrame, total: int, buckets: int) -> list[tuple]:
     """At most `buckets` - 1 splitters (lead, rest, id, position) of nearly equal steps in a sample of the `total` documents.
 
@@ -186,25 +218,25 @@ def tied_suffixes(docs: DataFrame, total: int, buckets: int, folder: str) -> Dat
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = _suffixes(frame)
-            yield pd.DataFrame({"bucket": _buckets_of(*shipped.value, *found), **dict(zip(("lead", "rest", "id", "at"), found))})
+            yield packed_suffixes(_buckets_of(*shipped.value, *found), list(found))
 
     def sort(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = list(frames)
-        if not held:
-            return
-        whole = pd.concat(held, ignore_index=True)
-        for _, own in whole.groupby("bucket", sort=False):
-            columns = [own[c].to_numpy() for c in ("lead", "rest")]
-            order = _multikey_order(columns)
-            lead, rest = (c[order] for c in columns)
+        held: dict[int, list] = {}
+        for frame in frames:
+            for bucket, n, zipped, rows in frame.itertuples(index=False, name=None):
+                held.setdefault(bucket, []).append(unpacked_suffixes(n, zipped, rows))
+        for bucket in sorted(held):
+            lead, rest, doc, at = (np.concatenate(parts) for parts in zip(*held.pop(bucket)))
+            order = _multikey_order([lead, rest])
+            lead, rest, doc, at = (c[order] for c in (lead, rest, doc, at))
             step = (lead[1:] != lead[:-1]) | (rest[1:] != rest[:-1])
             run = np.concatenate([[0], np.cumsum(step)])
             edge = (run == 0) | (run == run[-1])
             keep = edge | (np.bincount(run)[run] > 1)
-            rows = own.iloc[order[keep]]
-            yield pd.DataFrame({"lead": lead[keep], "rest": rest[keep], "id": rows["id"].to_numpy(), "at": rows["at"].to_numpy(), "edge": edge[keep]})
+            # only the rows at the edges are compared with other buckets, by their leading bytes too
+            yield pd.DataFrame({"lead": np.where(edge, lead, 0)[keep], "rest": rest[keep], "id": doc[keep], "at": at[keep], "edge": edge[keep]})
 
-    emitted = docs.mapInPandas(emit, "bucket int, lead bigint, rest int, id bigint, at int")
+    emitted = docs.mapInPandas(emit, "bucket int, n int, zipped boolean, rows binary")
     ordered = emitted.repartition(buckets, "bucket").mapInPandas(sort, "lead bigint, rest int, id bigint, at int, edge boolean")
     ordered.write.parquet(folder)
     stored = docs.sparkSession.read.parquet(folder)
@@ -316,7 +348,10 @@ def _spans(doc: np.ndarray, start: np.ndarray) -> pd.DataFrame:
 
 
 def _later_strings(rows: pd.DataFrame) -> pd.DataFrame:
-    """Runs of starts of strings that a row before has, by (id, at), in the same group; groups are whole."""
+    """Runs of starts of strings that a row before has, by (id, at), in the same group; groups are whole.
+
+    Hashes find the earliest row with a string, its bytes decide.
+    """
     rows = rows.sort_values(["id", "at"], kind="stable")
     doc, place = rows["id"].to_numpy(), rows["at"].to_numpy()
     low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
@@ -338,7 +373,25 @@ def _later_strings(rows: pd.DataFrame) -> pd.DataFrame:
     _, first, inverse = np.unique(strings, return_index=True, return_inverse=True)
     earliest = row[first[inverse]]
     later = (doc[earliest] != doc[row]) | (place[earliest] != place[row])  # a repeated row is not earlier than itself
-    return _spans(doc[row[later]], place[row[later]] - x[later])
+    row, x, earliest = row[later], x[later], earliest[later]
+    same = _same_bytes(rows["around"], low, high, row, earliest, x)
+    return _spans(doc[row[same]], place[row[same]] - x[same])
+
+
+def _same_bytes(around: pd.Series, low: np.ndarray, high: np.ndarray, row: np.ndarray, other: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Whether the strings at distance `x` before the anchors of the rows `row` and `other` are equal byte by byte.
+
+    Each pair of rows is compared once, to the left and to the right of the anchor.
+    """
+    pairs, pair_of = np.unique(row * len(around) + other, return_inverse=True)
+    a, b = np.divmod(pairs, len(around))
+    left, right = np.empty(len(pairs), np.int64), np.empty(len(pairs), np.int64)
+    for begin in range(0, len(pairs), 8_192):
+        some = slice(begin, begin + 8_192)
+        one, two = (_around(around.iloc[k], high[k]) for k in (a[some], b[some]))
+        left[some] = np.minimum(_common(one[:, LEFT - 1 :: -1], two[:, LEFT - 1 :: -1]), np.minimum(high[a[some]], high[b[some]]))
+        right[some] = np.minimum(_common(one[:, LEFT:], two[:, LEFT:]), LENGTH - np.maximum(low[a[some]], low[b[some]]))
+    return (x <= left[pair_of]) & (LENGTH - x <= right[pair_of])
 
 
 def within_groups(rows: DataFrame, chunk: int = 16_384) -> DataFrame:
