@@ -9,7 +9,11 @@ from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, Vecto
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.ranking import hash_key, hashed_rank
+from tabloom.operators.ranking import hash_key, hashed_rank, join_groups
+from tabloom.session import cut_lineage
+
+#: Classes whose weights may be broadcast.
+BROADCAST_CLASSES = 100_000
 
 
 def ordinal_encoder(columns: Sequence[str], suffix: str = "_code") -> StringIndexer:
@@ -130,13 +134,13 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add the balanced weight of each row's class.
 
-    The weights come to the driver (one number per class) and enter as an
-    expression, so even a class with most of the rows is not shuffled.
+    The weights, one row per class, are stored and counted: up to
+    BROADCAST_CLASSES of them are broadcast, so that even a class with most of
+    the rows is not shuffled; more are joined by a shuffle.
     """
-    weight = F.lit(None).cast("double")
-    for row in class_weights(df, label).collect():
-        weight = F.when(F.col(label).eqNullSafe(F.lit(row[label])), row["weight"]).otherwise(weight)
-    return df.withColumn(name, weight)
+    weights = cut_lineage(class_weights(df, label).withColumnRenamed("weight", name))
+    small = weights.count() <= BROADCAST_CLASSES
+    return join_groups(df, F.broadcast(weights) if small else weights, [label], "left")
 
 
 def word_vectors(

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.operators.grouping import numeric_columns, unpivot
-from tabloom.operators.ranking import value_buckets, with_value_bucket
+from tabloom.operators.ranking import value_buckets
 
 
 def _spread(row: DataFrame, names: Sequence[str], values: dict[str, list[str]]) -> DataFrame:
@@ -55,14 +55,12 @@ def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], pa
     Bucket sizes tell which buckets hold the wanted ranks; only their values
     are counted and ranked.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    bounds = value_buckets(numbers, columns, parts)
-
-    def cells_of(c: str) -> DataFrame:
-        values = numbers.select(F.col(c).alias("value")).filter(F.col("value").isNotNull())
-        return with_value_bucket(values, "value", bounds[c], "bucket").withColumn("column", F.lit(c))
-
-    cells = reduce(DataFrame.unionByName, [cells_of(c) for c in columns])
+    names = [f"x{k}" for k in range(len(columns))]
+    numbers = df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(columns, names)])
+    bounds = value_buckets(numbers, names, parts)
+    cutter = Bucketizer(splitsArray=[bounds[x] for x in names], inputCols=names, outputCols=[f"{x}_bucket" for x in names], handleInvalid="keep")
+    parts_of = [F.struct(F.lit(c).alias("column"), F.col(x).alias("value"), F.col(f"{x}_bucket").alias("bucket")) for c, x in zip(columns, names)]
+    cells = cutter.transform(numbers).select(F.inline(F.array(*parts_of))).filter(F.col("value").isNotNull())  # one scan for all columns
     column = Window.partitionBy("column")
     earlier = column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = cells.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n")).select(
