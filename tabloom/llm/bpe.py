@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.common import table, whole_batches
 
-MOST_STATES = 200_000
-MOST_WORDS = 500_000
+MOST_STATES = 100_000
+MOST_WORDS = 200_000
+#: States and words that a worker may keep from one task to the next.
+KEPT = 50_000
 CHUNK = 1 << 16
 
 
@@ -291,6 +293,14 @@ class Codec:
                 self.words[word] = ids
         return ids
 
+    def release(self) -> None:
+        """Drop what a task has learned beyond KEPT, so that it does not lie in a worker that goes on with other work."""
+        if len(self.words) > KEPT:
+            self.words.clear()
+        if len(self.transducer.states) > KEPT or len(self.transducer.pairs) > 4 * KEPT:
+            self.transducer.pairs.clear()
+            self.transducer._reset()
+
     def encode(self, text: str) -> Iterator[str]:
         """Decimal ids joined by commas, piece by piece."""
         known = self.words
@@ -341,21 +351,24 @@ def round_trip(texts: DataFrame, data: bytes, pattern: str, id_column: str = "do
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(shipped.value, pattern)
-        for frame in frames:
-            rows = []
-            for text in frame["text"]:
-                ids, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
-                encoded = []
-                for part in own.encode(text):
-                    ids.update(("," + part if n else part).encode())
-                    n += part.count(",") + 1
-                    encoded.append(part)
-                for part in own.decode(encoded):
-                    decoded.update(part.encode("utf-8"))
-                rows.append((n, ids.hexdigest(), decoded.hexdigest()))
-            done = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            done.insert(0, "doc_id", frame["doc_id"].to_numpy())
-            yield done
+        try:
+            for frame in frames:
+                rows = []
+                for text in frame["text"]:
+                    ids, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
+                    encoded = []
+                    for part in own.encode(text):
+                        ids.update(("," + part if n else part).encode())
+                        n += part.count(",") + 1
+                        encoded.append(part)
+                    for part in own.decode(encoded):
+                        decoded.update(part.encode("utf-8"))
+                    rows.append((n, ids.hexdigest(), decoded.hexdigest()))
+                done = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                done.insert(0, "doc_id", frame["doc_id"].to_numpy())
+                yield done
+        finally:
+            own.release()
 
     kind = texts.schema[id_column].dataType.simpleString()
     wanted = texts.select(texts[id_column].alias("doc_id"), F.coalesce(texts[text_column].cast("string"), F.lit("")).alias("text"))

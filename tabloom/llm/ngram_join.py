@@ -44,7 +44,7 @@ EXACT_BLOCK = 2048
 PIVOTS = 32
 RECALL = 0.9999
 SPLIT = " \t\n\r\f\v"
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 BROADCAST_SETS = 1_000_000
 
 _RNG = np.random.default_rng(20240501)
