@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabloom.catalogue.common import rounded, spread_table, table
-from tabloom.operators import gram, grouping, profile
+from tabloom.operators import gram, grouping, profile, sketches
+from tabloom.session import cut_lineage
 
+SKETCHED = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
 LINE_NUMBERS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -59,6 +61,15 @@ def corr_matrix(spark, folder):
     return found.select("left", "right", rounded(F.col("corr"), "corr"))
 
 
+def sketch_profile(spark, folder):
+    """Sketches of the line items per ship month, merged; whether the merged profile keeps its stated errors."""
+    lines = table(spark, folder, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    parts = cut_lineage(sketches.sketch_parts(lines, "month", SKETCHED))
+    profile = sketches.merged_profile(parts)
+    kept = sketches.within_errors(lines, profile, SKETCHED)
+    return kept.join(profile.select("column", "parts", "nulls"), "column").select("column", "parts", "n", "nulls", "distinct_within", "quantiles_within")
+
+
 def wide_correlation(spark, folder):
     """All pairs of the 64 embedding columns, by blocks of columns."""
     found = gram.wide_correlations(table(spark, folder, "embeddings"), "embedding", 64)
@@ -120,6 +131,7 @@ QUERIES = {
     "duplicate_rows": duplicate_rows,
     "drop_duplicates": drop_duplicates,
     "corr_matrix": corr_matrix,
+    "sketch_profile": sketch_profile,
     "wide_correlation": wide_correlation,
     "histogram_density": histogram_density,
     "kde_grid": kde_grid,
@@ -186,6 +198,11 @@ SQL = {
         for a in LINE_NUMBERS
         for b in LINE_NUMBERS
     ),
+    "sketch_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT strftime(l_shipdate, '%Y-%m')) AS parts, count({c}) AS n, count(*) - count({c}) AS nulls, "
+        "true AS distinct_within, true AS quantiles_within FROM lineitem"
+        for c in SKETCHED
+    ),
     "wide_correlation": """
         WITH cells AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS v FROM embeddings, range(64) r(i))
         SELECT CAST(a.i AS VARCHAR) AS "left", CAST(b.i AS VARCHAR) AS "right", round(corr(a.v, b.v), 6) AS corr
