@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalogue.common import rounded, spread_table, table
 from tabloom.functions import text
-from tabloom.operators import attribution, boosting, evaluate, features, logits, models, tuning
+from tabloom.operators import attribution, boosting, evaluate, features, guided, logits, models, tuning
 from tabloom.session import cut_lineage
 
 KEY = "doc_id"
@@ -183,6 +183,14 @@ def random_search(spark, folder):
     )
 
 
+def guided_search(spark, folder):
+    """Size, depth and features per split of a forest by the guided search, 20 trials, four at a time."""
+    rows, _ = _training(spark, folder)
+    split = cut_lineage(features.stratified_split(rows, KEY, "label"))
+    space = {"trees": ("int", 2, 30), "max_depth": ("int", 2, 8), "max_features": ("int", 1, 12)}
+    return guided.guided_search(models.random_forest, space, split.filter("part = 'train'"), split.filter("part = 'test'"), 20)
+
+
 def select_by_importance(spark, folder):
     rows, names = _training(spark, folder)
     return tuning.select_by_importance(rows, names, FOLDS)[1]
@@ -294,6 +302,7 @@ QUERIES = {
     "logistic_grid": logistic_grid,
     "grid_search": grid_search,
     "random_search": random_search,
+    "guided_search": guided_search,
     "select_by_importance": select_by_importance,
     "recursive_elimination": recursive_elimination,
     "stacking": stacking,
