@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalogue.common import rounded, spread_table, table
 from tabloom.functions import text
-from tabloom.operators import attribution, boosting, evaluate, features, guided, logits, models, tuning
+from tabloom.operators import attribution, boosting, evaluate, features, guided, logits, models, stacks, tuning
 from tabloom.session import cut_lineage
 
 KEY = "doc_id"
@@ -214,6 +214,17 @@ def stacking(spark, folder):
     return models.scored_predictions(_stack(rows), rows, KEY)
 
 
+def stack_grid(spark, folder):
+    """Train and cross-validated AUC of stacks over base and top parameters; each base is fitted once per fold."""
+    rows, _ = _training(spark, folder)
+    bases = {
+        "forest": {f"depth {d}": models.random_forest(10, d) for d in (5, 10)},
+        "logistic": {f"C={c}": models.logistic(models.weight_sum(rows), c, "l1") for c in (1, 5)},
+    }
+    report = stacks.tune_stack(bases, rows, KEY, FOLDS, (0.1, 1.0, 10.0))[1]
+    return report.select("point", *[rounded(F.col(c), c, 5) for c in ("train_auc", "cv_auc", "cv_std")], "best")
+
+
 def fitted_comparison(spark, folder):
     """Accuracy, precision, recall, F1 and AUC of five models on held-out documents."""
     rows, _ = _training(spark, folder)
@@ -306,6 +317,7 @@ QUERIES = {
     "select_by_importance": select_by_importance,
     "recursive_elimination": recursive_elimination,
     "stacking": stacking,
+    "stack_grid": stack_grid,
     "fitted_comparison": fitted_comparison,
     "importance_rank": importance_rank,
     "fitted_attribution": fitted_attribution,
