@@ -7,6 +7,7 @@ seeks over the payload of every record that is not wanted.
 
 from __future__ import annotations
 
+import gzip
 import json
 import uuid
 from collections.abc import Iterator
@@ -98,12 +99,32 @@ def _open(path: str):
     return found.open_input_file(inner)
 
 
+def plain(file):
+    """`file` itself, or its content when it is compressed member by member with gzip, as public crawls are."""
+    magic = file.read(2)
+    file.seek(0)
+    return gzip.GzipFile(fileobj=file) if magic == b"\x1f\x8b" else file
+
+
+def _skip(file, length: int, size: int | None) -> None:
+    to = file.tell() + length
+    at = file.seek(length, 1)
+    if at < to or (size is not None and at > size):
+        raise ValueError("the archive ends inside a record")
+
+
 def scan(file, wanted=lambda headers: True, payload: bool = True) -> Iterator[tuple[dict, bytes | None]]:
     """(headers, payload) of the wanted records of an open archive; other blocks are skipped unread.
 
     A block of type application/http loses its HTTP head. Blank lines between
-    records are skipped; a file that ends inside a record raises.
+    records are skipped; a file that ends inside a record raises, also inside
+    one that is skipped. Compressed files are unpacked as they are read.
     """
+    size = None
+    if not isinstance(file, gzip.GzipFile):
+        here = file.tell()
+        size = file.seek(0, 2)
+        file.seek(here)
     while line := file.readline():
         if not line.strip():
             continue
@@ -115,10 +136,10 @@ def scan(file, wanted=lambda headers: True, payload: bool = True) -> Iterator[tu
             headers[name.strip().lower()] = value.strip()
         length = int(headers.get("content-length", 0))
         if not wanted(headers):
-            file.seek(length, 1)
+            _skip(file, length, size)
             continue
         if not payload:
-            file.seek(length, 1)
+            _skip(file, length, size)
             yield headers, None
             continue
         block = file.read(length)
@@ -160,7 +181,7 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         held = 0
         with _open(partition.path) as file:
-            for headers, payload in scan(file, wanted, self.payload):
+            for headers, payload in scan(plain(file), wanted, self.payload):
                 rows.append({name: headers.get(header) for name, header in HEADERS.items()} | {"payload": payload})
                 held += len(payload or b"") + 500
                 if held >= BATCH_BYTES:

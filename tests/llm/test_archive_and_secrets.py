@@ -1,6 +1,7 @@
 """WARC round trip, secret scan and the registered SQL."""
 
 import base64
+import gzip
 import hashlib
 import io
 import re
@@ -58,6 +59,24 @@ def test_warc_headers_first():
     assert [p for _, p in warc.scan(Counting(archive), payload=False)] == [None] * 3
     with pytest.raises(ValueError):
         list(warc.scan(io.BytesIO(archive[:-8])))
+    for cut in (archive[:-8], archive[:-5]):  # also when the record that is cut is skipped
+        for left in (dict(payload=False), dict(wanted=lambda h: False)):
+            with pytest.raises(ValueError):
+                list(warc.scan(io.BytesIO(cut), **left))
+    assert [p for _, p in warc.scan(io.BytesIO(archive[:-4]))] == [b"hello"] * 3
+
+
+def test_compressed_archives(spark, tmp_path):
+    record = "WARC/1.1\r\nWARC-Type: {}\r\nWARC-Record-ID: <urn:x:{}>\r\nContent-Length: {}\r\n\r\n{}\r\n\r\n"
+    members = [gzip.compress(record.format("response" if k % 2 else "request", k, 1000 + k, "x" * (1000 + k)).encode()) for k in range(50)]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(members))
+    (tmp_path / "b.warc").write_bytes(record.format("response", 99, 2, "ok").encode())
+    found = warc.read_warc(spark, str(tmp_path)).filter("record_type = 'response'").collect()
+    assert sorted((r["record_id"], len(r["payload"])) for r in found) == sorted([(f"<urn:x:{k}>", 1000 + k) for k in range(1, 50, 2)] + [("<urn:x:99>", 2)])
+    assert warc.read_warc(spark, str(tmp_path), payload=False).count() == 51
+    for cut in (b"".join(members)[:-30], gzip.compress(record.format("request", 1, 500, "short").encode())):
+        with pytest.raises((ValueError, EOFError)):
+            list(warc.scan(warc.plain(io.BytesIO(cut)), payload=False))
 
 
 def test_warc_takes_header_predicates():
