@@ -71,6 +71,12 @@ def document_vocabulary(spark, folder):
     return voc.vocabulary(_document_words(spark, folder))
 
 
+def split_vocabulary(spark, folder):
+    """One vocabulary over training texts (documents) and validation texts (messages)."""
+    words = voc.stack_splits({"train": _document_words(spark, folder).select("word"), "valid": _chat_words(spark, folder).select("word")})
+    return voc.split_vocabulary(words, ["train", "valid"])
+
+
 def oov_tokens(spark, folder):
     known = _document_words(spark, folder).select("word").distinct()
     return voc.out_of_vocabulary(_chat_words(spark, folder), known)
@@ -171,6 +177,7 @@ QUERIES = {
     "html_words": html_words,
     "stopword_filter": stopword_filter,
     "vocabulary": document_vocabulary,
+    "split_vocabulary": split_vocabulary,
     "oov_tokens": oov_tokens,
     "first_seen_index": first_seen_index,
     "mark_index": mark_index,
@@ -266,6 +273,13 @@ SQL = {
         SELECT conv_id, turn, array_to_string(list_filter(words, lambda w: w NOT IN ({", ".join(f"'{w}'" for w in STOPWORDS)})),
         ' ') AS text FROM ({_CHAT})""",
     "vocabulary": f"WITH {_VOCABULARY} SELECT word, freq, ix FROM vocabulary",
+    "split_vocabulary": f"""
+        WITH {_VOCABULARY},
+        every AS (SELECT word, 1 AS t, 0 AS v, 1 AS n FROM doc_words UNION ALL SELECT word, 0, 1, 1 FROM chat_words
+                  UNION ALL SELECT '[PAD]', 0, 0, 0 UNION ALL SELECT '[UNKNOWN]', 0, 0, 0)
+        SELECT word, CAST(sum(n) AS BIGINT) AS freq, row_number() OVER (ORDER BY substr(md5(word), 1, 3), word) - 1 AS ix,
+               CAST(sum(t) AS BIGINT) AS in_train, CAST(sum(v) AS BIGINT) AS in_valid
+        FROM every GROUP BY word""",
     "oov_tokens": f"WITH {_VOCABULARY} SELECT DISTINCT word FROM chat_words ANTI JOIN doc_words USING (word)",
     "first_seen_index": f"WITH {_TAGS} SELECT tag, ix FROM tags",
     "mark_index": """

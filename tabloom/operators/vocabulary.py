@@ -45,6 +45,24 @@ def vocabulary(words: DataFrame, word: str = "word", specials: Sequence[str] = (
     return ranked.select("word", "freq", (F.col("ix") - 1).alias("ix"))
 
 
+def stack_splits(splits: dict[str, DataFrame], name: str = "split") -> DataFrame:
+    """The rows of all frames with the name of their split; a column that one of them lacks is null there."""
+    named = [df.withColumn(name, F.lit(split)) for split, df in splits.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+def split_vocabulary(words: DataFrame, splits: Sequence[str], word: str = "word", split: str = "split") -> DataFrame:
+    """word, freq, ix as `vocabulary` over all splits, and in_<split>: how often the word stands in each.
+
+    One index for training and validation, which also tells the words that
+    training never sees. A special entry stands in no split.
+    """
+    each = words.groupBy(F.col(word).alias("word")).agg(*[F.count_if(F.col(split) == s).alias(f"in_{s}") for s in splits])
+    whole = vocabulary(words, word)
+    counts = [F.coalesce(f"in_{s}", F.lit(0).cast("long")).alias(f"in_{s}") for s in splits]
+    return whole.join(each, "word", "left").select("word", "freq", "ix", *counts)
+
+
 def first_seen_index(
     df: DataFrame, mark: str, order: Sequence[str], fixed: Sequence[str] = (), parts: int | None = None
 ) -> DataFrame:

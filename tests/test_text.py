@@ -179,3 +179,17 @@ def test_embed_fills_missing_words(spark):
     second = spark.createDataFrame([("b", [3.0])], "word string, vec array<float>")
     got = {r.word: r.vector for r in voc.embed(words, "word", [(first, 2), (second, 1)]).collect()}
     assert got == {"a": [1.0, 2.0, 0.0], "b": [0.0, 0.0, 3.0]}
+
+
+def test_one_vocabulary_over_splits(spark):
+    from tabloom.operators import vocabulary as voc
+
+    train = spark.createDataFrame([("a",), ("b",), ("a",)], "word string")
+    valid = spark.createDataFrame([("b", 1), ("c", 2)], "word string, more int")
+    both = voc.stack_splits({"train": train, "valid": valid})
+    assert set(both.columns) == {"word", "split", "more"}
+    rows = {r["word"]: r for r in voc.split_vocabulary(both, ["train", "valid"]).collect()}
+    assert {w: (r["freq"], r["in_train"], r["in_valid"]) for w, r in rows.items()} == {
+        "a": (2, 2, 0), "b": (2, 1, 1), "c": (1, 0, 1), voc.PAD: (0, 0, 0), voc.UNKNOWN: (0, 0, 0)
+    }
+    assert sorted(r["ix"] for r in rows.values()) == list(range(5))
