@@ -97,7 +97,7 @@ def logistic_coefficients(spark, folder):
     slots = tuple(range(size))
     specs = [logits.Logit(f"{'l1' if l1 else 'l2'}, {held}", slots, 1.0, l1, held) for l1 in (True, False) for held in (None, 0, 1)]
     found = logits.coefficients(logits.fit_logits(rows, specs, fold="fold"), rows)
-    return found.select("model", "slot", rounded(F.col("value"), "value", 5))
+    return found.select("model", "slot", (F.round("value", 5) + F.lit(0.0)).alias("value"))  # no negative zero
 
 
 def fit_tree(spark, folder):
@@ -274,7 +274,7 @@ def tree_attribution(spark, folder):
     nodes = attribution.nodes_of_splits(parts, PART_SPLITS, columns, F.col("p_type").contains("STEEL"))
     rows = parts.select("p_partkey", F.array(*columns).alias("x"))
     found = attribution.tree_attribution(rows, attribution.tree_paths(nodes), ["p_partkey"], len(columns))
-    return found.select("p_partkey", "feature", rounded(F.col("value"), "value", 9))
+    return found.select("p_partkey", "feature", (F.round("value", 9) + F.lit(0.0)).alias("value"))  # no negative zero
 
 
 def forest_attribution(spark, folder):
@@ -424,7 +424,7 @@ _TREE_ATTRIBUTION = f"""
     reached AS (SELECT p_partkey, leaf, s, product(CASE WHEN s & (1 << feature) <> 0 THEN o ELSE z END) AS share
                 FROM o JOIN shares USING (leaf, feature), subsets GROUP BY p_partkey, leaf, s),
     f AS (SELECT p_partkey, s, sum(share * value) AS f FROM reached JOIN sizes USING (leaf) GROUP BY p_partkey, s)
-    SELECT a.p_partkey, i AS feature, round(sum((b.f - a.f) * [6, 2, 2, 6][bit_count(a.s) + 1] / 24.0), 9) AS value
+    SELECT a.p_partkey, i AS feature, round(sum((b.f - a.f) * [6, 2, 2, 6][bit_count(a.s) + 1] / 24.0), 9) + 0.0 AS value
     FROM f a, (SELECT CAST(unnest(range(4)) AS INTEGER) AS i) features
     JOIN f b ON b.p_partkey = a.p_partkey AND b.s = a.s | (1 << i) AND a.s & (1 << i) = 0
     GROUP BY a.p_partkey, i"""
@@ -442,7 +442,7 @@ SQL = {
     "fit_logistic": f"""WITH RECURSIVE {_fits(_L1)}
         SELECT doc_id, y AS truth, CAST(score > 0.5 AS INTEGER) AS pred, round(score, 5) AS score FROM scored""",
     "logistic_coefficients": f"""WITH RECURSIVE {_fits(_BOTH)}
-        SELECT model, CAST(CASE WHEN k = len(beta) THEN -1 ELSE k - 1 END AS INTEGER) AS slot, round(beta[k], 5) AS value
+        SELECT model, CAST(CASE WHEN k = len(beta) THEN -1 ELSE k - 1 END AS INTEGER) AS slot, round(beta[k], 5) + 0.0 AS value
         FROM (SELECT model, beta, unnest(range(1, len(beta) + 1)) AS k FROM fit WHERE step = 25)""",
     "score_table": f"""WITH RECURSIVE {_fits(_L2.format(held=1), _IN_PARTS)}
         SELECT doc_id, round(score, 5) AS score FROM scored WHERE fold = held""",
