@@ -46,6 +46,7 @@ RECALL = 0.9999
 SPLIT = " \t\n\r\f\v"
 KNOWN_WORDS = 100_000
 BROADCAST_SETS = 1_000_000
+BATCH_MEGABYTES = 4
 
 _RNG = np.random.default_rng(20240501)
 _FACTORS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -99,7 +100,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 def text_sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(id, key, size, samples) of docs (id, text); key is a digest of the whole set, null for a text without words."""
-    whole_batches(docs.sparkSession)
+    whole_batches(docs.sparkSession, BATCH_MEGABYTES)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
