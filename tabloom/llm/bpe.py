@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.common import table, whole_batches
 
-MOST_STATES = 200_000
-MOST_WORDS = 500_000
+MOST_STATES = 100_000
+MOST_WORDS = 250_000
 CHUNK = 1 << 16
 
 
@@ -336,7 +336,7 @@ def round_trip(texts: DataFrame, data: bytes, pattern: str, id_column: str = "do
     Texts of any length are worked off in pieces.
     """
     spark = texts.sparkSession
-    whole_batches(spark)
+    whole_batches(spark, 4)
     shipped = spark.sparkContext.broadcast(data)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
