@@ -5,7 +5,6 @@ import hashlib
 import corpus_pipeline
 import pytest
 from tiktoken import Encoding
-from tiktoken.load import load_tiktoken_bpe
 from pyspark.sql import functions as F
 from test_duplicates import near_by_brute_force
 
@@ -61,8 +60,8 @@ def test_stages_against_brute_force(spark):
         rows = steps[name](rows)
         assert key(kept) == key(rows) and len(rows) < before, name
         docs = spark.createDataFrame(kept, docs.schema)
-    path, pattern = bpe.public_vocabulary()
-    ranks = load_tiktoken_bpe(str(path))
+    data, pattern = bpe.public_vocabulary()
+    ranks = bpe.parse_ranks(data)
     coder = Encoding("test", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     wanted = {r["doc_id"]: coder.encode_ordinary(r["text"]) for r in rows}
     last = corpus_pipeline.run(spark, FOLDER).collect()
