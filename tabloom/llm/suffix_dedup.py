@@ -38,7 +38,7 @@ CHUNK = 1 << 20
 BUCKET_ROWS = 250_000
 SAMPLED_DOCUMENTS = 2_000
 SAMPLED_ANCHORS = 64
-GROUP_ROWS = 131_072
+GROUP_ROWS = 65_536
 
 _KINDS = (np.int64, np.int32, np.int64, np.int32)  # lead, rest, id, at
 
@@ -374,7 +374,11 @@ def _later_strings(rows: pd.DataFrame) -> pd.DataFrame:
     earliest = row[first[inverse]]
     later = (doc[earliest] != doc[row]) | (place[earliest] != place[row])  # a repeated row is not earlier than itself
     row, x, earliest = row[later], x[later], earliest[later]
-    same = _same_bytes(rows["around"], low, high, row, earliest, x)
+    del strings, first, inverse
+    same = np.empty(len(row), bool)
+    for begin in range(0, len(row), 1 << 19):
+        some = slice(begin, begin + (1 << 19))
+        same[some] = _same_bytes(rows["around"], low, high, row[some], earliest[some], x[some])
     return _spans(doc[row[same]], place[row[same]] - x[same])
 
 
@@ -506,7 +510,7 @@ def remove_repeats(
     Ids must be integers.
     """
     spark = docs.sparkSession
-    whole_batches(spark)
+    whole_batches(spark, 8)
     wanted = docs.select(docs[id_column].cast("bigint").alias("id"), F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"))
     wanted = wanted.filter(F.col("id").isNotNull())
     size = F.octet_length("text")
