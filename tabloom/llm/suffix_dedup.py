@@ -38,7 +38,7 @@ CHUNK = 1 << 20
 BUCKET_ROWS = 250_000
 SAMPLED_DOCUMENTS = 2_000
 SAMPLED_ANCHORS = 64
-GROUP_ROWS = 65_536
+GROUP_ROWS = 16_384
 
 _KINDS = (np.int64, np.int32, np.int64, np.int32)  # lead, rest, id, at
 
