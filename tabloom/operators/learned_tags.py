@@ -5,17 +5,20 @@ The score of a tagging is the sum of a weight per (token feature, tag) and per
 inside each sentence, so a step of the fit is one pass over stored sentences
 that adds up, map-side first, the expected less the observed count of each
 weight. Only these sums, as many as there are weights, reach the driver, where
-L-BFGS picks the next weights.
+L-BFGS picks the next weights. The passes of a fit read Arrow batches and fold
+many sentences at once; `count_differences` has the same sums as expressions.
 """
 
 from __future__ import annotations
 
 import json
 from collections import deque
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,8 @@ MEMORY = 8
 TOLERANCE = 1e-4
 #: The most weights of a model; they are sent to every task.
 MOST_WEIGHTS = 4_000_000
+#: Numbers that a fold over many sentences holds at once, besides those of its longest sentence.
+CELLS = 1 << 20
 
 
 def token_features(tokens: str, size: int = FEATURES) -> Column:
@@ -178,10 +183,100 @@ def count_differences(scored: DataFrame, tags: str = "tags", features: str = "fe
     return opened.groupBy("kind", "slot", "tag").agg(F.sum("value").alias("value"))
 
 
+def _lse_rows(scores: np.ndarray, axis: int) -> np.ndarray:
+    top = scores.max(axis=axis, keepdims=True)
+    return np.log(np.exp(scores - top).sum(axis=axis)) + top.squeeze(axis)
+
+
+class _Sums:
+    """Expected less observed counts and the loss, added up over runs of sentences."""
+
+    def __init__(self, model: TagModel):
+        self.k = len(model.tags)
+        self.weights, self.between = model.emit, model.step[: self.k, : self.k]
+        self.start, self.stop = model.step[self.k, : self.k], model.step[: self.k, self.k]
+        self.emit, self.step, self.loss = np.zeros_like(model.emit), np.zeros_like(model.step), 0.0
+
+    def add(self, sizes: np.ndarray, given: np.ndarray, counts: np.ndarray, features: np.ndarray) -> None:
+        """Sentences of `sizes` tokens, at least one each, with the places of their tags, and `counts` features per token."""
+        k, n = self.k, len(given)
+        owner = np.repeat(np.arange(n), counts)
+        emit = np.stack([np.bincount(owner, self.weights[features, t], n) for t in range(k)], axis=1)
+        first = np.cumsum(sizes) - sizes
+        last = first + sizes - 1
+        order = np.argsort(-sizes, kind="stable")
+        begin, length = first[order], sizes[order]
+        open_ = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")  # sentences with a token at each place
+        before, after = np.empty((n, k)), np.empty((n, k))
+        before[first] = self.start + emit[first]
+        for t in range(1, length[0]):
+            at = begin[: open_[t]] + t
+            before[at] = _lse_rows(before[at - 1][:, :, None] + self.between, 1) + emit[at]
+        after[last] = self.stop
+        for t in range(length[0] - 1, 0, -1):
+            at = begin[: open_[t]] + t
+            after[at - 1] = _lse_rows(self.between + (emit[at] + after[at])[:, None, :], 2)
+        whole = _lse_rows(before[last] + self.stop, 1)
+        all_ = np.repeat(whole, sizes)
+        off = np.exp(before + after - all_[:, None])
+        off[np.arange(n), given] -= 1.0
+        for t in range(k):
+            self.emit[:, t] += np.bincount(features, off[owner, t], len(self.emit))
+        inner = np.delete(np.arange(n), last)
+        for some in np.array_split(inner, 1 + len(inner) * k * k // CELLS):
+            chances = before[some][:, :, None] + self.between + (emit[some + 1] + after[some + 1])[:, None, :] - all_[some][:, None, None]
+            self.step[:k, :k] += np.exp(chances).sum(axis=0)
+        np.subtract.at(self.step, (given[inner], given[inner + 1]), 1.0)
+        self.step[k, :k] += off[first].sum(axis=0)
+        self.step[:k, k] += off[last].sum(axis=0)
+        own = emit[np.arange(n), given].sum() + self.between[given[inner], given[inner + 1]].sum() + self.start[given[first]].sum() + self.stop[given[last]].sum()
+        self.loss += float(whole.sum() - own)
+
+    def rows(self) -> pa.RecordBatch:
+        """(kind, slot, tag, value) of all sums that are not zero."""
+        kinds, slots, tags, values = ["loss"], [np.zeros(1, int)], [np.zeros(1, int)], [np.array([self.loss])]
+        for kind, table in (("emit", self.emit), ("step", self.step)):
+            slot, tag = np.nonzero(table)
+            kinds += [kind] * len(slot)
+            slots, tags, values = [*slots, slot], [*tags, tag], [*values, table[slot, tag]]
+        columns = [pa.array(kinds), pa.array(np.concatenate(slots), pa.int32()), pa.array(np.concatenate(tags), pa.int32()), pa.array(np.concatenate(values))]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "slot", "tag", "value"])
+
+
+def summed_differences(sentences: DataFrame, model: TagModel, tags: str = "tags", features: str = "features") -> DataFrame:
+    """(kind, slot, tag, value) as `count_differences`, without cells that are zero, from sentences without scores.
+
+    Each task folds runs of about CELLS numbers, one step for all their
+    sentences, and hands on one table of sums. Sentences without tokens add
+    nothing.
+    """
+    most = max(1, CELLS // len(model.tags) ** 2)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums(model)
+        for batch in batches:
+            listed, nested = batch.column("tags"), batch.column("features")
+            sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False)
+            given = pc.index_in(listed.flatten(), pa.array(model.tags)).to_numpy(zero_copy_only=False)
+            tokens = nested.flatten()
+            counts, slots = pc.list_value_length(tokens).to_numpy(zero_copy_only=False), tokens.flatten().to_numpy(zero_copy_only=False)
+            ends, slot_ends = np.cumsum(sizes), np.concatenate([[0], np.cumsum(counts)])
+            cuts = [0, *(np.flatnonzero(np.diff((ends - 1) // most)) + 1), len(sizes)]
+            for a, b in zip(cuts, cuts[1:]):
+                low, high = (ends[a - 1] if a else 0), (ends[b - 1] if b else 0)
+                if high > low:
+                    sums.add(sizes[a:b], given[low:high], counts[low:high], slots[slot_ends[low] : slot_ends[high]])
+        yield sums.rows()
+
+    ready = sentences.select(F.col(tags).alias("tags"), F.col(features).alias("features")).filter(F.size("features") > 0)
+    found = ready.mapInArrow(run, "kind string, slot int, tag int, value double")
+    return found.groupBy("kind", "slot", "tag").agg(F.sum("value").alias("value"))
+
+
 def _objective(sentences: DataFrame, model: TagModel, tags: str, penalty: float) -> tuple[float, np.ndarray]:
     """Penalised negative log-likelihood and its slope at the weights of `model`."""
     emit, step, loss = np.zeros_like(model.emit), np.zeros_like(model.step), 0.0
-    for kind, slot, tag, value in count_differences(with_learned_emissions(sentences, model), tags).collect():
+    for kind, slot, tag, value in summed_differences(sentences, model, tags).collect():
         if kind == "loss":
             loss = value
         else:

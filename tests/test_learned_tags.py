@@ -88,6 +88,26 @@ def test_slope_equals_enumeration(short):
     assert np.allclose(found_emit, emit, atol=1e-9) and np.allclose(found_step, step, atol=1e-9)
 
 
+def test_summed_differences_equal_the_expressions(short, spark, monkeypatch):
+    """Many sentences folded at once, runs of one to a few sentences, and a token without features."""
+    _, df = short
+    df = df.unionByName(spark.createDataFrame([(100, [[1, 2], [], [3]], ["A", "C", "B"])], df.schema))
+    model = random_model(4)
+    scored = learned_tags.with_learned_emissions(df, model)
+    expected = {(r["kind"], r["slot"], r["tag"]): r["value"] for r in learned_tags.count_differences(scored).collect()}
+    for cells in (9, 60, learned_tags.CELLS):
+        monkeypatch.setattr(learned_tags, "CELLS", cells)
+        found = {(r["kind"], r["slot"], r["tag"]): r["value"] for r in learned_tags.summed_differences(df, model).collect()}
+        assert set(found) <= set(expected)
+        assert all(found.get(cell, 0.0) == pytest.approx(value, abs=1e-9) for cell, value in expected.items())
+
+
+def test_a_step_of_the_fit_moves_one_table_of_sums_per_task(short):
+    """The sums are added up inside the tasks: no row per token, feature and tag stands in the plan of a step."""
+    plan = learned_tags.summed_differences(short[1], random_model())._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
 def test_learned_scores_work_with_the_path_operators(short):
     rows, df = short
     model = random_model(2)
