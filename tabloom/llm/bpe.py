@@ -47,16 +47,17 @@ class Transducer:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.edges: dict[int, int] = {}
         self.token_at: list[int] = [-1]
-        self.inner: set[int] = set()
+        self.inner = bytearray(1)  # 1: a longer token goes on from this node
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                self.inner.add(node)
+                self.inner[node] = 1
                 node = self.edges.setdefault(node << 8 | byte, len(self.token_at))
                 if node == len(self.token_at):
                     self.token_at.append(-1)
+                    self.inner.append(0)
             self.token_at[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.parts: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.edge_parts: dict[tuple[bytes, int], list] = {}
         self._reset()
@@ -109,40 +110,46 @@ class Transducer:
         Each of the two is made by its own merges unless parts at the border
         join first: at equal rank the merge further left goes first.
         """
-        key = (last, token)
+        key = last << 32 | token
         known = self.pairs.get(key)
         if known is None:
-            right = self.bytes_of[token]
             if last < 0:
+                right = self.bytes_of[token]
                 known = len(right) == 1 or self.halves(right) is not None
-            elif known := self.fits(-1, token):
-                for p, p_until in self.edge(self.bytes_of[last], 1):
-                    for q, q_until in self.edge(right, 0):
-                        rank = self.ranks.get(p + q)
-                        if rank is not None and rank < p_until and rank <= q_until:
-                            known = False
+            else:
+                known = self.fits(-1, token) and not self._crossed(self.bytes_of[last], self.bytes_of[token])
             if len(self.pairs) > 4 * MOST_STATES:
                 self.pairs.clear()
             self.pairs[key] = known
         return known
 
+    def _crossed(self, left: bytes, right: bytes) -> bool:
+        """Whether parts of two tokens join across their border before the tokens are complete."""
+        get, starts = self.ranks.get, self.edge(right, 0)
+        for p, p_until in self.edge(left, 1):
+            for q, q_until in starts:
+                rank = get(p + q)
+                if rank is not None and rank < p_until and rank <= q_until:
+                    return True
+        return False
+
     def _step(self, state: int, byte: int) -> tuple:
         reached, whole = [], None  # from the earliest start of the open token to the latest
+        edges, inner, token_at = self.edges, self.inner, self.token_at
         for last, node, pending in self.states[state]:
-            to = self.edges.get(node << 8 | byte)
+            to = edges.get(node << 8 | byte)
             if to is None:
                 continue
-            if to in self.inner:
+            if inner[to]:
                 reached.append((last, to, pending))
-            token = self.token_at[to]
-            if whole is None and token >= 0 and self.fits(last, token):  # an encoding is unique: look no further
+            if whole is None and (token := token_at[to]) >= 0 and self.fits(last, token):  # an encoding is unique: look no further
                 whole = (token, 0, (*pending, token))
         reached.append(whole)
-        shortest = min((c[2] for c in reached), key=len)
+        shortest = min([c[2] for c in reached], key=len)
         agreed = len(shortest)
-        while any(c[2][:agreed] != shortest[:agreed] for c in reached):
+        while agreed and any([c[2][:agreed] != shortest[:agreed] for c in reached]):
             agreed -= 1
-        following = tuple([(last, node, pending[agreed:]) for last, node, pending in reached])
+        following = tuple([(last, node, pending[agreed:]) for last, node, pending in reached] if agreed else reached)
         if len(self.states) >= MOST_STATES:
             return -1, following, shortest[:agreed]
         done = self.steps[state << 8 | byte] = (self._number(following), shortest[:agreed])
@@ -270,6 +277,29 @@ def pieces_of(text: str, chunk: int = CHUNK) -> Iterator[str]:
     yield text[start:]
 
 
+class Words(dict):
+    """Decimal ids of words, made when first asked for.
+
+    At most MOST_WORDS are kept: when the newer half is full it becomes the
+    older one, whose words come back when they are met again. So the frequent
+    words stay, however many rare ones pass.
+    """
+
+    def __init__(self, transducer: Transducer):
+        self.encode, self.older = transducer.encode, {}
+
+    def __missing__(self, word: str) -> str:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = ",".join(map(str, self.encode(word.encode("utf-8"))))
+        if len(word) <= 64:
+            if len(self) >= MOST_WORDS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Codec:
     """Encodes and decodes whole texts with one vocabulary; lives as long as a Python worker."""
 
@@ -278,35 +308,22 @@ class Codec:
         self.split = regex.compile(pattern)
         self.split_latin = re.compile(latin_pattern(pattern))
         self.latin = re.compile("[\x00-\u024f]*")
-        self.words: dict[str, str] = {}
+        self.words = Words(self.transducer)
         self.bytes_of = {str(rank): token for rank, token in self.transducer.bytes_of.items()}
 
-    def word(self, word: str) -> str:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = ",".join(map(str, self.transducer.encode(word.encode("utf-8"))))
-            if len(self.words) >= MOST_WORDS:
-                self.words.clear()
-            if len(word) <= 64:
-                self.words[word] = ids
-        return ids
-
     def encode(self, text: str) -> Iterator[str]:
         """Decimal ids joined by commas, piece by piece."""
-        known = self.words
+        word = self.words.__getitem__
         for piece in pieces_of(text):
             if len(piece) > 2 * CHUNK:  # one long run without a border: never all matches at once
                 matches = (m.group() for m in self.split.finditer(piece))
                 while part := list(islice(matches, CHUNK)):
-                    yield ",".join(map(self.word, part))
+                    yield ",".join(map(word, part))
                 continue
             latin = piece.isascii() or self.latin.fullmatch(piece)
             parts = (self.split_latin if latin else self.split).findall(piece)
             if parts:
-                try:
-                    yield ",".join([known[p] for p in parts])
-                except KeyError:
-                    yield ",".join(map(self.word, parts))
+                yield ",".join(map(word, parts))
 
     def decode(self, ids: Iterable[str]) -> Iterator[str]:
         """Text of the ids, piece by piece."""

@@ -51,6 +51,16 @@ def test_bpe_states_may_be_dropped(vocabulary, monkeypatch):
         assert transducer.encode(word) == ([transducer.ranks[word]] if word in transducer.ranks else transducer.merge(word))
 
 
+def test_frequent_words_stay_however_many_rare_ones_pass(vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_WORDS", 16)
+    codec, met = bpe.Codec(bpe.parse_ranks(vocabulary[0]), vocabulary[1]), []
+    encode = codec.transducer.encode
+    monkeypatch.setattr(codec.words, "encode", lambda data: met.append(data) or encode(data))
+    text = "".join(f" hotzqx rare{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(100))
+    assert "".join(codec.decode(codec.encode(text))) == text
+    assert met.count(b" hotzqx") == 1 and len(set(met)) == 101 and len(codec.words) + len(codec.words.older) <= 16
+
+
 def test_utf8_machine_cut_anywhere():
     data = "aé日😀\ufffdz".encode() + b"\xe2\x82"
     for cut in range(len(data)):
