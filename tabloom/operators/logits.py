@@ -1,9 +1,10 @@
 """Many logistic models at once by Newton steps on shared aggregates.
 
 All models of a batch - columns of a univariate scan, folds, penalties, or all
-of them crossed - see the same stored rows. In each step every row meets the
-coefficients of every model that is not finished and may use it; one aggregate,
-keyed by the model, adds up gradients and weighted Gram matrices. What comes
+of them crossed - see the same stored rows. In each step every batch of rows
+meets the coefficients of every model that is not finished, and each task adds up
+gradients and weighted Gram matrices of the rows that a model may use; one
+aggregate, keyed by the model, adds up the tasks. What comes
 to the driver is models x slots^2 numbers, whatever the number of rows; there
 each model solves its small system. A batch takes as many jobs as its slowest
 model takes steps, usually below ten, instead of a job chain per fit.
@@ -12,15 +13,16 @@ model takes steps, usually below ten, instead of a job chain per fit.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators import evaluate
-from tabloom.operators.gram import LINEAR, TOTAL, gram
+from tabloom.operators.gram import LINEAR, TOTAL
 
 STEPS = 50
 TOLERANCE = 1e-10
@@ -71,6 +73,39 @@ def _met(df: DataFrame, models: list[Fitted], features: str, kept: Sequence[str]
     return met.select(*kept, "model", "held", "__x", score.alias("__z")), width + 1
 
 
+def _descend(found: np.ndarray, offset: np.ndarray, curve: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, bool]:
+    """From `found` towards the minimum for the slots that are not zero, a slot that would change its sign staying at zero.
+
+    Along slots that can replace each other only the penalty falls. Returns the
+    point and whether no slot at zero wants to leave it, which makes it the minimum.
+    """
+    found = found.copy()
+    for _ in range(len(found) + 1):
+        open_ = (found != 0) | (bound == 0)
+        pull, own = (np.sign(found) * bound)[open_], found[open_]
+        sizes, ways = np.linalg.eigh(curve[np.ix_(open_, open_)])
+        whole = sizes[0] > 1e-12 * sizes[-1]
+        if whole:
+            move = ways @ (ways.T @ -(offset[open_] + pull) / sizes) - own
+        elif abs(tilt := pull @ ways[:, 0]) > 1e-9 * bound.max():
+            move = -np.sign(tilt) * ways[:, 0]
+        else:
+            return found, False
+        share = np.full(len(own), np.inf)
+        falls = (bound[open_] > 0) & (own * move < 0)
+        share[falls] = -own[falls] / move[falls]
+        k = int(share.argmin())
+        if whole and share[k] >= 1:
+            found[open_] = own + move
+            return found, bool((np.abs(curve @ found + offset) <= bound * (1 + 1e-9))[~open_].all())
+        if not np.isfinite(share[k]):
+            return found, False
+        own = own + share[k] * move
+        own[k] = 0.0
+        found[open_] = own
+    return found, False
+
+
 def _solve(beta: np.ndarray, gradient: np.ndarray, curve: np.ndarray, spec: Logit) -> np.ndarray:
     """The minimum of the quadratic model of the penalised loss around `beta`."""
     size = len(beta)
@@ -81,7 +116,7 @@ def _solve(beta: np.ndarray, gradient: np.ndarray, curve: np.ndarray, spec: Logi
         return beta - np.linalg.lstsq(curve + ridge, slope, rcond=1e-14)[0]
     bound = np.append(np.full(size - 1, strength), 0.0)
     offset, found = gradient - curve @ beta, beta.copy()
-    for _ in range(2_000):
+    for sweep in range(2_000):
         moved = 0.0
         for k in range(size):
             own = curve[k, k]
@@ -90,6 +125,10 @@ def _solve(beta: np.ndarray, gradient: np.ndarray, curve: np.ndarray, spec: Logi
             moved, found[k] = max(moved, abs(value - found[k])), value
         if moved < TOLERANCE / 10:
             break
+        if sweep % 10 == 9:
+            found, least = _descend(found, offset, curve, bound)
+            if least:
+                break
     return found
 
 
@@ -101,17 +140,60 @@ def _penalty(m: Fitted, beta: np.ndarray) -> float:
 
 def _advance(m: Fitted, gradient: np.ndarray, curve: np.ndarray, loss: float) -> None:
     """One Newton step of a model from the sums at its coefficients; back half the way when the last one raised the loss."""
-    own = [*range(len(m.spec.slots)), len(gradient) - 1]
     total = loss + _penalty(m, m.beta)
     m.steps += 1
     if m.previous is not None and total > m.loss + 1e-9 * abs(m.loss) and np.abs(m.beta - m.previous).max() > 1e-12:
         m.beta = (m.beta + m.previous) / 2
         return
-    new = _solve(m.beta, gradient[own], curve[np.ix_(own, own)], m.spec)
+    new = _solve(m.beta, gradient, curve, m.spec)
     m.done = bool(np.abs(new - m.beta).max() <= TOLERANCE * max(1.0, np.abs(new).max()))
     m.previous, m.beta, m.loss = m.beta, new, total
 
 
+def _sums(df: DataFrame, models: list[Fitted], features: str, label: str, weight: str, fold: str | None) -> DataFrame:
+    """(model, i, j, value): per model, by its place in the list, the sums over its rows at its coefficients: of weight *
+    p * (1 - p) * x_i * x_j for i <= j, (i, LINEAR) of weight * (p - label) * x_i, and (0, TOTAL) of the loss."""
+    slots = sorted({s for m in models for s in m.spec.slots})
+    places = {s: k for k, s in enumerate(slots)}
+    shared = [([places[s] for s in m.spec.slots], m.spec.held if fold else None, m.beta) for m in models]
+    taken = [F.get(F.col(features), F.lit(s)).cast("double") for s in slots]
+    held = F.col(fold).cast("int") if fold else F.lit(None).cast("int")
+    ready = df.select(F.array(*taken, F.lit(1.0)).alias("x"), F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w"), held.alias("fold"))
+
+    def known(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        there = column.is_valid().to_numpy(zero_copy_only=False)
+        return np.where(there, column.to_numpy(zero_copy_only=False), 0.0), there
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        curves = [np.zeros((len(own) + 1, len(own) + 1)) for own, _, _ in shared]
+        gradients, losses = [np.zeros(len(own) + 1) for own, _, _ in shared], np.zeros(len(shared))
+        for batch in batches:
+            (x, there), (y, labelled), (w, weighted), (folds, folded) = (known(c) for c in (batch.column("x").flatten(), *batch.columns[1:]))
+            x, there = x.reshape(-1, len(slots) + 1), there.reshape(-1, len(slots) + 1)
+            for k, (own, held, beta) in enumerate(shared):
+                used = weighted & there[:, own].all(axis=1)
+                if held is not None:
+                    used &= folded & (folds != held)
+                some, given = x[used][:, [*own, len(slots)]], w[used]
+                z = some @ beta
+                with np.errstate(over="ignore"):
+                    p = 1 / (1 + np.exp(-z))
+                curves[k] += (some * (given * p * (1 - p))[:, None]).T @ some
+                marked = labelled[used]
+                some, given, z, truth = some[marked], given[marked], z[marked], y[used][marked]
+                gradients[k] += some.T @ (given * (p[marked] - truth))
+                losses[k] += (given * (np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))) - truth * z)).sum()
+        for k, (curve, gradient) in enumerate(zip(curves, gradients)):
+            i, j = np.triu_indices(len(curve))
+            i = np.concatenate([i, np.arange(len(gradient)), [0]])
+            j = np.concatenate([j, np.full(len(gradient), LINEAR), [TOTAL]])
+            values = np.concatenate([curve[np.triu_indices(len(curve))], gradient, losses[k : k + 1]])
+            columns = [pa.array(np.full(len(i), k), pa.int32()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(values)]
+            yield pa.RecordBatch.from_arrays(columns, ["model", "i", "j", "value"])
+
+    return ready.mapInArrow(run, "model int, i int, j int, value double").groupBy("model", "i", "j").agg(F.sum("value").alias("value"))
+
+
 def fit_logits(
     df: DataFrame,
     specs: Sequence[Logit],
@@ -135,30 +217,21 @@ def fit_logits(
         raise ValueError("models need names of their own")
     if sum((len(s.slots) + 1) ** 2 for s in specs) > DRIVER_CELLS:
         raise ValueError("too many coefficients for one batch; fit fewer models at once")
-    kept = [label, weight, *([fold] if fold else [])]
     for _ in range(steps):
         open_ = [m for m in models if not m.done]
         if not open_:
             break
-        met, size = _met(df, open_, features, kept)
-        if fold:
-            met = met.filter(F.col("held").isNull() | (F.col(fold) != F.col("held")))
-        y, given, z = F.col(label).cast("double"), F.col(weight).cast("double"), F.col("__z")
-        rows = met.withColumn("__p", 1 / (1 + F.exp(-z)))
-        p = F.col("__p")
-        loss = given * (F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - y * z)
-        sums = gram(rows, "__x", size, given * p * (1 - p), given * (p - y), [loss], ["model"]).collect()
-        found = {m.spec.name: (np.zeros(size), np.zeros((size, size)), [0.0]) for m in open_}
-        for name, i, j, value in sums:
-            gradient, curve, total = found[name]
+        sizes = [len(m.beta) for m in open_]
+        found = [(np.zeros(n), np.zeros((n, n)), [0.0]) for n in sizes]
+        for k, i, j, value in _sums(df, open_, features, label, weight, fold).collect():
+            gradient, curve, total = found[k]
             if j == TOTAL:
-                total[0] = value or 0.0
+                total[0] = value
             elif j == LINEAR:
-                gradient[i] = value or 0.0
+                gradient[i] = value
             else:
-                curve[i, j] = curve[j, i] = value or 0.0
-        for m in open_:
-            gradient, curve, (total,) = found[m.spec.name]
+                curve[i, j] = curve[j, i] = value
+        for m, (gradient, curve, (total,)) in zip(open_, found):
             _advance(m, gradient, curve, total)
     return models
 

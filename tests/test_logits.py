@@ -149,3 +149,39 @@ def test_univariate_curves_match_single_fits(spark):
     for r in models.univariate_logistic(flat, ["a", "b"]).collect():
         assert found[r["feature"]]["slope"] == pytest.approx(r["slope"], rel=1e-3)
         assert found[r["feature"]]["intercept"] == pytest.approx(r["intercept"], rel=1e-3)
+
+
+def test_sums_of_many_models_without_a_row_per_model(spark):
+    """Subsets, folds and unknown cells; rows are not multiplied by the models on the way."""
+    rng = np.random.default_rng(11)
+    x, y, w, fold = rng.normal(size=(300, 4)), rng.integers(0, 2, 300), rng.uniform(0.5, 2.0, 300), rng.integers(0, 3, 300)
+    rows = [([None if (i + k) % 50 == 0 else float(v) for k, v in enumerate(r)], float(y[i]), float(w[i]), int(fold[i])) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "x array<double>, label double, weight double, fold int").repartition(3)
+    specs = [logits.Logit(f"{s} {h}", s, held=h) for s in ((0, 1, 2, 3), (3, 1), ()) for h in (None, 0, 2)]
+    fitted = [logits.Fitted(s, rng.normal(size=len(s.slots) + 1)) for s in specs]
+    sums = logits._sums(df, fitted, "x", "label", "weight", "fold")
+    assert "Generate" not in sums._jdf.queryExecution().executedPlan().toString()
+    found = {(r["model"], r["i"], r["j"]): r["value"] for r in sums.collect()}
+    for k, m in enumerate(fitted):
+        used = [i for i in range(300) if fold[i] != m.spec.held and all(rows[i][0][s] is not None for s in m.spec.slots)]
+        own = np.column_stack([x[used][:, list(m.spec.slots)], np.ones(len(used))])
+        z = own @ m.beta
+        p = 1 / (1 + np.exp(-z))
+        curve, slope = own.T @ (own * (w[used] * p * (1 - p))[:, None]), own.T @ (w[used] * (p - y[used]))
+        for i in range(len(m.beta)):
+            assert found[k, i, logits.LINEAR] == pytest.approx(slope[i])
+            assert all(found[k, i, j] == pytest.approx(curve[i, j]) for j in range(i, len(m.beta)))
+        assert found[k, 0, logits.TOTAL] == pytest.approx((w[used] * (np.logaddexp(0, z) - y[used] * z)).sum())
+
+
+def test_lasso_steps_of_slow_descent_end_exactly():
+    """Nearly equal columns: two thousand rounds over the slots do not get there, the open slots solved together do."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(400, 1))
+    x = np.column_stack([base + 0.003 * rng.normal(size=(400, 4)), np.ones(400)])
+    curve, gradient = x.T @ x / 4, -x.T @ (x @ [3.0, -2.0, 1.0, 2.0, 0.5]) / 4
+    found = logits._solve(np.zeros(5), gradient, curve, logits.Logit("l1", (0, 1, 2, 3), 1e4, True))
+    slope = gradient + curve @ found
+    assert abs(slope[4]) < 1e-8
+    for k in range(4):
+        assert abs(slope[k]) <= 1e-4 + 1e-8 if found[k] == 0 else slope[k] == pytest.approx(-1e-4 * np.sign(found[k]), abs=1e-8)
