@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabloom.functions.vectors import doubles, zeros
 from tabloom.operators.lookup import keyed_lookup
 from tabloom.operators.ranking import row_weight, running_totals, value_buckets, with_value_bucket
+from tabloom.session import cut_lineage
 
 PAD, UNKNOWN = "[PAD]", "[UNKNOWN]"
 START, STOP = "<START>", "<STOP>"
@@ -125,28 +126,30 @@ def _swapped(word: str, at: str = "__i") -> Column:
 
 
 def _variants(df: DataFrame, word: str, count: Column, made) -> DataFrame:
-    """A row for each of `count` variants, with its place and a digest; the variant itself is not moved."""
+    """A row for each of `count` variants, with its place and a short hash; the variant itself is not moved."""
     rows = df.filter(count > 0).withColumn("__i", F.explode(F.sequence(F.lit(1), count)))
-    return rows.withColumn("__key", F.md5(made(word)))
+    return rows.withColumn("__key", F.xxhash64(made(word)))
 
 
 def spelling_fixes(words: DataFrame, known: DataFrame, min_length: int = 4) -> DataFrame:
     """(word, fixed): unknown words one insertion, deletion or neighbour swap away from a known word.
 
     `known` has word and freq. Edits are found by equi-joins on one-edit
-    variants instead of comparing every pair. Among several known words the
-    most frequent wins, then the first in the alphabet.
+    variants instead of comparing every pair; variants meet by a hash of eight
+    bytes, and what meets is compared. Among several known words the most
+    frequent wins, then the first in the alphabet.
     """
     vocabulary_words = known.select(F.col("word").alias("fixed"), "freq")
-    strange = out_of_vocabulary(words, known).filter(F.length("word") >= min_length)
-    by_word = vocabulary_words.withColumn("__key", F.md5("fixed"))
+    # read by four joins, so stored: each would count the words anew
+    strange = cut_lineage(out_of_vocabulary(words, known).filter(F.length("word") >= min_length))
+    by_word = vocabulary_words.withColumn("__key", F.xxhash64("fixed"))
     # only a known word one character longer than a strange one can lose a character and match
     lengths = strange.select((F.length("word") + 1).alias("__n")).distinct()
     longer_words = vocabulary_words.withColumn("__n", F.length("fixed")).join(lengths, "__n", "left_semi").drop("__n")
     shorter = _variants(strange, "word", F.length("word"), _without).join(by_word, "__key").filter(_without("word") == F.col("fixed"))
     swapped = _variants(strange, "word", F.length("word") - 1, _swapped).join(by_word, "__key").filter(_swapped("word") == F.col("fixed"))
     by_deletion = _variants(longer_words, "fixed", F.length("fixed"), _without)
-    longer = strange.withColumn("__key", F.md5("word")).join(by_deletion, "__key").filter(_without("fixed") == F.col("word"))
+    longer = strange.withColumn("__key", F.xxhash64("word")).join(by_deletion, "__key").filter(_without("fixed") == F.col("word"))
     columns = ["word", "fixed", "freq"]
     found = shorter.select(*columns).unionByName(swapped.select(*columns)).unionByName(longer.select(*columns))
     best = found.groupBy("word").agg(F.min(F.struct((-F.col("freq")).alias("f"), "fixed")).alias("b"))

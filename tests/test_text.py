@@ -193,3 +193,13 @@ def test_one_vocabulary_over_splits(spark):
         "a": (2, 2, 0), "b": (2, 1, 1), "c": (1, 0, 1), voc.PAD: (0, 0, 0), voc.UNKNOWN: (0, 0, 0)
     }
     assert sorted(r["ix"] for r in rows.values()) == list(range(5))
+
+
+def test_spelling_reads_the_texts_once_and_moves_short_keys(spark):
+    """The unknown words are stored, not counted anew by each join, and variants meet by eight bytes."""
+    words = spark.createDataFrame([("hose",), ("huose",), ("housee",), ("tree",)], "word string")
+    known = spark.createDataFrame([("house", 3), ("tree", 2), ("horse", 1)], "word string, freq long")
+    found = voc.spelling_fixes(words, known)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "md5" not in plan
+    assert sorted(tuple(r) for r in found.collect()) == [("hose", "house"), ("housee", "house"), ("huose", "house")]
