@@ -34,7 +34,7 @@ def tagged_messages(spark, folder):
 
 def _scored(spark, folder):
     """Messages with the scores of a tagger that was fitted on the same messages."""
-    sentences = tagged_messages(spark, folder)
+    sentences = cut_lineage(tagged_messages(spark, folder))  # read by the counts of the tagger and twice by the look-up
     seen = cut_lineage(sequence.emissions(sentences))
     model = sequence.tagger(cut_lineage(sequence.transitions(sentences)), seen)
     return sequence.with_emissions(sentences, KEYS, seen, model)
@@ -66,7 +66,8 @@ def sequence_nll(spark, folder):
 
 def expected_tags(spark, folder):
     """Expected number of tokens under each tag, message by message, from the chances of the tagger."""
-    found = learned_tags.tag_marginals(_scored(spark, folder), KEYS)
+    scored = _scored(spark, folder)
+    found = learned_tags.tag_marginals(scored, KEYS)
     by_tag = found.select(*KEYS, F.explode("marginals").alias("m")).select(*KEYS, F.posexplode("m").alias("at", "chance"))
     sums = by_tag.groupBy(*KEYS, "at").agg(F.sum("chance").alias("expected"))
     names = tagged_messages(spark, folder).select(F.explode("tags").alias("tag")).distinct().agg(F.array_sort(F.collect_list("tag")).alias("all"))

@@ -6,7 +6,8 @@ inside each sentence, so a step of the fit is one pass over stored sentences
 that adds up, map-side first, the expected less the observed count of each
 weight. Only these sums, as many as there are weights, reach the driver, where
 L-BFGS picks the next weights. The passes of a fit read Arrow batches and fold
-many sentences at once; `count_differences` has the same sums as expressions.
+many sentences at once, as the marginals do; `count_differences` has the same
+sums as expressions.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from tabloom.operators.sequence import _add, _first, _lse, log_partition, path_score
 from tabloom.session import cut_lineage
@@ -95,10 +97,59 @@ def tag_marginals(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys..., marginals): per token the chance of each tag, in the order of the tagger's tags.
 
     `scored` has `emit` and `tagger` as `sequence.with_emissions` or
-    `with_learned_emissions` makes them. Sentences have at least one token.
+    `with_learned_emissions` makes them; rows may have different taggers.
+    Sentences have at least one token; without `emit` there are no marginals.
+    The folds go over many sentences at once in Arrow batches.
     """
-    chance = F.zip_with("__from", "__to", lambda a, b: F.transform(_add(a, b), lambda s: F.exp(s - F.col("__all"))))
-    return _with_ways(scored).select(*keys, chance.alias("marginals"))
+    tables = [F.col("tagger.start").alias("__start"), F.flatten("tagger.step").alias("__step"), F.col("tagger.stop").alias("__stop")]
+    ready = scored.select(*keys, F.col("emit").alias("__emit"), *tables)
+    kind = pa.list_(pa.list_(pa.float64()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            emit = batch.column("__emit")
+            sizes = pc.fill_null(pc.list_value_length(emit), 0).to_numpy(zero_copy_only=False)
+            tokens = emit.flatten()
+            width = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+            scores = tokens.flatten().to_numpy(zero_copy_only=False)
+            ends, places = np.cumsum(sizes), np.concatenate([[0], np.cumsum(width)])
+            chances = np.empty(len(scores))
+            for some, start, step, stop in _by_tagger(batch, sizes):
+                k = len(start)
+                for part in np.split(some, np.flatnonzero(np.diff(np.cumsum(sizes[some]) * k * k // CELLS)) + 1):
+                    at = np.repeat(ends[part] - np.cumsum(sizes[part]), sizes[part]) + np.arange(sizes[part].sum())
+                    cells = places[at][:, None] + np.arange(k)
+                    own = scores[cells]
+                    before, after, whole = _ways(own, sizes[part], start, step, stop)
+                    chances[cells] = np.exp(before + after - np.repeat(whole, sizes[part])[:, None])
+            inner = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(chances))
+            outer = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), inner, mask=emit.is_null())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keys], outer.cast(kind)], [*keys, "marginals"])
+
+    schema = StructType([ready.schema[c] for c in keys]).add("marginals", ArrayType(ArrayType(DoubleType())))
+    return ready.mapInArrow(run, schema)
+
+
+def _by_tagger(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(rows, start, step (from x to), stop) of the sentences of a batch that have tokens, for each different tagger."""
+    columns = [batch.column(c) for c in ("__start", "__step", "__stop")]
+    filled = np.flatnonzero(sizes)
+    while len(filled):
+        tables = [c[int(filled[0])] for c in columns]
+        same = np.logical_and.reduce([_equal_rows(c, int(filled[0]), filled) for c in columns])
+        start, step, stop = (t.values.to_numpy(zero_copy_only=False) for t in tables)
+        yield filled[same], start, step.reshape(len(start), len(start)).T, stop
+        filled = filled[~same]
+
+
+def _equal_rows(column: pa.ListArray, first: int, rows: np.ndarray) -> np.ndarray:
+    """Which of `rows` hold the same numbers as the row `first`."""
+    values, size = column.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    begin = np.cumsum(size) - size
+    same = size[rows] == size[first]
+    cells = values[begin[rows[same]][:, None] + np.arange(size[first])]
+    same[same] = ((cells == cells[0]) | (cells != cells) & (cells[0] != cells[0])).all(axis=1)
+    return same
 
 
 @dataclass
@@ -188,6 +239,26 @@ def _lse_rows(scores: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(scores - top).sum(axis=axis)) + top.squeeze(axis)
 
 
+def _ways(emit: np.ndarray, sizes: np.ndarray, start: np.ndarray, between: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(before, after, whole) of sentences of `sizes` tokens, at least one each, one step for all of them: per token the logs
+    of the summed exponent scores of all ways to and from its tags, and per sentence that of all its taggings."""
+    first = np.cumsum(sizes) - sizes
+    last = first + sizes - 1
+    order = np.argsort(-sizes, kind="stable")
+    begin, length = first[order], sizes[order]
+    open_ = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")  # sentences with a token at each place
+    before, after = np.empty_like(emit), np.empty_like(emit)
+    before[first] = start + emit[first]
+    for t in range(1, length[0]):
+        at = begin[: open_[t]] + t
+        before[at] = _lse_rows(before[at - 1][:, :, None] + between, 1) + emit[at]
+    after[last] = stop
+    for t in range(length[0] - 1, 0, -1):
+        at = begin[: open_[t]] + t
+        after[at - 1] = _lse_rows(between + (emit[at] + after[at])[:, None, :], 2)
+    return before, after, _lse_rows(before[last] + stop, 1)
+
+
 class _Sums:
     """Expected less observed counts and the loss, added up over runs of sentences."""
 
@@ -204,19 +275,7 @@ class _Sums:
         emit = np.stack([np.bincount(owner, self.weights[features, t], n) for t in range(k)], axis=1)
         first = np.cumsum(sizes) - sizes
         last = first + sizes - 1
-        order = np.argsort(-sizes, kind="stable")
-        begin, length = first[order], sizes[order]
-        open_ = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")  # sentences with a token at each place
-        before, after = np.empty((n, k)), np.empty((n, k))
-        before[first] = self.start + emit[first]
-        for t in range(1, length[0]):
-            at = begin[: open_[t]] + t
-            before[at] = _lse_rows(before[at - 1][:, :, None] + self.between, 1) + emit[at]
-        after[last] = self.stop
-        for t in range(length[0] - 1, 0, -1):
-            at = begin[: open_[t]] + t
-            after[at - 1] = _lse_rows(self.between + (emit[at] + after[at])[:, None, :], 2)
-        whole = _lse_rows(before[last] + self.stop, 1)
+        before, after, whole = _ways(emit, sizes, self.start, self.between, self.stop)
         all_ = np.repeat(whole, sizes)
         off = np.exp(before + after - all_[:, None])
         off[np.arange(n), given] -= 1.0

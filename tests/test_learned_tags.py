@@ -67,6 +67,30 @@ def test_marginals_equal_enumeration(short):
             assert found[i][k] == pytest.approx(expected, abs=1e-12)
 
 
+def test_marginals_fold_many_sentences_at_once(spark, short, monkeypatch):
+    """No fold in the rows; two taggers in one frame, repeated keys, no scores, and a long sentence."""
+    rows, df = short
+    models = [random_model(5), random_model(6)]
+    long = spark.createDataFrame([(99, [[i % SIZE] for i in range(3000)], ["A"] * 3000), (0, *rows[0][1:])], df.schema)
+    parts = [learned_tags.with_learned_emissions(d, m) for d, m in zip((df, df.unionByName(long)), models)]
+    scored = parts[0].withColumn("m", F.lit(0)).unionByName(parts[1].withColumn("m", F.lit(1)))
+    scored = scored.withColumn("emit", F.when((F.col("m") == 0) | (F.col("id") != 1), F.col("emit")))
+    monkeypatch.setattr(learned_tags, "CELLS", 40)
+    found = learned_tags.tag_marginals(scored.coalesce(1), ["m", "id"])
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    listed = [(r.m, r.id, r.marginals) for r in found.collect()]
+    assert len(listed) == 52 and [x for x in listed if x[1] == 0 and x[0] == 1][0] == [x for x in listed if x[1] == 0 and x[0] == 1][1]
+    known = {(m, i): x for m, i, x in listed}
+    assert known[1, 1] is None
+    for i, features, _ in rows:
+        for m, model in enumerate(models):
+            if (m, i) != (1, 1):
+                paths, chances, _ = taggings(model, features)
+                expected = [[sum(c for p, c in zip(paths, chances) if p[at] == t) for t in range(3)] for at in range(len(features))]
+                assert np.allclose(known[m, i], expected, atol=1e-12)
+    assert len(known[1, 99]) == 3000 and np.allclose(np.sum(known[1, 99], axis=1), 1.0)
+
+
 def test_slope_equals_enumeration(short):
     rows, df = short
     model = random_model(8)
