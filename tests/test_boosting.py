@@ -141,3 +141,31 @@ def test_one_label_and_no_rows(data):
     assert one.trees == [] and one.base == 15.0
     none = boosting.fit_leafwise(df.filter("id < 0"), COLUMNS, ["id"], Boosting(rounds=2))
     assert none.trees == [] and none.base == 0.0
+
+
+def test_passes_and_scores_read_batches(spark, data, monkeypatch):
+    """Every pass has a plan without the trees, its tasks follow the rows, and scores equal the margin as an expression."""
+    rows, df = data
+    seen = []
+    plain = boosting._histograms
+
+    def watched(stored, look):
+        seen.append((stored.rdd.getNumPartitions(), len(stored._jdf.queryExecution().analyzed().toString())))
+        return plain(stored, look)
+
+    monkeypatch.setattr(boosting, "_histograms", watched)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 150)
+    odd = df.withColumn("c", F.when(F.col("id") == 7, float("nan")).otherwise(F.col("c"))).repartition(40)
+    model = boosting.fit_leafwise(odd, COLUMNS, ["id"], Boosting(rounds=12, num_leaves=6, min_rows=5), valid=F.col("held"))
+    assert {n for n, _ in seen} == {3} and len({size for _, size in seen[:4]}) == 1
+    twice = odd.unionByName(odd)
+    scored = model.scores(twice, ["id"])
+    assert "MapInArrow" in scored._jdf.queryExecution().executedPlan().toString()
+    binned = boosting.binned(twice, COLUMNS, model.edges, ["id", "label"])
+    places = {r.id: r.bins for r in binned.collect()}
+    for i, a, b, c, *_ in rows:
+        for k, v in enumerate((a, b, None if i == 7 else c)):
+            assert places[i][k] == (len(model.edges[k]) + 1 if v is None else sum(e < v for e in model.edges[k]))
+    direct = binned.select("id", (1 / (1 + F.exp(-model.margin()))).alias("score"))
+    assert np.allclose(sorted(map(tuple, scored.collect())), sorted(map(tuple, direct.collect())), atol=1e-12)
+    assert scored.count() == 800
