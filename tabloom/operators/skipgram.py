@@ -174,7 +174,7 @@ def word_vectors(sentences: DataFrame, tokens: str, size: int, window: int, min_
     stored = cut_lineage(sentences.select(F.col(tokens).alias("tokens")).withColumn("id", F.monotonically_increasing_id()))
     rows = token_rows(stored, F.col("tokens"), ["id"]).filter(F.col("word").isNotNull())
     counts = rows.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    ranked = cut_lineage(hashed_rank(counts, ["n"], ["word"], "rank", seed).select("word", "n", "rank"))
+    ranked = cut_lineage(hashed_rank(counts, ["n"], ["word"], "rank", seed, digits=3).select("word", "n", "rank"))
     sizes = {r["n"]: r["words"] for r in ranked.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()}
     tree, share = Huffman(sizes), sum(n * m for n, m in sizes.items()) / parts
     looked = keyed_lookup(rows, ranked, "word", ["id", "pos"]).filter(F.col("n").isNotNull())
