@@ -13,6 +13,7 @@ the longest token has.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -135,17 +136,21 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple:
         reached, whole = [], None  # from the earliest start of the open token to the latest
-        edges, inner, token_at = self.edges, self.inner, self.token_at
+        edges, inner, token_at, pairs = self.edges, self.inner, self.token_at, self.pairs
         for last, node, pending in self.states[state]:
             to = edges.get(node << 8 | byte)
             if to is None:
                 continue
             if inner[to]:
                 reached.append((last, to, pending))
-            if whole is None and (token := token_at[to]) >= 0 and self.fits(last, token):  # an encoding is unique: look no further
-                whole = (token, 0, (*pending, token))
+            if whole is None and (token := token_at[to]) >= 0:  # an encoding is unique: look no further
+                if pairs[key] if (key := last << 32 | token) in pairs else self.fits(last, token):
+                    whole = (token, 0, (*pending, token))
         reached.append(whole)
-        shortest = min([c[2] for c in reached], key=len)
+        shortest = reached[0][2]
+        for c in reached:
+            if len(c[2]) < len(shortest):
+                shortest = c[2]
         agreed = len(shortest)
         while agreed and any([c[2][:agreed] != shortest[:agreed] for c in reached]):
             agreed -= 1
@@ -171,12 +176,6 @@ class Transducer:
         if len(self.states) + len(data) >= MOST_STATES:
             self._reset()
         out: list[int] = []
-        for tokens in self.stream(data):
-            out += tokens
-        return out
-
-    def stream(self, data: bytes) -> Iterator[tuple]:
-        """The tokens that become certain with each byte, then those left at the end."""
         state, steps = self.start, self.steps
         for byte in memoryview(data)[:-1]:
             done = steps.get(state << 8 | byte)
@@ -186,10 +185,11 @@ class Transducer:
                     self._reset()
                     steps = self.steps
                     done = (self._number(done[1]), done[2])
-            state = done[0]
-            if done[1]:
-                yield done[1]
-        yield self._finish(state, data[-1])
+            state, certain = done
+            if certain:
+                out += certain
+        out += self._finish(state, data[-1])
+        return out
 
 
 class Utf8Machine:
@@ -337,10 +337,15 @@ _CODECS: dict[str, Codec] = {}
 
 
 def codec(data: bytes, pattern: str) -> Codec:
-    """One codec per vocabulary and worker process, so that its states serve all tasks of the worker."""
+    """One codec per vocabulary and worker process, so that its states serve all tasks of the worker.
+
+    States and words form no cycles; a collector that looks through them again and again only costs time.
+    """
     key = hashlib.sha256(data + pattern.encode()).hexdigest()
     if key not in _CODECS:
         _CODECS[key] = Codec(parse_ranks(data), pattern)
+        gc.freeze()
+        gc.set_threshold(100_000, 50, 50)
     return _CODECS[key]
 
 

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import hash_prefix, shared_folder, table, whole_batches
+from tabloom.llm.common import BROADCAST_IDS, counted, hash_prefix, shared_folder, table, whole_batches
 from tabloom.llm.heavy import group_winners
 from tabloom.session import cut_lineage
 
@@ -483,7 +483,7 @@ def repeated_starts(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     found = None
     while True:
         sizes = rows.filter(F.col("around").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        large = cut_lineage(sizes.filter(F.col("n") > group_rows).select("key"))
+        large = counted(sizes.filter(F.col("n") > group_rows).select("key"), BROADCAST_IDS)  # at most one of `group_rows` rows
         small = within_groups(rows.join(large, "key", "left_anti"))
         found = small if found is None else found.unionByName(small)
         if large.isEmpty():
@@ -518,9 +518,14 @@ def remove_repeats(
     facts = keyed.filter(F.col("size") >= LENGTH).agg(F.sum("size"), F.count(F.lit(1))).first()
     copies = cut_lineage(group_winners(keyed.filter(F.col("size") >= LENGTH).select("id", "key"), F.min).filter("id <> keep_id").select("id").distinct())
     long = wanted.filter(size >= LENGTH)
+    few = copies.count() <= BROADCAST_IDS
+    if few:  # whole copies need no suffixes
+        long = long.join(F.broadcast(copies), "id", "left_anti")
     buckets = max(1, -(-int((facts[0] or 0) * 2 / (WINDOW + 1)) // bucket_rows))
     folder = f"{shared_folder(spark)}/suffix-{uuid.uuid4().hex}"
-    tied = tied_suffixes(long, facts[1], buckets, f"{folder}/tied").join(copies, "id", "left_anti")  # whole copies need no suffixes
+    tied = tied_suffixes(long, facts[1], buckets, f"{folder}/tied")
+    if not few:  # the texts would be shuffled: leave the copies out of the places
+        tied = tied.join(copies, "id", "left_anti")
     packed = zipped(wanted)
     rows = tied_rows(packed, tied.select("id", "at"))
     if tied.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows).isEmpty():

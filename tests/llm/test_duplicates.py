@@ -222,6 +222,20 @@ def test_repeats_of_an_anchor_at_a_batch_edge(spark):
     assert [(r.n_removed, r.n_spans, r.kept_sha256) for r in found] == [(len(line), 1, hashlib.sha256(kept.encode()).hexdigest())]
 
 
+def test_whole_copies_make_no_suffixes_and_groups_are_split_without_a_shuffle(spark, monkeypatch):
+    """Texts that are whole copies are out before the suffixes are made; rows meet the keys of the large groups by a broadcast."""
+    rng, seen, plans = random.Random(9), [], []
+    text = "".join(rng.choice("abcdef ") for _ in range(400))
+    rows = [(k, text) for k in range(20)] + [(100 + k, chr(65 + k) + text[50:300]) for k in range(30)]
+    tied, within = suffix_dedup.tied_suffixes, suffix_dedup.within_groups
+    monkeypatch.setattr(suffix_dedup, "tied_suffixes", lambda docs, *more: seen.append(sorted(r.id for r in docs.collect())) or tied(docs, *more))
+    monkeypatch.setattr(suffix_dedup, "within_groups", lambda rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or within(rows))
+    found = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs_of(spark, rows), group_rows=4).collect()}
+    assert found == {0: 0} | {k: 400 for k in range(1, 20)} | {100 + k: 250 for k in range(30)}
+    assert seen == [[0, *range(100, 130)]]
+    assert plans and not any("SortMergeJoin" in p for p in plans)
+
+
 def test_repeats_on_documents(spark):
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.op5_suffix_dedup(spark, FOLDER).collect()}
     assert found == repeats_by_brute_force(texts_of(FOLDER))
