@@ -165,14 +165,17 @@ def recursive_elimination(
     return df.sparkSession.createDataFrame(rows, "features int, dropped_next string, auc double")
 
 
+def _fold_scores(estimator: Estimator, df: DataFrame, key: str, fold: int) -> DataFrame:
+    held = F.col(FOLD) == fold
+    return score_table(estimator.fit(df.filter(~held)), df.filter(held), key)
+
+
 def out_of_fold(estimator: Estimator, df: DataFrame, key: str, folds: int, parallelism: int = 4) -> DataFrame:
     """(key, score) for every row, each scored by a model that has not seen its fold."""
+    return _in_one(_side_by_side(df, lambda fold: _fold_scores(estimator, df, key, fold), range(folds), parallelism))
 
-    def one(fold: int) -> DataFrame:
-        held = F.col(FOLD) == fold
-        return score_table(estimator.fit(df.filter(~held)), df.filter(held), key)
 
-    parts = _side_by_side(df, one, range(folds), parallelism)
+def _in_one(parts: Sequence[DataFrame]) -> DataFrame:
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
@@ -206,16 +209,26 @@ def _score_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol="features").transform(df.drop("features"))
 
 
-def fit_stack(bases: dict[str, Estimator], df: DataFrame, key: str, folds: int = 5, parallelism: int = 4) -> Stack:
-    """Logistic model on the out-of-fold scores of `bases`; the bases are then refitted on all rows."""
+def fit_stack(bases: dict[str, Estimator], df: DataFrame, key: str, folds: int = 5, parallelism: int = 12) -> Stack:
+    """Logistic model on the out-of-fold scores of `bases`, which are refitted on all rows.
+
+    A fit is mostly many short steps one after the other, so those of all folds
+    and the refits (fold None) run side by side.
+    """
+
+    def one(item: tuple) -> DataFrame | Model:
+        name, fold = item
+        return bases[name].fit(df) if fold is None else _fold_scores(bases[name], df, key, fold)
+
+    items = [(name, fold) for name in bases for fold in (*range(folds), None)]
+    done = dict(zip(items, _side_by_side(df, one, items, parallelism)))
     level = df.select(key, "label", "weight")
-    for name, estimator in bases.items():
-        scores = out_of_fold(estimator, df, key, folds, parallelism)
+    for name in bases:
+        scores = _in_one([done[name, fold] for fold in range(folds)])
         level = level.join(scores.withColumnRenamed("score", f"{name}_score"), key)
     rows = _score_features(level, [f"{n}_score" for n in bases])
     top = logistic(weight_sum(df)).fit(rows)
-    fitted = _side_by_side(df, lambda item: (item[0], item[1].fit(df)), list(bases.items()), parallelism)
-    return Stack(dict(fitted), top, key)
+    return Stack({name: done[name, None] for name in bases}, top, key)
 
 
 def permutation_importance(

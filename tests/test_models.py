@@ -104,6 +104,30 @@ def test_stack_scores_every_row(data):
     assert evaluate.roc_auc(scored).first().auc > 0.75
 
 
+def test_fits_of_a_stack_run_side_by_side(data):
+    """All folds and refits of all bases are under way at once."""
+    from threading import Barrier
+
+    df, _ = data
+    together = Barrier(8)
+
+    class Waiting:
+        def __init__(self, estimator):
+            self.estimator = estimator
+
+        def fit(self, rows):
+            together.wait(timeout=60)
+            return self.estimator.fit(rows)
+
+    plain = {"tree": models.decision_tree(max_depth=3), "linear": models.logistic(400.0)}
+    stack = tuning.fit_stack({n: Waiting(e) for n, e in plain.items()}, df, "id", 3)
+    level = df.select("id", "label", "weight")
+    for name, estimator in plain.items():
+        level = level.join(tuning.out_of_fold(estimator, df, "id", 3).withColumnRenamed("score", name), "id")
+    top = models.logistic(models.weight_sum(df)).fit(VectorAssembler(inputCols=list(plain), outputCol="features").transform(level))
+    assert list(stack.bases) == list(plain) and list(stack.top.coefficients) == pytest.approx(list(top.coefficients), rel=1e-6)
+
+
 def test_permutation_importance_ranks_signal_over_noise(data):
     df, _ = data
     plain = df.drop("features")
