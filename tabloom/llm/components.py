@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from itertools import count
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.common import shared_folder
 from tabloom.session import cut_lineage
 
 #: A node that more than this share of the pairs start at is a hub; there are fewer than 1 / SHARE.
@@ -31,22 +35,42 @@ def _packed(pairs: DataFrame, total: int) -> DataFrame:
     return pairs.coalesce(max(8, total // ROWS))
 
 
+def _written(pairs: DataFrame, folder: str) -> DataFrame:
+    """`pairs` (u, v), written as Parquet and read again.
+
+    The planner knows the size of a file. A checkpoint keeps its guess, which
+    joins with stored frames multiply: in a loop that number gets millions of
+    digits, and its arithmetic fills the driver.
+    """
+    pairs.write.parquet(folder)
+    return pairs.sparkSession.read.schema(pairs.schema).parquet(folder)
+
+
+def _both(rows: DataFrame, one: Column, other: Column) -> DataFrame:
+    """(u, v): the structs `one` and `other` of each row, which is read once."""
+    return rows.select(F.inline(F.array(one, other)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of `edges` (a, b); root is the smallest id of its component.
 
     Works on the link table alone, in a number of rounds that grows with the
     logarithm of the longest chain. Loops (a = b) are left out.
+
+    The pairs after each star stay in the shared folder as files, see
+    `_written`; a plan of both stars would hold its input some fifty times.
     """
-    pairs = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    folder = f"{shared_folder(edges.sparkSession)}/links-{uuid.uuid4().hex}"
+    pairs = _written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{folder}/edges")
     before, total = None, pairs.count()
-    while True:
+    for turn in count():
         pairs = _packed(pairs, total)
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both, 2 * total).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        ordered = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        both = _both(pairs, F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _with_least(both, 2 * total).filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        ordered = _written(_packed(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), total), f"{folder}/large-{turn}")
         starred = _with_least(ordered, total)
-        small = starred.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(starred.select("u", F.col("m").alias("v")))
-        pairs = cut_lineage(_packed(small.filter("u <> v").distinct(), total))
+        small = _both(starred, F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        pairs = _written(_packed(small.filter("u <> v").distinct(), total), f"{folder}/small-{turn}")
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

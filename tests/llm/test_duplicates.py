@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.llm import components as components_module
 from tabloom.llm import decontaminate, exact_dedup, heavy, ngram_join, suffix_dedup
 from tabloom.llm.components import components
 from tabloom.llm.heavy import merge_counters
@@ -76,6 +77,27 @@ def test_components(spark):
     assert found == {x: root(x) for x in parent}
 
 
+def test_plans_of_components_stay_small(spark, monkeypatch):
+    """They are the driver's work: its memory must not follow the copies of a star in a plan or the rounds."""
+    lines, digits = [], []
+
+    def seen(store):
+        def run(df, *rest):
+            plan = df._jdf.queryExecution().optimizedPlan()
+            lines.append(len(plan.toString().splitlines()))
+            digits.append(len(str(plan.stats().sizeInBytes())))
+            return store(df, *rest)
+
+        return run
+
+    for name in ("cut_lineage", "_written"):
+        monkeypatch.setattr(components_module, name, seen(getattr(components_module, name, None)), raising=False)
+    edges = [(k, k + 1) for k in range(300)] + [(1000, k) for k in range(1001, 1100)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {k: 0 for k in range(301)} | {k: 1000 for k in range(1000, 1100)}
+    assert len(lines) > 6 and max(lines) < 80 and max(digits) < 100
+
+
 def near_by_brute_force(rows):
     sets = {i: (lambda w: frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else None)(ngram_join.words_of(t or "")) for i, t in rows}
     rep = {}
